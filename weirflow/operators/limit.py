@@ -155,7 +155,7 @@ def _chunk_maps(chunk_nanos: int):
                     if now is not None:
                         done.append(row())
                     now = group
-                    period, burst = batch["_period"][a].as_py(), batch["_burst"][a].as_py()
+                    period, burst = batch["_period"][a].as_py(), batch["_tokens"][a].as_py()
                     bucket = BucketMap(group[1] * chunk_nanos, period, burst)
                 bucket.feed(times[a:b].tolist())
             if done:
@@ -202,7 +202,7 @@ def _decide_chunks(keep: list[str]):
                     tat = batch["_tat"][a].as_py()
                     a += 1
                 if a < b:
-                    period, burst = batch["_period"][a].as_py(), batch["_burst"][a].as_py()
+                    period, burst = batch["_period"][a].as_py(), batch["_tokens"][a].as_py()
                     tat, allowed[a:b] = decide(tat, times[a:b].tolist(), period, burst)
             out = batch.select(keep).append_column("allowed", pa.array(allowed))
             yield out.filter(pa.array(is_event))
@@ -240,10 +240,10 @@ def rate_limit(
         F.to_json(F.struct(*key)).alias("_key"),
         nanos.alias("_t"),
         period.alias("_period"),
-        _as_column(burst).cast("bigint").alias("_burst"),
+        _as_column(burst).cast("bigint").alias("_tokens"),
         *wanted,
     ).withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_nanos)).cast("bigint"))
-    narrow = events.select("_key", "_chunk", "_t", "_period", "_burst")
+    narrow = events.select("_key", "_chunk", "_t", "_period", "_tokens")
     pieces = (
         narrow.repartition("_key", "_chunk")
         .sortWithinPartitions("_key", "_chunk", "_t")
