@@ -1,0 +1,78 @@
+"""Run every query against its SQL and compare the rows.
+
+Usage: python tests/compare.py FOLDER [name ...]
+"""
+
+from __future__ import annotations
+
+import decimal
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
+
+
+def duck(sf: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    return con
+
+
+def cell(x):
+    if isinstance(x, decimal.Decimal):
+        return str(int(x)) if x == x.to_integral_value() else str(x)
+    if isinstance(x, float):
+        return "nan" if math.isnan(x) else repr(round(x, 6) + 0.0)
+    return repr(x) if isinstance(x, bool) else str(x)
+
+
+def rows_of(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(tuple(cell(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, sf, name, run, sql):
+    """None when equal, else what differs."""
+    df = run(spark, sf)
+    got_names, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    cursor = con.execute(sql)
+    want_names, want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
+    if got_names != want_names:
+        return f"columns {got_names} != {want_names}"
+    if got != want:
+        extra = [r for r in got if r not in set(want)][:3]
+        lacking = [r for r in want if r not in set(got)][:3]
+        return f"rows {len(got)} / {len(want)}; only here {extra}; only SQL {lacking}"
+    return None if got else "no rows"
+
+
+if __name__ == "__main__":
+    from weirflow import new_session
+    from weirflow.plans.queries import ORACLES, QUERIES
+
+    sf, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
+    spark = new_session("local[8]", spark__driver__memory="12g")
+    spark.sparkContext.setLogLevel("OFF")
+    con, bad = duck(sf), 0
+    for name in names:
+        start = time.time()
+        try:
+            if name in ORACLES:
+                problem = compare(spark, con, sf, name, QUERIES[name], ORACLES[name])
+            else:
+                problem = None if QUERIES[name](spark, sf).count() else "no rows"
+        except Exception as e:  # noqa: BLE001
+            problem = f"{type(e).__name__}: {str(e)[:400]}"
+        bad += problem is not None
+        print(f"{'ok  ' if problem is None else 'BAD '} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+    print(f"{len(names) - bad} of {len(names)} equal")

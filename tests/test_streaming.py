@@ -1,6 +1,9 @@
 """The same operators over a stream give the rows they give over a batch."""
 
+import time
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weirflow import CollectionSpec, FieldMapping, Route
@@ -24,10 +27,15 @@ from weirflow.streaming import (
 
 @pytest.fixture(scope="module")
 def landed(spark, sf, tmp_path_factory):
-    """Events landed in several files, as a folder a stream can follow."""
+    """Events landed in several files one after the other, as a folder a stream follows."""
     path = str(tmp_path_factory.mktemp("landed") / "events")
     events = inputs.table(spark, sf, "events")
-    events.repartitionByRange(4, "ts").write.parquet(path)
+    quarter = F.ntile(4).over(Window.orderBy("ts", "event_id"))
+    parts = events.withColumn("part", quarter).persist()
+    for i in range(1, 5):
+        parts.where(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)  # files are taken in the order of their change times
+    parts.unpersist()
     return path, events.schema
 
 
@@ -72,7 +80,7 @@ def test_stream_equals_batch(spark, sf, landed, tmp_path, name):
 
 def test_limiter_stream_equals_batch(spark, sf, landed, tmp_path):
     path, schema = landed
-    args = dict(key=["event_type"], ts="ts", id="event_id", rate=1, burst=3, per_seconds=1800)
+    args = dict(key=["event_type"], ts="ts", id="event_id", rate=1, burst=2, per_seconds=14_400)
     stream = drain(rate_limit_stream(read_stream(spark, path, schema, max_files=1), **args), tmp_path, "limit")
     batch = rate_limit(inputs.table(spark, sf, "events"), **args)
     assert same(batch, stream)

@@ -279,29 +279,31 @@ def rate_limit_window(
     id: str,
     rps: int | Column,
     max_rps: int | None = None,
+    unit: str = "second",
 ) -> DataFrame:
     """Add ``allowed``: the first ``rps`` events of each key and second, by (ts, id).
 
     The last allowed event of every full second is found first; the rank limit is
     applied before the shuffle, so a hot second sends ``max_rps`` rows per task. All
     events are then compared with it by a join that may be split on skew. With a
-    column as ``rps``, give its upper bound as ``max_rps``.
+    column as ``rps``, give its upper bound as ``max_rps``. ``unit`` takes another
+    window, such as 'minute'.
     """
     top = rps if max_rps is None else max_rps
     if isinstance(top, Column):
         raise ValueError("max_rps is needed when rps is a column")
-    timed = df.withColumn("_second", F.date_trunc("second", F.col(ts)))
-    place = Window.partitionBy(*key, "_second").orderBy(ts, id)
+    timed = df.withColumn("_window", F.date_trunc(unit, F.col(ts)))
+    place = Window.partitionBy(*key, "_window").orderBy(ts, id)
     last = (
-        timed.select(*key, "_second", F.col(ts), F.col(id), _as_column(rps).alias("_rps"))
+        timed.select(*key, "_window", F.col(ts), F.col(id), _as_column(rps).alias("_rps"))
         .withColumn("_place", F.row_number().over(place))
         .where(F.col("_place") <= top)
         .where(F.col("_place") == F.col("_rps"))
-        .select(*key, "_second", F.struct(F.col(ts), F.col(id)).alias("_last"))
+        .select(*key, "_window", F.struct(F.col(ts), F.col(id)).alias("_last"))
     )
     allowed = F.col("_last").isNull() | (F.struct(F.col(ts), F.col(id)) <= F.col("_last"))
     return (
-        timed.join(last, [*key, "_second"], "left")
+        timed.join(last, [*key, "_window"], "left")
         .withColumn("allowed", allowed)
         .select(*df.columns, "allowed")
     )

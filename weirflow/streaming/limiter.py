@@ -22,15 +22,17 @@ def rate_limit_stream(
     burst: int,
     per_seconds: int = 1,
     keep: Sequence[str] = (),
-    ttl_seconds: int = 24 * 3600,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
     """Streaming form of rate_limit: rows ``id, *keep, allowed``.
 
     Inside a micro-batch events are taken in (ts, id) order, so a task holds one key's
     rows of one micro-batch: bound that with ``max_files``. An event older than what an
-    earlier micro-batch brought is judged against the state as it is. The state of a
-    key not seen for ``ttl_seconds`` is dropped; by then the bucket is full again as
-    long as that is more than ``burst`` refill periods.
+    earlier micro-batch brought is judged against the state as it is. With
+    ``ttl_seconds`` the state of a key not seen for that long is dropped; by then the
+    bucket is full again if that is more than ``burst`` refill periods. Timers make
+    Spark run batches without data, so use a TTL with a processing interval only: a
+    query that should end when its input is read would never do so.
     """
     period = period_nanos(rate, per_seconds)
     wanted = list(dict.fromkeys([id, *keep]))
@@ -48,7 +50,8 @@ def rate_limit_stream(
         tat = state.get[0] if state.exists else UNUSED
         tat, allowed = decide(tat, rows["_t"].tolist(), period, burst)
         state.update((tat,))
-        state.setTimeoutDuration(ttl_seconds * 1000)
+        if ttl_seconds is not None:
+            state.setTimeoutDuration(ttl_seconds * 1000)
         yield rows[wanted].assign(allowed=allowed)
 
     narrow = df.select(
@@ -56,6 +59,11 @@ def rate_limit_stream(
         (F.unix_micros(F.col(ts).cast("timestamp")) * 1000).alias("_t"),
         *wanted,
     )
+    timeout = (
+        GroupStateTimeout.NoTimeout
+        if ttl_seconds is None
+        else GroupStateTimeout.ProcessingTimeTimeout
+    )
     return narrow.groupBy("_key").applyInPandasWithState(
-        judge, out, "tat bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+        judge, out, "tat bigint", "append", timeout
     )
