@@ -15,23 +15,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_END = "~end~"
+
+
 def strict_json(text: Column) -> Column:
     """Parse JSON text to VARIANT, NULL unless the whole text is one JSON value.
 
-    The built-in parser stops after the first value and ignores what follows.
-    Inside ``[...]`` trailing text breaks the parse, or shows up as a second item,
-    unless it closes the bracket itself; that needs a ``]`` in the text, and then
-    a parse inside ``{...}`` must succeed as well, which no such text passes.
+    The built-in parser stops after the first value and ignores what follows. So the
+    text is parsed as the first of two items of an array, ``[text,"~end~"]``: text
+    after the value breaks the parse or moves the end mark. Only a text that closes
+    the bracket itself and brings its own end mark could pass; where that is possible
+    (it has a ``]``, and the mark or an escape that may spell it), a second parse as
+    an object member, which no such text survives, decides.
     """
-    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return let(
-        in_array,
-        lambda a: F.when(
-            F.variant_get(a, "$[1]", "variant").isNull()
-            & (~F.contains(text, F.lit("]")) | in_object.isNotNull()),
-            F.variant_get(a, "$[0]", "variant"),
-        ),
+
+    def has(part: str) -> Column:
+        return F.contains(text, F.lit(part))
+
+    # The repeated parse is one common subexpression of the generated projection.
+    return F.when(
+        (F.try_variant_get(in_array, "$[1]", "string") == _END)
+        & F.variant_get(in_array, "$[2]", "variant").isNull()
+        & (~has("]") | ~(has(_END) | has("\\")) | in_object.isNotNull()),
+        F.variant_get(in_array, "$[0]", "variant"),
     )
 
 

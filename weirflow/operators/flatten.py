@@ -18,11 +18,12 @@ MAX_DEPTH = 16
 
 
 def _entry(key: Column, v: Column) -> Column:
-    return F.struct(key.alias("key"), v.alias("v"), schema_kind(v).alias("kind"))
+    """Key, value, and the members if the value is an object."""
+    return F.struct(key.alias("key"), v.alias("v"), as_members(v).alias("members"))
 
 
 def _is_open(entry: Column) -> Column:
-    return entry["kind"].startswith("OBJECT<")
+    return entry["members"].isNotNull()
 
 
 def _expand(entries: Column) -> Column:
@@ -30,7 +31,7 @@ def _expand(entries: Column) -> Column:
 
     def members(e: Column) -> Column:
         return F.transform(
-            F.map_entries(as_members(e["v"])),
+            F.map_entries(e["members"]),
             lambda m: _entry(
                 F.when(e["key"] == "", m["key"]).otherwise(F.concat_ws(".", e["key"], m["key"])),
                 m["value"],
@@ -44,18 +45,23 @@ def _expand(entries: Column) -> Column:
 
 def _leaf_value(e: Column) -> Column:
     """Scalars as they are, arrays reduced to their scalars, NULL for what is dropped."""
-    scalars = F.filter(as_items(e["v"]), lambda x: is_scalar_kind(schema_kind(x)))
-    numbers = F.transform(scalars, lambda x: normal_number(x, schema_kind(x)))
-    return (
-        F.when(is_scalar_kind(e["kind"]), normal_number(e["v"], e["kind"]))
-        .when(
-            e["kind"].startswith("ARRAY<"),
-            let(numbers, lambda a: F.when(F.size(a) > 0, F.to_variant_object(a))),
-        )
-        .otherwise(F.when(_is_open(e), F.to_json(e["v"]).cast("variant")))
+
+    def value(kind: Column) -> Column:
+        items = F.transform(as_items(e["v"]), lambda x: _scalar(x, schema_kind(x)))
+        scalars = F.array_compact(items)
+        return F.when(
+            kind.startswith("ARRAY<"), F.when(F.size(scalars) > 0, F.to_variant_object(scalars))
+        ).otherwise(_scalar(e["v"], kind))
+
+    return F.when(_is_open(e), F.to_json(e["v"]).cast("variant")).otherwise(
+        let(schema_kind(e["v"]), value)
     )
 
 
+def _scalar(v: Column, kind: Column) -> Column:
+    return F.when(is_scalar_kind(kind), normal_number(v, kind))
+
+
 def flatten_json(v: Column, max_depth: int = MAX_DEPTH, on_deeper: str = "fail") -> Column:
     """VARIANT -> ``map<string,variant>`` with dotted keys.
 

@@ -10,7 +10,8 @@ from weirflow.functions.ids import point_id
 from weirflow.functions.variants import as_string, at_path, let, schema_kind, strict_json
 from weirflow.operators.enrich import META_PREFIX, add_metadata_fields
 from weirflow.operators.flatten import MAX_DEPTH, flatten_json
-from weirflow.operators.project import ERRORS
+from weirflow.operators.once import fence
+from weirflow.operators.project import ERRORS, error_list
 from weirflow.specs import CollectionSpec
 
 # Array kinds whose items are all numbers, or that have no items.
@@ -47,14 +48,13 @@ def parse_vector_message(df: DataFrame, payload: str = "payload") -> DataFrame:
         numbers.cast("array<float>").alias("vector"),
         "msg_payload",
     )
-    errors = F.array_compact(
-        F.array(
-            F.when(~F.coalesce("_is_object", F.lit(False)), F.lit("message: not an object")),
-            F.when(~F.col("_id_ok"), F.lit("id: not a string")),
-            F.when(F.col("vector").isNull(), F.lit("vector: not an array of numbers")),
-        )
+    errors = error_list(
+        F.when(~F.coalesce("_is_object", F.lit(False)), F.lit("message: not an object")),
+        F.when(~F.col("_id_ok"), F.lit("id: not a string")),
+        F.when(F.col("vector").isNull(), F.lit("vector: not an array of numbers")),
     )
-    return typed.select(*names, "msg_id", "vector", "msg_payload", errors.alias(ERRORS))
+    made = ["msg_id", "vector", "msg_payload", ERRORS]
+    return fence(typed.select(*names, *made[:-1], errors.alias(ERRORS)), made)
 
 
 def check_dimension(df: DataFrame, dimension: int, vector: str = "vector") -> DataFrame:

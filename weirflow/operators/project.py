@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirflow.functions.variants import as_double, as_string, at_path, schema_kind, strict_json
+from weirflow.operators.once import fence
 from weirflow.specs import INT_RANGES, FieldMapping, SpecError
 
 ERRORS = "_errors"
@@ -24,25 +25,40 @@ _TIME_TEXT = (
 _HEX_TEXT = r"\A(?:[0-9A-Fa-f]{2})*\z"
 
 
+def error_list(*errors: Column) -> Column:
+    """The error texts that are not NULL, as an array.
+
+    The higher-order function keeps the projection out of whole-stage code on purpose:
+    measured, one method with every check is too large for the JVM to compile, while
+    the projection generator cuts it into small ones.
+    """
+    if not errors:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*errors))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     return F.rlike(text, F.lit(pattern))
 
 
 def _whole_number(v: Column, kind: Column, low: int, high: int, out: T.DataType) -> Column:
     """Integral numbers and integral texts inside [low, high]."""
-    as_wide = F.try_variant_get(v, "$", _WIDE)
+    long = F.try_variant_get(v, "$", "bigint")
+    low_long, high_long = max(low, -(2**63)), min(high, 2**63 - 1)
+    in_range = F.when(long.between(F.lit(low_long), F.lit(high_long)), long).cast(out)
+    # The rarer forms: 1.0, 1e2, "1" and numbers beyond 64 bits.
     real = as_double(v)
-    number = (
-        F.when((kind == "BIGINT") | (kind.startswith("DECIMAL(") & kind.endswith(",0)")), as_wide)
+    wide = (
+        F.when(
+            kind.startswith("DECIMAL(") & kind.endswith(",0)"), F.try_variant_get(v, "$", _WIDE)
+        )
         .when((kind == "DOUBLE") & (real == F.floor(real)), real.try_cast(_WIDE))
         .when((kind == "STRING") & _matches(as_string(v), _INT_TEXT), as_string(v).try_cast(_WIDE))
     )
-    wide = F.when(
-        number.between(F.lit(str(low)).cast(_WIDE), F.lit(str(high)).cast(_WIDE)), number
-    ).cast(out)
-    if (low, high) == INT_RANGES["Int64"]:
-        return F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint")).otherwise(wide)
-    return wide
+    bounds = [F.lit(str(x)).cast(_WIDE) for x in (low, high)]
+    return F.when(kind == "BIGINT", in_range).otherwise(
+        F.when(wide.between(*bounds), wide).cast(out)
+    )
 
 
 def _real_number(v: Column, kind: Column, out: T.DataType) -> Column:
@@ -115,9 +131,9 @@ def project_fields(
         errors.append(F.when(bad, F.lit(f"{m.column}: not {m.data_type}")))
         if not m.nullable:
             errors.append(F.when(missing, F.lit(f"{m.column}: required")))
-    return typed.select(
-        *keep, *[m.column for m in mappings], F.array_compact(F.array(*errors)).alias(ERRORS)
-    )
+    columns = [m.column for m in mappings]
+    judged = typed.select(*keep, *columns, error_list(*errors).alias(ERRORS))
+    return fence(judged, [*columns, ERRORS])
 
 
 def declared_schema(mappings: Sequence[FieldMapping], metadata_col: str | None = None) -> T.StructType:
@@ -164,5 +180,4 @@ def enforce_not_null(
         for m in mappings
         if not m.nullable
     ]
-    found = F.array_compact(F.array(*errors)) if errors else F.array().cast("array<string>")
-    return enforce(df.withColumn(ERRORS, found), on_error)
+    return enforce(df.withColumn(ERRORS, error_list(*errors)), on_error)

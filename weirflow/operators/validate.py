@@ -9,7 +9,7 @@ enum, const, pattern, minimum, maximum, format, items.type and minItems.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +28,8 @@ from weirflow.functions.variants import (
     strict_json,
 )
 from weirflow.operators.decode import is_json_bytes
-from weirflow.operators.project import ERRORS, bad_rows, enforce, good_rows
+from weirflow.operators.once import fence, with_once
+from weirflow.operators.project import ERRORS, bad_rows, enforce, error_list, good_rows
 from weirflow.specs import SpecError
 
 # Keywords that only describe, and do not check.
@@ -157,20 +158,23 @@ def _kind_checks(schema: dict, v: Column, kind: Column, where: str, assert_forma
             yield fail(is_list & bad, f"an item is not {wanted}")
 
 
-def _checks(schema: dict, root: Column, path: list[str], assert_format: bool) -> list[Column]:
+# Gives the value at a path and its kind; a value that is absent has neither.
+Lookup = Callable[[tuple[str, ...]], tuple[Column, Column]]
+
+
+def _checks(schema: dict, look: Lookup, path: tuple[str, ...], assert_format: bool) -> list[Column]:
     """Error texts of one (sub)schema; a value that is absent passes."""
     unknown = set(schema) - _NOTES - _CHECKS
     if unknown:
         raise SpecError(f"unsupported schema keywords: {sorted(unknown)}")
     where = ".".join(path) if path else "message"
-    v = at_path(root, path) if path else root
-    kind = schema_kind(v)
+    v, kind = look(path)
     # Absent values have a NULL kind, which makes every test below NULL: no error.
     found = list(_kind_checks(schema, v, kind, where, assert_format))
     is_object = kind.startswith("OBJECT<")
     for name in schema.get("required", []):
         label = ".".join([*path, name])
-        missing = at_path(root, [*path, name]).isNull()
+        missing = look((*path, name))[0].isNull()
         found.append(F.when(is_object & missing, F.lit(f"{label}: required")))
     properties = schema.get("properties", {})
     if schema.get("additionalProperties") is False:
@@ -183,14 +187,23 @@ def _checks(schema: dict, root: Column, path: list[str], assert_format: bool) ->
             )
         )
     for name, sub in properties.items():
-        found += _checks(sub, root, [*path, name], assert_format)
+        found += _checks(sub, look, (*path, name), assert_format)
     return found
 
 
 def compile_schema(schema: dict | str, v: Column, assert_format: bool = True) -> Column:
     """``ARRAY<STRING>`` of what is wrong with VARIANT ``v``; empty when it is valid."""
+
+    def look(path: tuple[str, ...]) -> tuple[Column, Column]:
+        value = at_path(v, path) if path else v
+        return value, schema_kind(value)
+
+    return _compiled(schema, v, look, assert_format)
+
+
+def _compiled(schema: dict | str, v: Column, look: Lookup, assert_format: bool) -> Column:
     schema = json.loads(schema) if isinstance(schema, str) else schema
-    found = F.array_compact(F.array(*_checks(schema, v, [], assert_format)))
+    found = error_list(*_checks(schema, look, (), assert_format))
     return F.when(v.isNull(), F.array(F.lit("message: not JSON"))).otherwise(found)
 
 
@@ -201,11 +214,25 @@ def check_schema(
     assert_format: bool = True,
     errors: str = ERRORS,
 ) -> DataFrame:
-    """Add the error array for the JSON (text or VARIANT) in ``payload``."""
-    if not isinstance(df.schema[payload].dataType, T.StringType):
-        return df.withColumn(errors, compile_schema(schema, F.col(payload), assert_format))
-    parsed = df.withColumn("_v", strict_json(F.col(payload)))
-    return parsed.withColumn(errors, compile_schema(schema, F.col("_v"), assert_format)).drop("_v")
+    """Add the error array for the JSON (text or VARIANT) in ``payload``.
+
+    The text is parsed once, and each value a check looks at is extracted once, in
+    projections of their own that the checks then read.
+    """
+    is_text = isinstance(df.schema[payload].dataType, T.StringType)
+    parsed = df.withColumn("_v", strict_json(F.col(payload)) if is_text else F.col(payload))
+    names: dict[tuple[str, ...], str] = {}
+
+    def look(path: tuple[str, ...]) -> tuple[Column, Column]:
+        name = names.setdefault(path, f"_v{len(names)}")
+        return F.col(name), F.col(f"{name}_kind")
+
+    judged = _compiled(schema, F.col("_v"), look, assert_format)
+    values = parsed.select(
+        *df.columns, "_v", *[at_path(F.col("_v"), p).alias(n) if p else F.col("_v").alias(n) for p, n in names.items()]
+    )
+    kinds = values.select("*", *[schema_kind(F.col(n)).alias(f"{n}_kind") for n in names.values()])
+    return fence(kinds.select(*df.columns, judged.alias(errors)), [errors])
 
 
 def validate_primitive(df: DataFrame, schema_type: str | None, payload: str = "payload", errors: str = ERRORS) -> DataFrame:
@@ -227,9 +254,8 @@ def validate_primitive(df: DataFrame, schema_type: str | None, payload: str = "p
         raise SpecError(f"unknown schema type {schema_type!r}")
     message = F.array(F.lit(f"message: not a {schema_type}"))
     passed = F.coalesce(ok, F.lit(False))
-    return df.withColumn(
-        errors, F.when(passed, F.array().cast("array<string>")).otherwise(message)
-    )
+    found = F.when(passed, F.array().cast("array<string>")).otherwise(message)
+    return with_once(df, **{errors: found})
 
 
 def validate_split(

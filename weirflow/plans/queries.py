@@ -33,6 +33,7 @@ from weirflow.operators import (
     validate,
 )
 from weirflow.operators.documents import time_range, to_documents
+from weirflow.operators.once import fence, with_once
 from weirflow.plans import inputs
 from weirflow.session import checkpoint_root, configure
 from weirflow.sinks import (
@@ -270,9 +271,8 @@ _IP = "'10.0.' || (user_id % 200) || '.7'"
 )
 def request_attributes(spark, sf):
     requests = inputs.http_requests(_events(spark, sf))
-    return requests.select(
-        "request_id", F.explode(enrich.request_attributes("gate")).alias("name", "value")
-    )
+    made = with_once(requests, attributes=enrich.request_attributes("gate"))
+    return made.select("request_id", F.explode("attributes").alias("name", "value"))
 
 
 @query(
@@ -390,7 +390,8 @@ def required_split(spark, sf):
     WHERE value IS NOT NULL"""
 )
 def flatten_payload(spark, sf):
-    flat = _rich(spark, sf).select("event_id", flatten.flatten_json(strict_json(F.col("payload"))).alias("m"))
+    parsed = _rich(spark, sf).select("event_id", strict_json(F.col("payload")).alias("v"))
+    flat = with_once(parsed, m=flatten.flatten_json(F.col("v")))
     rows = flat.select("event_id", F.explode("m").alias("name", "v"))
     value = F.when(F.col("name") == "value", "number").otherwise(F.to_json("v"))
     return rows.select("event_id", "name", value.alias("value"))
@@ -451,8 +452,10 @@ def timeseries_timestamp(spark, sf):
 )
 def metadata_fields(spark, sf):
     messages = inputs.messages(_events(spark, sf))
-    flat = messages.withColumn("payload_fields", flatten.flatten_json(strict_json(F.col("payload"))))
-    rows = enrich.add_metadata_fields(flat).select("event_id", F.explode("payload_fields").alias("name", "v"))
+    parsed = messages.withColumn("v", strict_json(F.col("payload")))
+    flat = parsed.withColumn("payload_fields", flatten.flatten_json(F.col("v")))
+    full = fence(enrich.add_metadata_fields(flat), ["payload_fields"])
+    rows = full.select("event_id", F.explode("payload_fields").alias("name", "v"))
     return rows.select("event_id", "name", F.to_json("v").alias("value"))
 
 
@@ -719,12 +722,12 @@ _PART_TOPIC = "'/' || p_brand || '/' || p_size"
 
 @query(
     f"""SELECT p_partkey::INTEGER AS idx, {_PART_TOPIC} AS topic FROM part
-    WHERE {_PART_TOPIC} NOT IN (SELECT {_PART_TOPIC} FROM part WHERE p_retailprice < 1000)"""
+    WHERE {_PART_TOPIC} NOT IN (SELECT {_PART_TOPIC} FROM part WHERE p_size > 25)"""
 )
 def schemas_without_route(spark, sf):
     routes = (
         inputs.table(spark, sf, "part")
-        .where("p_retailprice < 1000")
+        .where("p_size > 25")
         .select(F.concat(F.lit("/"), "p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("to"))
     )
     return registry.schemas_without_route(_part_schemas(spark, sf), routes).select("idx", "topic")
