@@ -14,7 +14,7 @@ from weirflow.functions.variants import (
     schema_kind,
 )
 
-MAX_DEPTH = 16
+MAX_DEPTH = 12
 
 
 def _entry(key: Column, v: Column) -> Column:
