@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow.functions.headers import client_ip, header, normalize_headers
 from weirflow.operators.limit import rate_limit, rate_limit_window
+from weirflow.session import cut_lineage
 from weirflow.specs import AdmissionSpec
 
 
@@ -71,6 +72,9 @@ def _over_limit(candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts:
         )
 
     by_endpoint = judge(candidates, ["path"], "_rps", most)
+    if any(x.per_ip for x in limits):
+        # Read three times below; narrow rows, so storing them beats limiting again.
+        by_endpoint = cut_lineage(by_endpoint)
     # Message texts.
     over = by_endpoint.where(~F.col("allowed")).select(
         request_id, F.concat(F.lit("Rate limit exceeded for endpoint: "), "path").alias("_over")

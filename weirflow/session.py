@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, not speed: all of them are runtime-settable.
 _REQUIRED = {
@@ -53,5 +53,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if root is None:
         root = tempfile.mkdtemp(prefix="weirflow-ckpt-")
         spark.conf.set("weirflow.checkpoint.dir", root)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows stored once in the shared folder, for results that are read several times."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
