@@ -95,7 +95,7 @@ def test_collections(spark):
     assert ensure_collection(grown, CollectionSpec("b", 8, "dot")).count() == 2
     with pytest.raises(SpecError, match="dimension 8"):
         ensure_collection(grown, CollectionSpec("b", 9, "dot"))
-    with pytest.raises(SpecError, match="does not exist"):
+    with pytest.raises(SpecError, match="may not be made"):
         ensure_collection(grown, CollectionSpec("c", 8, auto_create=False))
 
 

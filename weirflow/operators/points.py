@@ -60,6 +60,7 @@ def parse_vector_message(df: DataFrame, payload: str = "payload") -> DataFrame:
 def check_dimension(df: DataFrame, dimension: int, vector: str = "vector") -> DataFrame:
     """Name a vector of another length in ``_errors`` (made when it is not there)."""
     prior = F.col(ERRORS) if ERRORS in df.columns else F.array().cast("array<string>")
+    # Fixed value: message text.
     message = F.concat(
         F.lit(f"Vector dimension mismatch: expected {dimension}, got "),
         F.size(vector).cast("string"),

@@ -38,15 +38,24 @@ from weirflow.plans import inputs
 from weirflow.session import checkpoint_root, configure
 from weirflow.sinks import (
     catalog_frame,
+    ensure_table,
     fan_out,
     insert_documents,
     read_latest,
     upsert_by_key,
+    write_append,
     write_batch,
+    write_overwrite,
     write_partitioned,
 )
 from weirflow.sinks.fanout import table_writer
-from weirflow.sources import from_device_publishes, from_http_requests, union_envelopes
+from weirflow.sources import (
+    from_device_publishes,
+    from_http_requests,
+    read_jsonl,
+    read_table,
+    union_envelopes,
+)
 from weirflow.specs import (
     AdmissionSpec,
     CollectionSpec,
@@ -55,7 +64,7 @@ from weirflow.specs import (
     RateLimit,
     Route,
 )
-from weirflow.streaming import read_stream, run_stream
+from weirflow.streaming import rate_limit_stream, read_stream, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -978,6 +987,57 @@ def stream_to_table(spark, sf):
     return spark.read.parquet(f"{path}/table").select("event_id", "topic", "k")
 
 
+@query(
+    """SELECT event_id, regexp_extract(props, '[0-9]+')::BIGINT AS k FROM events WHERE event_id % 7 <> 0"""
+)
+def jsonl_messages(spark, sf):
+    """Events landed as lines of JSON, every seventh line blank, and read back."""
+    path = _store(spark, "lines")
+    line = F.to_json(F.struct("event_id", F.regexp_extract("props", "[0-9]+", 0).cast("bigint").alias("k")))
+    blank = F.when(F.col("event_id") % 7 == 0, F.lit("  ")).otherwise(line)
+    _events(spark, sf).select(blank.alias("value")).write.text(path)
+    mappings = [FieldMapping("event_id", "event_id", "Int64", False), FieldMapping("k", "k", "Int64", False)]
+    return project.good_rows(project.project_fields(read_jsonl(spark, path), mappings))
+
+
+@query(
+    """SELECT 'appended' AS kept, 2 * count(*)::BIGINT AS n, 2 * sum(o_orderkey)::BIGINT AS total FROM orders
+    UNION ALL SELECT 'overwritten', count(*)::BIGINT, sum(o_orderkey)::BIGINT FROM orders"""
+)
+def append_and_overwrite(spark, sf):
+    """The same batch appended twice to one table and written over another twice."""
+    path = _store(spark, "modes")
+    orders = inputs.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    ensure_table(spark, f"{path}/appended", orders.schema)
+    for _ in range(2):
+        write_append(orders, f"{path}/appended")
+        write_overwrite(orders, f"{path}/overwritten")
+    both = union_envelopes(
+        *[
+            read_table(spark, f"{path}/{name}").withColumn("kept", F.lit(name))
+            for name in ("appended", "overwritten")
+        ]
+    )
+    return both.groupBy("kept").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("total"))
+
+
+@query(_bucket_sql("event_type", 600 * 1_000_000, 5))
+def rate_limit_streamed(spark, sf):
+    """The bucket per event type with the events read as a stream."""
+    path = _store(spark, "limited")
+    events = read_stream(
+        spark, sf, _events(spark, sf).schema, pathGlobFilter="events.parquet", recursiveFileLookup="true"
+    )
+    judged = rate_limit_stream(events, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
+    run_stream(
+        judged,
+        lambda rows, batch: write_batch(rows, f"{path}/table", batch),
+        f"rate_limit_streamed-{uuid.uuid4().hex}",
+        checkpoint=f"{path}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{path}/table").select("event_id", "allowed")
+
+
 # -- statistics ----------------------------------------------------------------
 
 _DAY = "(epoch_us(ts) // 86400000000)"

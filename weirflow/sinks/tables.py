@@ -209,7 +209,7 @@ def ensure_collection(catalog: DataFrame, spec: CollectionSpec) -> DataFrame:
             )
         return catalog
     if not spec.auto_create:
-        raise SpecError(f"Collection '{spec.name}' does not exist and auto-create is disabled")
+        raise SpecError(f"collection {spec.name} is missing and may not be made")
     return catalog.unionByName(catalog_frame(catalog.sparkSession, [spec]))
 
 
