@@ -14,7 +14,7 @@ METRICS = ["cosine", "dot", "euclid", "manhattan"]
 
 
 def brute(points, q, k, metric):
-    """Reference answer by full sort: [(id, score)]."""
+    """The answer by full sort: [(id, score)]."""
     rows = []
     for i, p in points:
         p, v = np.asarray(p, "float64"), np.asarray(q, "float64")

@@ -90,6 +90,11 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.table(spark, sf, "events")
 
 
+def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a stream. The pattern takes a single file as well as a folder of files."""
+    return read_stream(spark, f"{sf}/events.parque[t]", _events(spark, sf).schema)
+
+
 def _joined(errors: str | Column = "_errors") -> Column:
     return F.array_join(errors, "; ")
 
@@ -973,10 +978,8 @@ def upsert_on_read(spark, sf):
 def stream_to_table(spark, sf):
     """Events followed as a stream: routed, typed and stored by micro-batch."""
     path = _store(spark, "streamed")
-    schema = _events(spark, sf).schema
-    events = read_stream(spark, sf, schema, pathGlobFilter="events.parquet", recursiveFileLookup="true")
     typed = project.project_fields(
-        inputs.messages(events), [FieldMapping("k", "k", "Int32", False)], keep=["event_id", "topic"]
+        inputs.messages(_event_stream(spark, sf)), [FieldMapping("k", "k", "Int32", False)], keep=["event_id", "topic"]
     )
     run_stream(
         project.good_rows(typed),
@@ -1025,10 +1028,7 @@ def append_and_overwrite(spark, sf):
 def rate_limit_streamed(spark, sf):
     """The bucket per event type with the events read as a stream."""
     path = _store(spark, "limited")
-    events = read_stream(
-        spark, sf, _events(spark, sf).schema, pathGlobFilter="events.parquet", recursiveFileLookup="true"
-    )
-    judged = rate_limit_stream(events, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
+    judged = rate_limit_stream(_event_stream(spark, sf), ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
     run_stream(
         judged,
         lambda rows, batch: write_batch(rows, f"{path}/table", batch),
