@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow.functions.headers import client_ip, header, normalize_headers
 from weirflow.operators.limit import rate_limit, rate_limit_window
+from weirflow.operators.routing import listed_frame
 from weirflow.session import cut_lineage
 from weirflow.specs import AdmissionSpec
 
@@ -50,8 +51,8 @@ def _endpoint_table(df: DataFrame, spec: AdmissionSpec) -> DataFrame:
                 limit.effective_ip_rps if limit and limit.per_ip else None,
             )
         )
-    return df.sparkSession.createDataFrame(
-        rows, "path string, to string, _rps int, _burst int, _ip_rps int"
+    return listed_frame(
+        df.sparkSession, rows, "path string, to string, _rps int, _burst int, _ip_rps int"
     )
 
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirflow.operators.routing import listed_frame
 from weirflow.specs import SpecError, TopicSchema
 
 REGISTRY = "subject string, version int, schema_type string, schema_json string"
@@ -88,8 +89,10 @@ def register_schema(
 
 def schemas_frame(spark: SparkSession, schemas: Sequence[TopicSchema]) -> DataFrame:
     rows = [(i, s.topic, s.subject, s.schema_type, s.auto_register) for i, s in enumerate(schemas)]
-    return spark.createDataFrame(
-        rows, "idx int, topic string, subject string, schema_type string, auto_register boolean"
+    return listed_frame(
+        spark,
+        rows,
+        "idx int, topic string, subject string, schema_type string, auto_register boolean",
     )
 
 

@@ -16,14 +16,27 @@ UNROUTED_MODES = ("drop", "keep", "fail")
 MAX_LISTED_ROUTES = 256
 
 
+# A driver-side list up to this length is a table small enough to send to every task.
+MAX_BROADCAST_ROWS = 10_000
+
+
+def listed_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table from a driver-side list, marked for broadcast while the list is short.
+
+    Spark knows no size for such a table and would shuffle the other side of a join.
+    """
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
+
+
 def routes_frame(spark: SparkSession, routes: Sequence[Route]) -> DataFrame:
     """The routes as a table ``idx, source, to, qos, partitions, reliable``."""
     rows = [
         (i, r.source, r.to, r.qos, r.partitions, r.effective_reliable)
         for i, r in enumerate(routes)
     ]
-    return spark.createDataFrame(
-        rows, "idx int, source string, to string, qos int, partitions int, reliable boolean"
+    return listed_frame(
+        spark, rows, "idx int, source string, to string, qos int, partitions int, reliable boolean"
     )
 
 
@@ -35,8 +48,8 @@ def route_exact(
 ) -> DataFrame:
     """Add ``to``: the target of the route whose source equals the topic, else NULL.
 
-    The route side is joined by key without a hint: Spark broadcasts it while it is
-    below the broadcast threshold and otherwise shuffles with skew splitting.
+    A list is broadcast while it is short. A route table is joined without a hint:
+    Spark broadcasts it below its size threshold, else shuffles with skew splitting.
     """
     if isinstance(routes, DataFrame):
         table = routes.select(F.col("source").alias(col), "to")
