@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +21,26 @@ _REQUIRED = {
 _SPEED = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the workers, once for each application.
+
+    Functions that run there are found by module name, wherever the job was started.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_weirflow_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="weirflow-package-")) / "weirflow-package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._weirflow_shipped = True
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators need to an existing session."""
+    """Apply the settings the operators need to an existing session, and ship the package."""
+    ship_package(spark)
     for key, value in (_REQUIRED | _SPEED).items():
         spark.conf.set(key, value)
     return spark
