@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import quality, sharding
+from weirflow.llm import bpe, html, packing, quality, sharding, simhash, topk
 from weirflow.llm.common import id_and_text
 from weirflow.session import configure
 
@@ -58,3 +59,28 @@ def op10_quality(spark, sf):
     return quality.quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query()
+def op2_html(spark, sf):
+    return html.extract_text(_table(spark, sf, "pages"))
+
+
+@query()
+def op5_packing(spark, sf):
+    return packing.pack_sequences(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op7_bpe(spark, sf):
+    return bpe.bpe_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op8_top_k(spark, sf):
+    return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query()
+def op9_simhash(spark, sf):
+    return simhash.near_duplicates(_table(spark, sf, "documents"), words_per_shingle=3, bits=3)
