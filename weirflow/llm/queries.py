@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, html, packing, quality, sharding, simhash, topk
+from weirflow.llm import bpe, html, lm, packing, quality, recompress, sharding, simhash, topk
 from weirflow.llm.common import id_and_text
 from weirflow.session import configure
 
@@ -84,3 +84,17 @@ def op8_top_k(spark, sf):
 @query()
 def op9_simhash(spark, sf):
     return simhash.near_duplicates(_table(spark, sf, "documents"), words_per_shingle=3, bits=3)
+
+
+@query()
+def op6_lm(spark, sf):
+    return lm.score_texts(_table(spark, sf, "documents"))
+
+
+@query()
+def op4_recompression(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    cut = recompress.dedup_passages(docs, window=20)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \t-\r]+"), lambda w: w != "")
+    kept = F.sha2(F.array_join(words, " ").cast("binary"), 256)
+    return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
