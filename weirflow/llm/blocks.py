@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([blob], pa.binary())], ["block", "rows"])
 
         for batch in batches:
-            lengths = pa.compute.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
+            lengths = pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False)
             start = 0
             for i, n in enumerate(lengths.tolist()):
                 size += n + 16
@@ -88,12 +89,14 @@ def parts_for(spark, keys: int, part_keys: int) -> int:
     return 1 << (max(1, shuffle_parts(spark), -(-keys // part_keys)) - 1).bit_length()
 
 
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The range that owns each key."""
+    return keys >> np.uint64(64 - (parts - 1).bit_length()) if parts > 1 else np.zeros(len(keys), np.uint64)
+
+
 def split_keys(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
     """(part, begin, end) of the ranges that have some of the sorted ``keys``."""
-    if parts == 1:
-        return [(0, 0, len(keys))] if len(keys) else []
-    step = np.uint64(64 - (parts - 1).bit_length())
-    at = np.searchsorted(keys >> step, np.arange(parts + 1).astype(np.uint64))
+    at = np.searchsorted(part_of(keys, parts), np.arange(parts + 1).astype(np.uint64))
     return [(p, int(a), int(b)) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b]
 
 
@@ -120,7 +123,10 @@ def record_batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def answered(sent: DataFrame, parts: int, answer: Callable[[list[tuple]], list[tuple[bytes, int]]]) -> DataFrame:
-    """``answer`` gets all rows (block, keys, facts) of a range, and gives a blob and a count for each."""
+    """``answer`` gets all rows (block, keys, facts) of a range, and gives a blob and a count for each.
+
+    ``sent`` has the columns block and part, then what the owner of the part is told.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner, rows = None, []
@@ -131,12 +137,12 @@ def answered(sent: DataFrame, parts: int, answer: Callable[[list[tuple]], list[t
             return record_batch(out, ANSWERED)
 
         for batch in batches:
-            for b, p, keys, facts in zip(*(batch.column(i) for i in range(4)), strict=True):
+            for b, p, *told in zip(*batch.columns, strict=True):
                 if p.as_py() != owner:
                     if rows:
                         yield close()
                     owner, rows = p.as_py(), []
-                rows.append((b.as_py(), keys.as_py(), facts.as_py()))
+                rows.append((b.as_py(), *(x.as_py() for x in told)))
         if rows:
             yield close()
 
@@ -170,6 +176,6 @@ def each_block(blocks: DataFrame, work: Callable[[dict], Iterator[pa.RecordBatch
 
 
 __all__ = [
-    "ANSWERED", "NO_ID", "SENT", "answered", "each_block", "ids_of", "joined", "pack", "pack_sorted", "parts_for",
+    "ANSWERED", "NO_ID", "SENT", "answered", "each_block", "ids_of", "joined", "pack", "pack_sorted", "part_of", "parts_for",
     "record_batch", "sent_batch", "split_keys", "store_blocks", "unpack", "unpack_rows", "unpack_sorted", "with_answers",
 ]

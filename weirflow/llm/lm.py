@@ -66,7 +66,7 @@ class Model:
 
 def pack(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes: a plane of equal bytes takes almost nothing."""
-    planes = values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
     return pa.compress(planes, codec="zstd", asbytes=True) + len(planes).to_bytes(8, "little")
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, html, lm, packing, quality, recompress, sharding, simhash, topk
+from weirflow.llm import bpe, html, lm, packing, quality, recompress, sharding, simhash, suffixes, topk
 from weirflow.llm.common import id_and_text
 from weirflow.session import configure
 
@@ -98,3 +98,9 @@ def op4_recompression(spark, sf):
     words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \t-\r]+"), lambda w: w != "")
     kept = F.sha2(F.array_join(words, " ").cast("binary"), 256)
     return cut.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
+@query()
+def op3_suffixes(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return suffixes.dedup_bytes(docs, size=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
