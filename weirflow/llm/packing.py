@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 from weirflow.llm.common import id_and_text, stored
 
 END_ID = 0
-_REMEMBERED = 1 << 19
+_REMEMBERED = 1 << 21
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -57,29 +57,29 @@ class Capacity:
             raise ValueError("rule: norm or dot")
 
 
-class _WordIds(dict):
-    """The ids of a white-space-free chunk as bytes; encoded by the library, remembered up to a bound."""
+class _WordIds:
+    """The ids of white-space-free chunks as bytes; encoded by the library, remembered up to a bound."""
 
     def __init__(self, source: str) -> None:
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def text(self, text: str) -> bytes:
-        """Ids of a text: no pre-token of this kind of vocabulary holds white space."""
-        words = text.encode().split()
-        if len(self) > _REMEMBERED:
-            self.clear()
-        new = list({w for w in words if w not in self})
+        self.known: dict[bytes, bytes] = {}
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts: no pre-token of this kind of vocabulary holds white space."""
+        words = [text.encode().split() for text in texts]
+        known = self.known
+        if len(known) > _REMEMBERED:
+            known.clear()
+        new = list(set().union(*words).difference(known))
         if new:
             found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            for w, e in zip(new, found, strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+            known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
 
 _TOKENIZERS: dict[int, _WordIds] = {}
@@ -92,6 +92,10 @@ def _word_ids(source: str) -> _WordIds:
     return _TOKENIZERS[key]
 
 
+def _few(batch: pa.RecordBatch, rows: int = 256) -> list[pa.RecordBatch]:
+    return [batch.slice(i, rows) for i in range(0, batch.num_rows, rows)]
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int) -> DataFrame:
     """A row for each piece; ``nth`` counts the pieces of its length within its task ``part``."""
     source = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
@@ -101,10 +105,11 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int) -> D
         part = TaskContext.get().partitionId()
         seen = np.zeros(max_tokens + 1, np.int64)
         end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in _few(whole)):
             rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = ids_of.text(text.as_py()) + end
+            found = ids_of.texts(batch.column("text").to_pylist())
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     cut = ids[at : at + 4 * max_tokens]
                     n = len(cut) // 4
