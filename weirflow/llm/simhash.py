@@ -20,6 +20,7 @@ component; an empty table gives no rows. Other input columns are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,30 +35,60 @@ SEED = 42
 #: Fingerprints that fit the tree's upper levels, at most; all points are indexed.
 SAMPLE = 65_536
 SHARD_POINTS = 4_096
+#: For near copies: how many word fingerprints are searched, and 64-bit parts of the shingle sketch.
+WORD_PRINTS = 3
+SKETCH_PARTS = 4
 _CELL = 512
 _SLICE = 65_536
-_NONE = np.zeros((0, 2), np.uint64)
+_NONE = np.zeros((0, 2), np.uint64)  # no links
 
 
-def fingerprint(text: str, words_per_shingle: int) -> int:
-    """The 64-bit majority fingerprint of a text's word shingles."""
-    words = text.encode().lower().split()
-    if not words:
-        return 0
+def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """Hashes of runs of ``size`` words joined by a space; of all words if there are fewer."""
     line = b" ".join(words)
     digest = xxhash.xxh64_intdigest
-    n = len(words) - words_per_shingle + 1
+    n = len(words) - size + 1
     if n <= 1:
-        return digest(line, SEED)  # one shingle decides every bit
+        return np.array([digest(line, SEED)], "<u8")
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[: n - 1]]).tolist()
-    stops = (ends[words_per_shingle - 1 :] - 1).tolist()
-    hashes = np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), "<u8", n)
+    stops = (ends[size - 1 :] - 1).tolist()
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), "<u8", n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, _SLICE):
+    for at in range(0, len(hashes), _SLICE):
         bits = np.unpackbits(hashes[at : at + _SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, words_per_shingle: int) -> int:
+    """The 64-bit majority fingerprint of a text's word shingles; zero without words."""
+    words = text.encode().lower().split()
+    return majority(shingle_hashes(words, words_per_shingle)) if words else 0
+
+
+def _again(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Other hashes of the same things, independent for each k."""
+    x = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def sketch(text: str, words_per_shingle: int) -> list[int]:
+    """``WORD_PRINTS`` fingerprints of single words, then a shingle sketch of 64 bits each."""
+    words = text.encode().lower().split()
+    if not words:
+        return [0] * (WORD_PRINTS + SKETCH_PARTS)
+    single, runs = shingle_hashes(words, 1) if len(words) > 1 else None, shingle_hashes(words, words_per_shingle)
+    single = runs if single is None else single
+    runs = np.unique(runs)  # a set: repeats do not count in its similarity
+    return [majority(_again(single, k)) for k in range(WORD_PRINTS)] + [
+        majority(_again(runs, 100 + k)) for k in range(SKETCH_PARTS)
+    ]
 
 
 def fingerprints(
@@ -124,12 +155,31 @@ def route(points: np.ndarray, tree: tuple[np.ndarray, np.ndarray], bits: int) ->
     yield from down(1, np.arange(len(points)), np.ones(len(points), bool))
 
 
-def _link_cell(own: np.ndarray, asks: np.ndarray, bits: int, inner: bool) -> list[np.ndarray]:
-    """Links of one small cell: rows (node, node). Points are rows (fingerprint, node)."""
-    prints, nodes = own[:, 0], own[:, 1]
-    out = []
+@dataclass(frozen=True)
+class Near:
+    """When two points are linked: fingerprints within ``bits``, sketches within ``sketch_bits``.
+
+    A point is a row (fingerprint, node, sketch parts ...); without parts there is no second test.
+    """
+
+    bits: int
+    sketch_bits: int = 0
+
+    def close(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which rows of ``a`` are linked with which of ``b``."""
+        near = np.bitwise_count(a[:, 0][:, None] ^ b[:, 0][None, :]) <= self.bits
+        if a.shape[1] > 2:
+            x, y = np.nonzero(near)
+            apart = np.bitwise_count(a[x, 2:] ^ b[y, 2:]).sum(axis=1, dtype=np.int64)
+            near[x, y] = apart <= self.sketch_bits
+        return near
+
+
+def _link_cell(own: np.ndarray, asks: np.ndarray, near: Near, inner: bool) -> list[np.ndarray]:
+    """Links of one small cell: rows (node, node)."""
+    nodes, out = own[:, 1], []
     label = np.arange(len(own))
-    close = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= bits
+    close = near.close(own, own)
     for i in np.flatnonzero(close.sum(axis=1) > 1):
         groups = np.unique(label[close[i]])
         if len(groups) > 1:
@@ -139,14 +189,39 @@ def _link_cell(own: np.ndarray, asks: np.ndarray, bits: int, inner: bool) -> lis
         out.append(np.stack([nodes[moved], nodes[label[moved]]], axis=1))
     for at in range(0, len(asks), _CELL * 16):
         part = asks[at : at + _CELL * 16]
-        who, what = np.nonzero(np.bitwise_count(part[:, 0][:, None] ^ prints[None, :]) <= bits)
+        who, what = np.nonzero(near.close(part, own))
         if len(who):
             pairs = np.unique(np.stack([who, label[what]], axis=1), axis=0)
             out.append(np.stack([part[pairs[:, 0], 1], nodes[pairs[:, 1]]], axis=1))
     return out
 
 
-def link(own: np.ndarray, asks: np.ndarray, bits: int, inner: bool = True) -> list[np.ndarray]:
+def _link_crowd(own: np.ndarray, asks: np.ndarray, near: Near, inner: bool) -> list[np.ndarray]:
+    """Links among many points of one fingerprint, which only their sketches tell apart.
+
+    Leaders are points linked to no earlier leader; every point is linked to all leaders near
+    it. That is a comparison with each leader, not with each point of the crowd.
+    """
+    leaders = own[:0]
+    for at in range(0, len(own), _CELL):
+        part = own[at : at + _CELL]
+        part = part[~near.close(part, leaders).any(axis=1)] if len(leaders) else part
+        close = near.close(part, part)
+        lead = np.zeros(len(part), bool)
+        for i in range(len(part)):
+            lead[i] = not (close[i, :i] & lead[:i]).any()
+        leaders = np.concatenate([leaders, part[lead]])
+    out = []
+    for points in [asks, own] if inner else [asks]:
+        for at in range(0, len(points), _CELL):
+            part = points[at : at + _CELL]
+            for to in range(0, len(leaders), _CELL):
+                who, what = np.nonzero(near.close(part, leaders[to : to + _CELL]))
+                out.append(np.stack([part[who, 1], leaders[to : to + _CELL][what, 1]], axis=1))
+    return out
+
+
+def link(own: np.ndarray, asks: np.ndarray, near: Near, inner: bool = True) -> list[np.ndarray]:
     """Spanning links from ``asks`` to ``own``, with ``inner`` also among ``own``.
 
     This is the tree inside a shard. A point near a cell's border asks on its other side.
@@ -154,22 +229,23 @@ def link(own: np.ndarray, asks: np.ndarray, bits: int, inner: bool = True) -> li
     if not len(own) or not (inner or len(asks)):
         return []
     if len(own) <= _CELL:
-        return _link_cell(own, asks, bits, inner)
+        return _link_cell(own, asks, near, inner)
     pivot = own[np.random.default_rng([SEED, len(own)]).integers(len(own)), 0]
     far = _distance(own[:, 0], pivot)
     radius = int(np.median(far))
-    near = far <= radius
-    if near.all():
+    inside = far <= radius
+    if inside.all():
         radius -= 1
-        near = far <= radius
-    if not near.any():  # equal points only: one cell, whatever its size
-        return _link_cell(own, asks, bits, inner)
+        inside = far <= radius
+    if not inside.any():  # one fingerprint only
+        return _link_crowd(own, asks, near, inner)
+    bits = near.bits
     asked = _distance(asks[:, 0], pivot)
-    out = link(own[near], asks[asked <= radius + bits], bits, inner)
+    out = link(own[inside], asks[asked <= radius + bits], near, inner)
     asks = asks[asked > radius - bits]
-    out += link(own[~near], asks, bits, inner)
+    out += link(own[~inside], asks, near, inner)
     if inner:
-        out += link(own[~near], own[near & (far > radius - bits)], bits, False)
+        out += link(own[~inside], own[inside & (far > radius - bits)], near, False)
     return out
 
 
@@ -177,21 +253,22 @@ def _pack(rows: np.ndarray) -> bytes:
     return np.ascontiguousarray(rows, np.uint64).tobytes()
 
 
-def _points(blob) -> np.ndarray:
-    return np.frombuffer(blob.as_buffer(), np.uint64).reshape(-1, 2)
-
-
-def near_links(nodes: DataFrame, bits: int) -> DataFrame:
-    """Links (a, b) that connect all nodes within ``bits`` bits. ``nodes``: print, node."""
+def near_links(nodes: DataFrame, near: Near) -> DataFrame:
+    """Links (a, b) that connect all linked nodes. ``nodes``: print, node, then sketch parts."""
     spark: SparkSession = nodes.sparkSession
+    width = len(nodes.columns)
+    bits, none = near.bits, np.zeros((0, width), np.uint64)
     total = nodes.count()
     sample = nodes.select("print").orderBy(F.xxhash64("print")).limit(SAMPLE).toPandas()["print"]
     shards = min(max(1, -(-total // SHARD_POINTS)), SAMPLE // 4)
     tree = spark.sparkContext.broadcast(fit_tree(sample.to_numpy(np.int64).view(np.uint64), shards))
 
+    def points_of(blob) -> np.ndarray:
+        return np.frombuffer(blob.as_buffer(), np.uint64).reshape(-1, width)
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = np.stack([batch.column(c).to_numpy().view(np.uint64) for c in ("print", "node")], axis=1)
+            own = np.stack([c.to_numpy().view(np.uint64) for c in batch.columns], axis=1)
             rows = []
             for shard, home, asks in route(own[:, 0], tree.value, bits):
                 rows += [(shard, kind, _pack(own[at])) for kind, at in ((0, home), (1, asks)) if len(at)]
@@ -210,15 +287,15 @@ def near_links(nodes: DataFrame, bits: int) -> DataFrame:
 
             def ask() -> None:
                 if asks:
-                    found.extend(link(own, np.concatenate(asks), bits, inner=False))
+                    found.extend(link(own, np.concatenate(asks), near, inner=False))
                     asks.clear()
 
             def settle() -> None:
                 nonlocal own
                 if own is None:
-                    own = np.concatenate([_NONE, *held])
+                    own = np.concatenate([none, *held])
                     held.clear()
-                    found.extend(link(own, _NONE, bits))
+                    found.extend(link(own, none, near))
 
             for s, kind, blob in zip(*(batch.column(c) for c in ("shard", "kind", "points")), strict=True):
                 if s.as_py() != shard:
@@ -226,13 +303,13 @@ def near_links(nodes: DataFrame, bits: int) -> DataFrame:
                     ask()
                     shard, own = s.as_py(), None
                 if kind.as_py() == 0:
-                    held.append(_points(blob))
+                    held.append(points_of(blob))
                 else:
                     settle()
-                    asks.append(_points(blob))
+                    asks.append(points_of(blob))
             ask()
             yield _edges(found)
-        yield _edges(link(np.concatenate([_NONE, *held]), _NONE, bits) if held else [])
+        yield _edges(link(np.concatenate([none, *held]), none, near) if held else [])
 
     # Points travel in packed rows; a shard's own points come before its queries.
     dealt = nodes.mapInArrow(deal, "shard int, kind int, points binary")
@@ -253,7 +330,7 @@ def near_duplicates(
     prints = stored(fingerprints(docs, words_per_shingle, id_col, text_col), "prints")
     named = prints.where("doc_id IS NOT NULL")
     nodes = stored(named.groupBy("print").agg(F.min("doc_id").alias("node")), "nodes")
-    labels = components(near_links(nodes, bits))
+    labels = components(near_links(nodes.select("print", "node"), Near(bits)))
     grouped = nodes.join(labels, "node", "left").select(
         "print", F.coalesce("component", "node").alias("component_id")
     )
@@ -263,3 +340,58 @@ def near_duplicates(
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
     )
+
+
+def near_copies(
+    docs: DataFrame,
+    words_per_shingle: int = 5,
+    similarity: float = 0.8,
+    bits: int = 3,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each group of near copies, with all columns: that with the least id.
+
+    Two texts are near copies if their shingle sets have a Jaccard similarity of
+    ``similarity`` or more. Texts that similar differ in few words, so that fingerprints of
+    single words agree within ``bits`` in at least one of ``WORD_PRINTS`` with high
+    probability: these find the pairs, each with a vantage-point tree. Shingle fingerprints
+    would differ in ten bits or so, where no tree prunes. A pair is linked if also the
+    longer sketches of its shingles are as near as ``similarity`` asks for, by the
+    expected distance and one standard deviation.
+
+    Rows without an id all stay. Of repeated rows one stays.
+    """
+    cosine = 2 * similarity / (1 + similarity)
+    apart = float(np.arccos(min(1.0, cosine)) / np.pi)
+    n_bits = 64 * SKETCH_PARTS
+    near = Near(bits, int(n_bits * apart + np.sqrt(n_bits * apart * (1 - apart))))
+    names = [f"_print{k}" for k in range(WORD_PRINTS)] + [f"_part{k}" for k in range(SKETCH_PARTS)]
+    docs = docs.drop("_row", *names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            values = np.array([sketch(t, words_per_shingle) for t in texts], np.uint64).reshape(len(texts), len(names))
+            columns = [pa.array(values[:, k].copy().view(np.int64)) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_row"), *columns], ["_id", "_row", *names])
+
+    # Rows are numbered once, in a stored table: numbers then stay what they are.
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    light = rows.select(
+        F.col(f"`{id_col}`").cast("long").alias("_id"), "_row", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")
+    )
+    schema = "_id bigint, _row bigint, " + ", ".join(f"{n} bigint" for n in names)
+    prints = stored(light.mapInArrow(run, schema), "sketches")
+    nodes = stored(prints.where("_id IS NOT NULL").groupBy(*names).agg(F.min("_id").alias("node")), "nodes")
+    links = None
+    for k in range(WORD_PRINTS):
+        points = nodes.select(F.col(f"_print{k}").alias("print"), "node", *names[WORD_PRINTS:])
+        found = near_links(points, near)
+        links = found if links is None else links.unionByName(found)
+    labels = components(links)
+    grouped = nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    of_row = prints.join(grouped.select(*names, "group"), names).where("_id = group")
+    first = of_row.groupBy("group").agg(F.min("_row").alias("_row")).select("_row")
+    kept = first.unionByName(prints.where("_id IS NULL").select("_row"))
+    return rows.join(kept, "_row", "left_semi").drop("_row")
