@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from conftest import column
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow.functions.variants import json_path, strict_json
 from weirflow.operators.decode import decode_payload
-from weirflow.operators.flatten import flatten_json
+from weirflow.operators.flatten import with_flat
 
 NOT_JSON = ['{"a":1} x', "1],[2", '1}, {"v":2', '{"a":1}],[2', "[1],[2]", "", "01", "{'a':1}", "[1,]", "NaN", "nul", "1 2", "1,2"]
 ARE_JSON = ['{"a":1}', "1", "[1,2]", '"]"', "null", " 7 ", "true", "[]", "{}", '{"a":{"b":[1,{"c":"]"}]}}', "-1.5e3"]
@@ -39,22 +40,27 @@ def test_last_duplicate_key_wins(texts):
 
 
 def test_json_path(texts):
-    df = texts('{"user":{"profile":{"name":"Alice","age":30}},"status":"active","n":null,"l":[{"x":1}]}')
+    df = texts('{"ship":{"crew":{"cook":"Ida"},"masts":2},"port":"Oslo","cargo":null,"log":[{"day":4}]}')
     v = strict_json(F.col("payload"))
 
     def at(path):
         return column(df, F.to_json(json_path(v, path)))[0]
 
-    assert at("user.profile.name") == '"Alice"'
-    assert at("status") == '"active"'
-    assert at("user.profile.missing") is None
-    assert at("n") == "null"
-    assert at("l.x") is None and at("l.0") is None
+    assert at("ship.crew.cook") == '"Ida"'
+    assert at("port") == '"Oslo"'
+    assert at("ship.masts.height") is None and at("ship.sails") is None
+    assert at("cargo") == "null"
+    assert at("log.day") is None and at("log.0") is None
+
+
+def flat_of(df):
+    parsed = df.select("payload", strict_json(F.col("payload")).alias("v"))
+    return [json.loads(x) for x in column(with_flat(parsed, "v", "flat"), F.to_json("flat"))]
 
 
 def test_flatten(texts):
     cases = {
-        '{"text":"Hello","count":42,"enabled":true}': {"text": "Hello", "count": 42, "enabled": True},
+        '{"port":"Oslo","tons":7,"loaded":false}': {"port": "Oslo", "tons": 7, "loaded": False},
         '{"a":{"b":{"c":1},"d":null},"e":{}}': {"a.b.c": 1},
         '{"a":[1,"x",null,{"q":1},[2],true,1.5],"b":[null],"c":[]}': {"a": [1, "x", True, 1.5]},
         "7": {"": 7},
@@ -66,17 +72,39 @@ def test_flatten(texts):
         },
         '{"":{"x":1}}': {"x": 1},
     }
-    df = texts(*cases)
-    got = column(df, F.to_json(flatten_json(strict_json(F.col("payload")))))
-    assert [json.loads(x) for x in got] == list(cases.values())
+    assert flat_of(texts(*cases)) == list(cases.values())
 
 
-def test_flatten_deep(texts):
-    deep = '{"a":' * 20 + "1" + "}" * 20
-    v = strict_json(F.col("payload"))
-    whole = column(texts(deep), F.to_json(flatten_json(v, max_depth=20)))[0]
-    assert json.loads(whole) == {".".join("a" * 20): 1}
-    kept = column(texts('{"a":{"b":{"c":1}},"x":2}'), F.to_json(flatten_json(v, 2, "keep")))[0]
-    assert json.loads(kept) == {"a.b": '{"c":1}', "x": 2}
-    with pytest.raises(Exception, match="nested deeper than 2"):
-        column(texts('{"a":{"b":{"c":1}}}'), F.to_json(flatten_json(v, 2)))
+def plain_flat(value):
+    """Dotted keys by recursion."""
+    out = {}
+
+    def walk(key, v):
+        if isinstance(v, dict):
+            for k in sorted(v):
+                walk(k if key == "" else f"{key}.{k}", v[k])
+        elif isinstance(v, list):
+            kept = [x for x in v if not isinstance(x, (list, dict)) and x is not None]
+            if kept:
+                out[key] = kept
+        elif v is not None:
+            out[key] = float(v) if type(v) is int and abs(v) >= 2**63 else v
+
+    walk("", value)
+    return out
+
+
+def test_flatten_any_depth(texts):
+    def nest(levels, inner):
+        return '{"a":' * levels + inner + "}" * levels
+
+    rich = '{"x":1.25,"s":"t","l":[1,[2],{"q":3},null,"u"],"n":null,"e":{},"big":18446744073709551615,"t":true}'
+    many = [nest(n, rich) for n in range(14)] + [nest(100, "5"), nest(400, '"deep"'), '{"p":' + nest(30, rich) + ',"q":{"r":2}}']
+    assert flat_of(texts(*many)) == [plain_flat(json.loads(t)) for t in many]
+
+
+def test_flatten_plans_are_small(texts):
+    start = time.monotonic()
+    parsed = texts("{}").select(strict_json(F.col("payload")).alias("v"))
+    with_flat(parsed, "v", "flat")._jdf.queryExecution().optimizedPlan()
+    assert time.monotonic() - start < 3

@@ -5,8 +5,8 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from weirflow import AdmissionSpec, Endpoint, RateLimit
-from weirflow.functions.headers import client_ip, is_ip, normalize_headers
+from weirflow import AdmissionSpec, Endpoint, RateLimit, SpecError
+from weirflow.functions.headers import canonical_ip, client_ip, is_ip, normalize_headers
 from weirflow.operators.admit import admit_requests, check_body_size, flag_content_type
 from weirflow.operators.limit import BucketMap, decide, rate_limit, rate_limit_window
 from weirflow.sources import from_http_requests
@@ -87,6 +87,43 @@ def test_burst_then_refill(spark):
     assert [got[i] for i in range(7)] == [True, True, True, False, True, False, True]
 
 
+def test_events_without_a_time(spark):
+    df = spark.createDataFrame([(1, START), (2, None), (3, START), (4, None)], "id bigint, ts timestamp").withColumn("key", F.lit("k"))
+    for got in (rate_limit(df, ["key"], "ts", "id", 1, 1), rate_limit_window(df, ["key"], "ts", "id", 1)):
+        assert {r.id: r.allowed for r in got.collect()} == {1: True, 2: None, 3: False, 4: None}
+
+
+def test_rates_below_one(spark):
+    df = spark.createDataFrame([(1, START, 0)], "id bigint, ts timestamp, rate int")
+    for rate, burst in ((0, 1), (1, 0), (-1, 1)):
+        with pytest.raises(SpecError):
+            rate_limit(df, ["id"], "ts", "id", rate, burst)
+    with pytest.raises(Exception, match="at least 1"):
+        rate_limit(df, ["id"], "ts", "id", F.col("rate"), 1).collect()
+    with pytest.raises(SpecError):
+        rate_limit_window(df, ["id"], "ts", "id", 0)
+
+
+def test_events_are_shuffled_once(events):
+    """Both passes over the events read one exchange by (key, chunk)."""
+    _, df = events
+    got = rate_limit(df, ["key"], "ts", "id", 5, 3, keep=["key"], timeless=False)
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange [_key" in final
+    assert final.count("REPARTITION_BY_COL") <= 3  # events, their reuse, and one row for each chunk
+
+
+def test_many_pieces_on_arrays():
+    rng = random.Random(12)
+    times = sorted(1000 + rng.randint(0, 400) for _ in range(300))
+    bucket = BucketMap(1000, 7, 60)
+    for n, t in enumerate(times):
+        bucket._step_many(t) if n % 2 else bucket._step(t)
+    for tat in range(990, 1000 + 60 * 7 + 1):
+        assert bucket.apply(tat) == decide(max(tat, 1000), times, 7, 60)[0]
+
+
 def test_window(events):
     rows, df = events
     got = {r.id: r.allowed for r in rate_limit_window(df, ["key"], "ts", "id", 3).collect()}
@@ -225,6 +262,30 @@ def test_per_address_limit(spark):
     assert got[0] is None and got[1] is None and got[5] is None
 
 
+def test_one_bucket_for_an_address(spark):
+    """Over all endpoints, and however the address is spelt; the secret is not in the plan."""
+    spec = AdmissionSpec(
+        [Endpoint("/a", "/in/a"), Endpoint("/b", "/in/b", rate_limit=RateLimit(50, 2, per_ip=True, per_ip_rps=1))],
+        rate_limit=RateLimit(50, 3, per_ip=True, per_ip_rps=1), auth="apikey", secret="open sesame",
+    )
+    names = ["2001:DB8::1", "2001:db8:0:0:0:0:0:1", "2001:0db8::0001", "2001:db8::0:1", "2001:db8::2"]
+    rows = [("/ab"[0] + "ab"[i % 2], {"x-real-ip": ip, "X-Api-Key": "open sesame"}, b"", 0) for i, ip in enumerate(names)]
+    judged = admit_requests(requests(spark, rows), spec)
+    assert "sesame" not in plan_of(judged)
+    assert [r.status for r in judged.orderBy("request_id").collect()] == [200, 200, 200, 429, 200]
+    no_time = requests(spark, rows).withColumn("received_at", F.lit(None).cast("timestamp"))
+    assert {(r.status, r.error) for r in admit_requests(no_time, spec).collect()} == {(429, "Request time is missing")}
+
+
+def test_canonical_addresses(spark):
+    import ipaddress
+
+    texts = ["10.0.0.1", "::", "::1", "1::", "A:0b::00c", "1:2:3:4:5:6:7:8", "::ffff:10.0.0.1", "1:2:3:4:5:6:1.2.3.4", "fe80::0:0:9"]
+    df = spark.createDataFrame([(x,) for x in texts], "s string")
+    for text, got in df.select("s", canonical_ip(F.col("s"))).collect():
+        assert ipaddress.ip_address(got) == ipaddress.ip_address(text) and (":" not in got or got.count(":") == 7)
+
+
 def test_attributes_and_flags(spark):
     spec = AdmissionSpec([Endpoint("/a", "/in/a")], source_name="gate")
     df = requests(

@@ -55,12 +55,12 @@ def test_one_query(world, metric):
 
 
 @pytest.mark.parametrize("metric", METRICS)
-@pytest.mark.parametrize("max_shipped", [100, 4])
-def test_many_queries(world, metric, max_shipped):
+@pytest.mark.parametrize("block_bytes", [1 << 20, 500])
+def test_many_queries(world, metric, block_bytes):
     points, queries, pdf, qdf = world
-    got = search.knn_many(pdf, qdf, 9, metric, max_shipped=max_shipped, shards=3)
+    got = search.knn_many(pdf, qdf, 9, metric, block_bytes=block_bytes)
     plan = plan_of(got)
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert not any(x in plan for x in ("NestedLoop", "Cartesian", "Generate", "explode"))
     by_query = {}
     for r in sorted(got.collect(), key=lambda r: (r.query_id, r.rank)):
         by_query.setdefault(r.query_id, []).append((r.id, round(r.score, 6)))
@@ -80,6 +80,16 @@ def test_wide_ids_and_other_lengths(spark):
     assert search.knn_many(pdf, qdf.limit(0), 5).count() == 0
 
 
+def test_points_without_a_score_come_last(spark):
+    pdf = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 0.0]), (4, [1.0])], "id bigint, vector array<float>")
+    qdf = spark.createDataFrame([(7, [1.0, 0.0])], "query_id bigint, vector array<float>")
+    want = [(2, 0.707107), (1, None), (3, None)]
+    assert [(r.id, r.score) for r in search.knn(pdf, [1.0, 0.0], 5).collect()] == want
+    got = search.knn_many(pdf, qdf, 5).orderBy("rank").collect()
+    assert [(r.id, None if r.score is None or r.score != r.score else round(r.score, 6)) for r in got] == want
+    assert [r.id for r in search.knn_many(pdf, qdf, 2).orderBy("rank").collect()] == [2, 1]
+
+
 def test_single_query_plan(world):
     _, queries, pdf, _ = world
     plan = plan_of(search.knn(pdf, queries[0][1], 3))

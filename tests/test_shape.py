@@ -20,26 +20,20 @@ M = FieldMapping
 
 
 def test_projection(texts):
-    df = texts('{"user":{"name":"Alice","age":30},"status":"active"}')
-    got = project_fields(df, [M("user.name", "name", "Utf8", False), M("status", "status", "Utf8")])
-    assert got.first().asDict() == {"name": "Alice", "status": "active", "_errors": []}
+    df = texts('{"hull":{"name":"Ran","masts":3},"port":"Bergen"}')
+    got = project_fields(df, [M("port", "port", "Utf8"), M("hull.name", "ship", "Utf8", False)])
+    assert got.first().asDict() == {"port": "Bergen", "ship": "Ran", "_errors": []}
 
 
 def test_deep_projection(texts):
-    df = texts(
-        '{"payment":{"id":"pay-123","amount":99.99,"user":{"email":"user@example.com"}},'
-        '"metrics":{"score":72.5}}'
-    )
-    got = project_fields(
-        df,
-        [
-            M("payment.id", "payment_id", "Utf8", False),
-            M("payment.amount", "amount", "Float64", False),
-            M("payment.user.email", "email", "Utf8"),
-            M("metrics.score", "score", "Float64"),
-        ],
-    ).first()
-    assert tuple(got)[:4] == ("pay-123", 99.99, "user@example.com", 72.5)
+    df = texts('{"trip":{"leg":{"knots":11.5,"stop":{"port":"Riga"}},"no":"t-9"},"tide":{"cm":-4}}')
+    fields = [
+        M("tide.cm", "tide", "Int16", False),
+        M("trip.leg.stop.port", "port", "Utf8"),
+        M("trip.leg.knots", "knots", "Float64", False),
+        M("trip.leg.stop.quay", "quay", "Utf8"),
+    ]
+    assert tuple(project_fields(df, fields).first())[:4] == (-4, "Riga", 11.5, None)
 
 
 TYPED = [
@@ -52,6 +46,8 @@ TYPED = [
     ("Int32", "1e2", 100),
     ("Int32", '"42"', 42),
     ("Int32", '"4x"', None),
+    ("Int32", '"' + "0" * 60 + '42"', 42),
+    ("Int32", '"-007"', -7),
     ("Int32", "true", None),
     ("Int64", "9223372036854775807", 9223372036854775807),
     ("Int64", "9223372036854775808", None),
@@ -99,12 +95,12 @@ def test_required_and_rules(texts):
         '{"a":"x"}': [],
         '{"a":null}': ["a: required"],
         "{}": ["a: required"],
-        "not json": ["a: required"],
+        "not json": ["message: not JSON"],
         '{"a":1}': ["a: not Utf8"],
     }
     assert good_rows(checked).count() == 1 and bad_rows(checked).count() == 4
     assert enforce(checked, "drop").count() == 1
-    with pytest.raises(Exception, match="a: "):
+    with pytest.raises(Exception, match="(a|message): "):
         enforce(checked, "fail").collect()
     with pytest.raises(SpecError):
         enforce(checked, "ignore")
@@ -112,6 +108,20 @@ def test_required_and_rules(texts):
     assert enforce_not_null(typed, [M("a", "a", "Utf8", False)], "drop").count() == 1
 
 
+def test_payloads_that_are_no_object(texts):
+    df = texts("oops", "[1]", "7", None, ' {"a":1}', '{"a":1} x', '"{"')
+    checked = project_fields(df, [M("a", "a", "Int64")], keep=["payload"])
+    got = {r.payload: (r.a, r["_errors"]) for r in checked.collect()}
+    bad, other = ["message: not JSON"], ["message: not an object"]
+    assert got == {
+        "oops": (None, bad), "[1]": (None, other), "7": (None, other), None: (None, bad), ' {"a":1}': (1, []),
+        '{"a":1} x': (None, bad), '"{"': (None, other),
+    }
+    assert good_rows(checked).count() == 1
+    parsed = df.select("payload", F.try_parse_json("payload").alias("v")).where("payload in ('[1]', '7')")
+    assert [r["_errors"] for r in project_fields(parsed, [M("a", "a", "Int64")], "v").collect()] == [other, other]
+
+
 def test_projection_is_one_native_stage(texts):
     plan = plan_of(project_fields(texts("{}"), [M("a.b", "b", "Int64"), M("c", "c", "Utf8")]))
     physical = plan[plan.index("== Physical Plan ==") :]
@@ -148,12 +158,12 @@ def test_ids(spark):
     df = spark.createDataFrame([(x,) for x in cases], "s string")
     got = {r.s: r.n for r in df.select("s", parse_u64(F.col("s")).alias("n")).collect()}
     assert got == cases
-    df = spark.createDataFrame([("test-123",), ("test-456",), ("7",), (None,)], "s string")
-    a, b, c, d = column(df, point_id(F.col("s"), F.lit("/t/x"), F.lit(5)))
-    assert a == 4029341883803755672 and b != a and c == 7
     import hashlib
 
-    assert d == int.from_bytes(hashlib.sha256(b"/t/x:5").digest()[:8], "big")
+    df = spark.createDataFrame([("buoy/north",), ("buoy/south",), ("7",), (None,)], "s string")
+    a, b, c, d = column(df, point_id(F.col("s"), F.lit("/t/x"), F.lit(5)))
+    assert [a, b] == [int.from_bytes(hashlib.sha256(x).digest()[:8], "big") for x in (b"buoy/north", b"buoy/south")]
+    assert c == 7 and d == int.from_bytes(hashlib.sha256(b"/t/x:5").digest()[:8], "big")
 
 
 def test_record_id_and_times(spark):
@@ -182,7 +192,7 @@ def message(spark):
 
 def test_vector_messages(spark, message):
     cases = {
-        '{"id":"doc-1","vector":[0.1,0.2],"payload":{"text":"t"}}': [],
+        '{"id":"m-8","vector":[0.1,0.2],"payload":{"text":"t"}}': [],
         '{"vector":[0.1,2]}': [],
         '{"id":null,"vector":[]}': [],
         '{"id":5,"vector":[1]}': ["id: not a string"],
@@ -196,8 +206,8 @@ def test_vector_messages(spark, message):
     }
     for text, errors in cases.items():
         assert parse_vector_message(message(text)).first()["_errors"] == errors, text
-    row = parse_vector_message(message('{"id":"doc-1","vector":[0.5,2],"payload":{"text":"t"}}')).first()
-    assert (row.msg_id, row.vector) == ("doc-1", [0.5, 2.0])
+    row = parse_vector_message(message('{"id":"m-8","vector":[0.5,2],"payload":{"text":"t"}}')).first()
+    assert (row.msg_id, row.vector) == ("m-8", [0.5, 2.0])
     df = spark.createDataFrame([([1.0] * 3,)], "vector array<float>")
     assert check_dimension(df, 4).first()["_errors"] == ["Vector dimension mismatch: expected 4, got 3"]
     assert check_dimension(df, 3).first()["_errors"] == []
@@ -221,18 +231,25 @@ def test_points(message):
     assert bad.first()["_errors"] == ["Vector dimension mismatch: expected 384, got 2"]
     physical = plan_of(got)
     physical = physical[physical.index("== Physical Plan ==") :]
-    assert "Exchange" not in physical and "Python" not in physical
+    assert "Exchange" not in physical and "Python" in physical  # for deep payloads only
+
+
+def test_one_deep_point_keeps_the_others(message):
+    deep = '{"vector":[1,2],"payload":' + '{"a":' * 40 + "1" + "}" * 41
+    rows = message('{"vector":[1,2],"payload":{"b":2}}').unionByName(message(deep))
+    got = to_points(rows, CollectionSpec("c", 2, include_metadata=False)).select(F.to_json("payload_fields")).collect()
+    assert sorted(r[0] for r in got) == sorted(['{"b":2}', '{"' + ".".join("a" * 40) + '":1}'])
 
 
 def test_documents(message):
-    text = '{"sensor_id":"sensor-001","temperature":23.5}'
+    text = '{"buoy":"north","celsius":8.25}'
     plain = to_documents(message(text), "readings", include_metadata=False).first()
     assert plain.id is None and json.loads(plain.doc) == json.loads(text)
     row = to_documents(message(text, {"record_id": "r9"}), "readings", "time_series").first()
     assert row.id == "readings:r9" and row.event_time == datetime(2024, 1, 2, 3, 4, 5)
     assert json.loads(row.doc) == {
-        "sensor_id": "sensor-001",
-        "temperature": 23.5,
+        "buoy": "north",
+        "celsius": 8.25,
         "_timestamp": "2024-01-02T03:04:05+00:00",
         "_msg_meta": {"topic": "/ns/t", "timestamp": "2024-01-02T03:04:05+00:00", "producer": "p1"},
     }

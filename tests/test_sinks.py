@@ -14,6 +14,7 @@ from weirflow.sinks import (
     new_documents,
     read_latest,
     storage_conf,
+    storage_root,
     upsert_by_key,
     write_append,
     write_batch,
@@ -21,6 +22,7 @@ from weirflow.sinks import (
     write_partitioned,
 )
 from weirflow.sinks.fanout import FanOutError, table_writer
+from weirflow.sinks.tables import without_key
 from weirflow.sources import read_table
 
 
@@ -104,7 +106,8 @@ def test_storage_conf():
     assert s3["fs.s3a.endpoint"] == "http://h:9000" and s3["fs.s3a.connection.ssl.enabled"] == "false"
     assert "fs.s3a.endpoint" not in storage_conf("s3", region="r")
     assert storage_conf("gcs", project="p") == {"fs.gs.project.id": "p"}
-    assert any("abfss://c@a" in v for v in storage_conf("azure", account="a", container="c").values())
+    assert storage_conf("azure", account="a", container="c") == {"fs.azure.account.auth.type.a.dfs.core.windows.net": "SharedKey"}
+    assert storage_root("azure", account="a", container="c") == "abfss://c@a.dfs.core.windows.net"
 
 
 @pytest.fixture
@@ -127,24 +130,55 @@ def test_fan_out(spark, batch, tmp_path):
         )
     assert rows(read_table(spark, x).select("payload")) == [("1",), ("2",)]
     assert rows(read_table(spark, y).select("payload")) == [("3",)]
-    assert not (tmp_path / "q").exists() and aside == [["4"], ["4"]]
+    assert read_table(spark, str(tmp_path / "q")).count() == 0 and aside == [["4"], ["4"]]
     assert rows(log.select("topic", "rows", "error")) == [("/a/x", 2, None), ("/a/y", 1, None)]
     assert read_table(spark, log_path).count() == 4
     assert fan_out(batch, routes, write, 8, "drop").count() == 2
 
 
 def test_fan_out_errors(spark, batch, tmp_path):
-    def write(route, df):
-        if route.source == "/a/x":
-            raise OSError("disk gone")
-        df.write.parquet(route.to)
+    def write(target, parts):
+        if target == "x":
+            raise OSError("disk gone " + "and " * 300 + "again")
+        for _, df in parts:
+            df.write.parquet(target)
 
     routes = [Route("/a/x", "x"), Route("/a/y", str(tmp_path / "y"))]
     with pytest.raises(FanOutError, match="disk gone") as info:
         fan_out(batch, routes, write, 3, "drop")
     assert (tmp_path / "y").exists()  # the other route was written
     errors = {r.to: r.error for r in stats.route_last_error(info.value.log).collect()}
-    assert errors["x"].endswith("disk gone") and errors[str(tmp_path / "y")] is None
+    assert errors["x"].endswith("again") and errors[str(tmp_path / "y")] is None
+
+
+@pytest.mark.parametrize("parallel", [1, 4])
+def test_topics_share_a_table(spark, batch, tmp_path, parallel):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    routes = [Route("/a/x", one), Route("/a/y", one), Route("/a/none", two)]
+    declared = T.StructType([T.StructField("payload", T.StringType())])
+    write = table_writer(lambda route, df: df.select("payload"), 3, declared=declared)
+    for _ in range(2):
+        log = fan_out(batch, routes, write, 3, parallel=parallel)
+        assert rows(read_table(spark, one).select("payload")) == [("1",), ("2",), ("3",)]
+    assert rows(log.select("topic", "rows")) == [("/a/none", 1), ("/a/x", 2), ("/a/y", 1)]
+    # A repeat that brings less, or nothing, replaces what was stored.
+    fan_out(batch.where("topic = '/a/y'"), routes, write, 3, parallel=parallel)
+    assert rows(read_table(spark, one).select("payload")) == [("3",)]
+    assert read_table(spark, two).select("payload").count() == 0
+    fan_out(batch.limit(0), routes, write, 3, parallel=parallel)
+    assert read_table(spark, one).count() == 0
+    wrong = table_writer(lambda route, df: df.select(F.lit(1).alias("payload")), 4, declared=declared)
+    with pytest.raises(FanOutError, match="column payload"):
+        fan_out(batch, routes, wrong, 4)
+
+
+def test_rows_without_a_key(spark):
+    target = spark.createDataFrame([(1, "a", 0)], "id bigint, v string, seq bigint")
+    batch = spark.createDataFrame([(None, "x", 1), (None, "y", 2), (2, "z", 1)], "id bigint, v string, seq bigint")
+    with pytest.raises(Exception, match="row without id"):
+        upsert_by_key(target, batch, ["id"], ["seq"]).collect()
+    assert without_key(batch, ["id"]).count() == 2
+    assert rows(upsert_by_key(target, batch.where("id IS NOT NULL"), ["id"], ["seq"])) == [(1, "a", 0), (2, "z", 1)]
 
 
 def test_partitioned_write(spark, batch, tmp_path):

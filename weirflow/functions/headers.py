@@ -60,3 +60,20 @@ def client_ip(headers: Column, strict: bool = False) -> Column:
         forwarded = F.when(is_ip(forwarded), forwarded)
         real = F.when(is_ip(real), real)
     return F.coalesce(forwarded, real)
+
+
+def canonical_ip(ip: Column) -> Column:
+    """One spelling for each address: IPv6 in lower case, in eight groups without leading zeros."""
+    text = F.lower(ip)
+    # An IPv4 tail stands for the last two groups.
+    tail = F.split(F.regexp_extract(text, r"([0-9]+(?:\.[0-9]+){3})$", 1), r"\.")
+    pair = lambda i: F.conv((F.get(tail, F.lit(i)).cast("int") * 256 + F.get(tail, F.lit(i + 1)).cast("int")).cast("string"), 10, 16)
+    hexed = F.when(
+        text.contains("."),
+        F.concat(F.regexp_replace(text, r"[0-9]+(?:\.[0-9]+){3}$", ""), F.lower(pair(0)), F.lit(":"), F.lower(pair(2))),
+    ).otherwise(text)
+    groups = lambda part: F.filter(F.split(part, ":"), lambda x: x != "")
+    left, right = groups(F.split_part(hexed, F.lit("::"), F.lit(1))), groups(F.split_part(hexed, F.lit("::"), F.lit(2)))
+    missing = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0)))
+    every = F.transform(F.concat(left, missing, right), lambda x: F.regexp_replace(x, "^0+(?=.)", ""))
+    return F.when(text.contains(":"), F.array_join(every, ":")).otherwise(text)

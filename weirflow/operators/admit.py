@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.functions.headers import client_ip, header, normalize_headers
+from weirflow.functions.headers import canonical_ip, client_ip, header, normalize_headers
 from weirflow.operators.limit import rate_limit, rate_limit_window
 from weirflow.operators.routing import listed_frame
-from weirflow.session import cut_lineage
 from weirflow.specs import AdmissionSpec
 
 
 def check_api_key(headers: Column, name: str, secret: str | None) -> tuple[Column, Column]:
     """(status, error) of the API key header: NULL status when the key is right.
 
-    ``headers`` are normalized. Without a configured secret every request gets 500.
+    ``headers`` are normalized. Without a configured secret every request gets 500. Digests
+    are compared, so that plans and event logs do not hold the secret.
     """
     if secret is None:
         return F.lit(500), F.lit("API key secret is not configured")
     given = header(headers, name)
     # Message texts.
     error = F.when(given.isNull(), F.lit(f"Missing {name.lower()} header")).when(
-        given != F.lit(secret), F.lit("Invalid API key")
+        F.sha2(given, 256) != F.lit(hashlib.sha256(secret.encode()).hexdigest()), F.lit("Invalid API key")
     )
     return F.when(error.isNotNull(), F.lit(401)), error
 
@@ -56,39 +58,56 @@ def _endpoint_table(df: DataFrame, spec: AdmissionSpec) -> DataFrame:
     )
 
 
-def _over_limit(candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts: str) -> DataFrame:
+def _address_rates(candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts: str) -> DataFrame:
+    """The candidates with the one rate and burst of their address.
+
+    An address has one bucket for all endpoints, set up by the endpoint of its first
+    request. Where all endpoints give addresses the same limit there is nothing to find out.
+    """
+    limits = [x for e in spec.endpoints if (x := spec.limit_for(e)) and x.per_ip]
+    if len({(x.effective_ip_rps, x.effective_burst) for x in limits}) == 1:
+        return candidates
+    first = candidates.groupBy("_ip").agg(
+        F.min_by(F.struct("_ip_rps", "_burst"), F.struct(F.col(ts), F.col(request_id))).alias("_first")
+    )
+    rates = first.select("_ip", F.col("_first._ip_rps").alias("_ip_rps"), F.col("_first._burst").alias("_burst"))
+    return candidates.drop("_ip_rps", "_burst").join(rates, "_ip")
+
+
+def _over_limit(
+    candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts: str, chunk_seconds: int
+) -> DataFrame:
     """Requests over a limit: ``request_id, _over`` where _over is the error text.
 
-    The endpoint's bucket comes first; only what passes it counts for the address.
+    The endpoint's bucket comes first; only what passes it counts for the address, which
+    has one bucket for all endpoints. All of it is lazy: both limiters read the stored
+    exchange of the first one.
     """
     limits = [spec.limit_for(e) for e in spec.endpoints]
     limits = [x for x in limits if x]
     most = max(x.effective_rps for x in limits)
 
-    def judge(df: DataFrame, key: list[str], rate: str, top: int) -> DataFrame:
+    def judge(df: DataFrame, key: list[str], rate: str, top: int, timeless: bool) -> DataFrame:
         if spec.limiter == "window":
             return rate_limit_window(df, key, ts, request_id, F.col(rate), top)
         return rate_limit(
-            df, key, ts, request_id, F.col(rate), F.col("_burst"), keep=df.columns
+            df, key, ts, request_id, F.col(rate), F.col("_burst"), 1, df.columns, chunk_seconds, timeless
         )
 
-    by_endpoint = judge(candidates, ["path"], "_rps", most)
-    if any(x.per_ip for x in limits):
-        # Read three times below; narrow rows, so storing them beats limiting again.
-        by_endpoint = cut_lineage(by_endpoint)
     # Message texts.
-    over = by_endpoint.where(~F.col("allowed")).select(
-        request_id, F.concat(F.lit("Rate limit exceeded for endpoint: "), "path").alias("_over")
-    )
+    def refused(judged: DataFrame, what: str, name: str) -> DataFrame:
+        text = F.when(F.col("allowed").isNull(), F.lit("Request time is missing")).otherwise(
+            F.concat(F.lit(f"Rate limit exceeded for {what}: "), name)
+        )
+        return judged.where(~F.coalesce("allowed", F.lit(False))).select(request_id, text.alias("_over"))
+
+    by_endpoint = judge(candidates, ["path"], "_rps", most, True)
+    over = refused(by_endpoint, "endpoint", "path")
     if any(x.per_ip for x in limits):
         most_ip = max(x.effective_ip_rps for x in limits if x.per_ip)
-        passed = by_endpoint.where("allowed AND _ip_rps IS NOT NULL AND _ip IS NOT NULL")
-        by_ip = judge(passed.drop("allowed"), ["path", "_ip"], "_ip_rps", most_ip)
-        over = over.unionByName(
-            by_ip.where(~F.col("allowed")).select(
-                request_id, F.concat(F.lit("Rate limit exceeded for IP: "), "_ip").alias("_over")
-            )
-        )
+        passed = by_endpoint.where("allowed AND _ip_rps IS NOT NULL AND _ip IS NOT NULL").drop("allowed")
+        by_ip = judge(_address_rates(passed, spec, request_id, ts), ["_ip"], "_ip_rps", most_ip, False)
+        over = over.unionByName(refused(by_ip, "IP", "_ip"))
     return over
 
 
@@ -97,12 +116,13 @@ def admit_requests(
     spec: AdmissionSpec,
     request_id: str = "request_id",
     ts: str = "received_at",
+    chunk_seconds: int = 300,
 ) -> DataFrame:
     """Add ``to, status, error`` to requests ``request_id, path, headers, body, ts``.
 
     Order of the checks: API key (401, or 500 without a secret), rate limits (429),
     unknown path (404), body size (413), else 200. Only requests with the right key
-    use up a limit. The limits look at narrow columns and join back by request id, so
+    use up a limit, and one without a time is refused as over it. The limits look at narrow columns and join back by request id, so
     bodies are not moved for them; a stream runs with ``limiter='off'`` here and the
     streaming limiter as its own stage, or calls this per micro-batch.
     """
@@ -122,10 +142,10 @@ def admit_requests(
             "_rps",
             "_burst",
             "_ip_rps",
-            client_ip(F.col("_headers"), strict=True).alias("_ip"),
+            canonical_ip(client_ip(F.col("_headers"), strict=True)).alias("_ip"),
         )
         requests = requests.join(
-            _over_limit(candidates, spec, request_id, ts), request_id, "left"
+            _over_limit(candidates, spec, request_id, ts, chunk_seconds), request_id, "left"
         )
         over = F.col("_over")
     unknown = F.col("to").isNull()

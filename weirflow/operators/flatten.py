@@ -1,9 +1,19 @@
-"""Nested JSON to one level of dotted keys."""
+"""Nested JSON to one level of dotted keys.
+
+A few levels are opened by native expressions, one inside the other, so that plans stay
+small and shallow documents pay for their own depth only. What is nested deeper, to any
+depth, is finished in Arrow batches, from a column that is NULL for all other rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirflow.functions.variants import (
     as_items,
@@ -13,8 +23,12 @@ from weirflow.functions.variants import (
     normal_number,
     schema_kind,
 )
+from weirflow.operators.once import fence
 
-MAX_DEPTH = 12
+NATIVE_LEVELS = 3
+FLAT = "map<string,variant>"
+_LEAVES = "_flat_leaves"
+_PAIRS = "array<struct<key:string,value:string>>"
 
 
 def _entry(key: Column, v: Column) -> Column:
@@ -43,6 +57,52 @@ def _expand(entries: Column) -> Column:
     )
 
 
+def _opened(v: Column, levels: int) -> Column:
+    """Entries of a value with its first levels opened."""
+
+    def open_levels(entries: Column, left: int) -> Column:
+        if left == 0:
+            return entries
+        return F.when(
+            F.exists(entries, _is_open),
+            let(_expand(entries), lambda deeper: open_levels(deeper, left - 1)),
+        ).otherwise(entries)
+
+    return let(F.array(_entry(F.lit(""), v)), lambda e: open_levels(e, levels))
+
+
+def _pairs(value: object) -> Iterator[tuple[str, object]]:
+    """Keys and values below a parsed value, depth first, without recursion."""
+    todo = [("", value)]
+    while todo:
+        key, v = todo.pop()
+        if isinstance(v, dict):
+            inner = [(k if key == "" else f"{key}.{k}", x) for k, x in v.items()]
+            todo.extend(reversed(inner))
+        else:
+            yield key, v
+
+
+def _shallow(value: object) -> object:
+    """A leaf that can be written as JSON at any depth: arrays keep their scalars only."""
+    if isinstance(value, list):
+        return [x for x in value if not isinstance(x, (list, dict))]
+    return value
+
+
+@F.pandas_udf(T.StringType())
+def _finish(texts: pd.Series) -> pd.Series:
+    """Flat pairs of deep documents as JSON text; NULL stays NULL."""
+
+    def flat(text: str | None) -> str | None:
+        if text is None:
+            return None
+        pairs = [{"key": k, "value": json.dumps(_shallow(v))} for k, v in _pairs(json.loads(text))]
+        return json.dumps(pairs)
+
+    return texts.map(flat, na_action="ignore")
+
+
 def _leaf_value(e: Column) -> Column:
     """Scalars as they are, arrays reduced to their scalars, NULL for what is dropped."""
 
@@ -53,40 +113,29 @@ def _leaf_value(e: Column) -> Column:
             kind.startswith("ARRAY<"), F.when(F.size(scalars) > 0, F.to_variant_object(scalars))
         ).otherwise(_scalar(e["v"], kind))
 
-    return F.when(_is_open(e), F.to_json(e["v"]).cast("variant")).otherwise(
-        let(schema_kind(e["v"]), value)
-    )
+    return let(schema_kind(e["v"]), value)
 
 
 def _scalar(v: Column, kind: Column) -> Column:
     return F.when(is_scalar_kind(kind), normal_number(v, kind))
 
 
-def flatten_json(v: Column, max_depth: int = MAX_DEPTH, on_deeper: str = "fail") -> Column:
-    """VARIANT -> ``map<string,variant>`` with dotted keys.
+def with_flat(df: DataFrame, source: str, out: str, levels: int = NATIVE_LEVELS) -> DataFrame:
+    """Add ``out``: the VARIANT ``source`` as ``map<string,variant>`` with dotted keys.
 
-    Nulls, empty objects and arrays without scalars vanish; a scalar at the root gets
-    the key ``""``; of two equal keys the later in key order stays. Levels are opened
-    one inside the other, and only while some object is left, so shallow documents
-    pay for their own depth only. An object nested deeper than ``max_depth`` stops
-    the query, or with ``on_deeper='keep'`` stays whole as JSON text under its key.
+    Nulls, empty objects and arrays without scalars vanish; a scalar at the root gets the
+    key ``""``; of two equal keys the later in key order stays. Objects are opened to any
+    depth. ``levels`` only says how many of them native expressions open.
     """
-    if on_deeper not in ("fail", "keep"):
-        raise ValueError(f"unknown on_deeper {on_deeper!r}")
-
-    def open_levels(entries: Column, left: int) -> Column:
-        if left == 0:
-            if on_deeper == "keep":
-                return entries
-            return F.when(
-                F.exists(entries, _is_open),
-                F.raise_error(F.lit(f"JSON nested deeper than {max_depth} levels")),
-            ).otherwise(entries)
-        return F.when(
-            F.exists(entries, _is_open),
-            let(_expand(entries), lambda deeper: open_levels(deeper, left - 1)),
-        ).otherwise(entries)
-
-    leaves = let(F.array(_entry(F.lit(""), v)), lambda e: open_levels(e, max_depth))
-    pairs = F.transform(leaves, lambda e: F.struct(e["key"].alias("key"), _leaf_value(e).alias("value")))
-    return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+    opened = fence(df.withColumn(_LEAVES, _opened(F.col(source), levels)), [_LEAVES])
+    deep = F.exists(_LEAVES, _is_open)
+    finished = F.transform(
+        F.from_json(_finish(F.when(deep, F.to_json(F.col(source)))), _PAIRS),
+        lambda p: _entry(p["key"], F.try_parse_json(p["value"])),
+    )
+    found = fence(
+        opened.withColumn(_LEAVES, F.when(deep, finished).otherwise(F.col(_LEAVES))), [_LEAVES]
+    )
+    values = F.transform(_LEAVES, lambda e: F.struct(e["key"].alias("key"), _leaf_value(e).alias("value")))
+    flat = F.map_from_entries(F.filter(values, lambda p: p["value"].isNotNull()))
+    return found.withColumn(out, flat).drop(_LEAVES)

@@ -27,11 +27,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from weirflow.specs import SpecError
+
 NANOS = 1_000_000_000
+# Above so many pieces arrays are faster than a loop.
+_MANY_PIECES = 24
 
 
 def period_nanos(rate: int, per_seconds: int = 1) -> int:
     """Time one token takes to come back, in whole nanoseconds."""
+    if rate < 1:
+        raise SpecError("a rate must be at least 1")
     return per_seconds * NANOS // rate
 
 
@@ -64,6 +70,9 @@ class BucketMap:
         self.pieces = [(low, high, True, tat)]
 
     def _step(self, t: int) -> None:
+        if len(self.pieces) > _MANY_PIECES:
+            self._step_many(t)
+            return
         last = t + self.room  # the largest tat that still lets the event in
         out: list[tuple[int, int, bool, int]] = []
 
@@ -85,6 +94,26 @@ class BucketMap:
             put(max(low, last - value + 1), high, False, value)
         self.pieces = out
 
+    def _step_many(self, t: int) -> None:
+        """The same on arrays: its cost hardly depends on the number of pieces."""
+        low, high, fixed, value = (np.array(x) for x in zip(*self.pieces, strict=True))
+        last, period = t + self.room, self.period
+        one, two = np.where(fixed, high, t - value), np.where(fixed, high, last - value)
+        moved = np.where(value <= last, np.maximum(value, t) + period, value)
+        lows = np.stack([low, np.maximum(low, one + 1), np.maximum(low, two + 1)], axis=1)
+        highs = np.stack([np.minimum(high, one), np.minimum(high, two), high], axis=1)
+        fixes = np.stack([np.ones(len(low), bool), fixed, fixed], axis=1)
+        values = np.stack([np.where(fixed, moved, t + period), value + period, value], axis=1)
+        keep = lows <= highs
+        low, high, fixed, value = lows[keep], highs[keep], fixes[keep], values[keep]
+        new = np.ones(len(low), bool)
+        new[1:] = (fixed[1:] != fixed[:-1]) | (value[1:] != value[:-1])
+        at = np.flatnonzero(new)
+        ends = np.append(at[1:], len(low)) - 1
+        self.pieces = list(
+            zip(low[at].tolist(), high[ends].tolist(), fixed[at].tolist(), value[at].tolist(), strict=True)
+        )
+
     def apply(self, tat: int) -> int:
         tat = max(tat, self.pieces[0][0])
         for low, high, fixed, value in self.pieces:
@@ -93,14 +122,31 @@ class BucketMap:
         raise ValueError("incoming value out of range")
 
 
-def decide(tat: int, times: Sequence[int], period: int, burst: int) -> tuple[int, np.ndarray]:
-    """Run one bucket over sorted times: (outgoing tat, allowed flags)."""
+def decide(tat: int, times: Sequence[int] | np.ndarray, period: int, burst: int) -> tuple[int, np.ndarray]:
+    """Run one bucket over sorted times: (outgoing tat, allowed flags).
+
+    A run of allowed events is one running maximum: with y(k) = tat(k) - k * period each
+    event gives y(k+1) = max(y(k), t(k) - k * period). After a refusal all events before
+    ``tat - room`` are refused too, which a binary search finds.
+    """
     room = (burst - 1) * period
+    times = np.asarray(times, dtype=np.int64)
     allowed = np.zeros(len(times), dtype=bool)
-    for i, t in enumerate(times):
-        if tat - t <= room:
-            tat = (tat if tat > t else t) + period
-            allowed[i] = True
+    i, width = 0, 64
+    while i < len(times):
+        part = times[i : i + width]
+        spent = np.arange(len(part) + 1, dtype=np.int64) * period
+        before = np.maximum.accumulate(np.concatenate([[tat], part - spent[:-1]])) + spent
+        refused = before[:-1] - part > room
+        n = int(refused.argmax()) if refused.any() else len(part)
+        allowed[i : i + n] = True
+        tat = int(before[n])
+        i += n
+        if n < len(part):
+            i += int(np.searchsorted(times[i:], tat - room))
+            width = max(16, min(width, 4 * n))
+        else:
+            width = min(4 * width, 65_536)
     return tat, allowed
 
 
@@ -132,11 +178,16 @@ _PIECES = pa.schema(
 _STARTS = pa.schema([("_key", pa.string()), ("_chunk", pa.int64()), ("_tat", pa.int64())])
 
 
+def _limits(batch: pa.RecordBatch, row: int, fixed: dict[str, int]) -> list[int]:
+    """Period and burst of a row, where they are not the same for all."""
+    return [fixed[n] if n in fixed else batch[n][row].as_py() for n in ("_period", "_tokens")]
+
+
 def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def _chunk_maps(chunk_nanos: int):
+def _chunk_maps(chunk_nanos: int, fixed: dict[str, int]):
     """Step 1: sorted events to one row of pieces per (key, chunk)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +206,7 @@ def _chunk_maps(chunk_nanos: int):
                     if now is not None:
                         done.append(row())
                     now = group
-                    period, burst = batch["_period"][a].as_py(), batch["_tokens"][a].as_py()
+                    period, burst = _limits(batch, a, fixed)
                     bucket = BucketMap(group[1] * chunk_nanos, period, burst)
                 bucket.feed(times[a:b].tolist())
             if done:
@@ -186,34 +237,38 @@ def _incoming(chunk_nanos: int):
     return run
 
 
-def _decide_chunks(keep: list[str]):
-    """Step 3: start rows and events, sorted, to events with their verdict."""
+def _decide_chunks(keep: list[str], fixed: dict[str, int]):
+    """Step 3: sorted events, each with its chunk's incoming tat, to events with their verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, tat = None, UNUSED
         for batch in batches:
             times = batch["_t"].to_numpy()
-            is_event = batch["_is_event"].to_numpy(zero_copy_only=False)
             allowed = np.zeros(batch.num_rows, dtype=bool)
             for group, a, b in _runs(batch):
                 if group != now:
-                    now, tat = group, UNUSED
-                if not is_event[a]:
-                    tat = batch["_tat"][a].as_py()
-                    a += 1
-                if a < b:
-                    period, burst = batch["_period"][a].as_py(), batch["_tokens"][a].as_py()
-                    tat, allowed[a:b] = decide(tat, times[a:b].tolist(), period, burst)
-            out = batch.select(keep).append_column("allowed", pa.array(allowed))
-            yield out.filter(pa.array(is_event))
+                    now, tat = group, batch["_tat"][a].as_py()
+                period, burst = _limits(batch, a, fixed)
+                tat, allowed[a:b] = decide(tat, times[a:b], period, burst)
+            yield batch.select(keep).append_column("allowed", pa.array(allowed))
 
     return run
 
 
-def _as_column(x) -> Column:
+def _column(x: int | Column) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def _at_least_one(rate: int | Column, what: str) -> int | Column:
+    """A rate or burst; one below 1 is refused, at once or when it is met."""
+    if not isinstance(rate, Column):
+        if rate < 1:
+            raise SpecError(f"{what} must be at least 1")
+        return rate
+    stop = F.raise_error(F.lit(f"{what} must be at least 1")).cast("bigint")
+    return F.when(rate < 1, stop).otherwise(rate.cast("bigint"))
+
+
 def rate_limit(
     df: DataFrame,
     key: Sequence[str],
@@ -223,53 +278,63 @@ def rate_limit(
     burst: int | Column,
     per_seconds: int = 1,
     keep: Sequence[str] = (),
-    chunk_seconds: int = 3600,
+    chunk_seconds: int = 300,
+    timeless: bool = True,
 ) -> DataFrame:
     """Token bucket per key over a batch: rows ``id, *keep, allowed``.
 
     Events of a key are taken in (ts, id) order; id must be unique. ``rate`` events
     per ``per_seconds`` refill a bucket of ``burst``; both may be columns that are
-    constant per key. Pass only narrow columns in ``keep`` and join the verdicts back
-    by id. Choose ``chunk_seconds`` so that a hot key's chunk is one task's work.
+    constant per key, and must be 1 or more. An event without a time has no place in the
+    order: its verdict is NULL (``timeless=False`` when there is none). Pass only narrow
+    columns in ``keep`` and join the verdicts back by id. Choose ``chunk_seconds`` so that
+    a hot key's chunk is one task's work. The events are shuffled once, by (key, chunk);
+    both passes over them read that exchange.
     """
     chunk_nanos = chunk_seconds * NANOS
     wanted = list(dict.fromkeys([id, *keep]))
-    period = F.floor(F.lit(per_seconds * NANOS) / _as_column(rate)).cast("bigint")
+    # Constants go with the functions: in a column Spark would move them past the exchange
+    # for one of its readers only.
+    limits: dict[str, int | Column] = {"_period": _at_least_one(rate, "rate"), "_tokens": _at_least_one(burst, "burst")}
+    each = limits["_period"]
+    limits["_period"] = (
+        F.floor(F.lit(per_seconds * NANOS) / each).cast("bigint") if isinstance(each, Column) else period_nanos(each, per_seconds)
+    )
+    fixed = {n: c for n, c in limits.items() if not isinstance(c, Column)}
     nanos = F.unix_micros(F.col(ts).cast("timestamp")) * 1000
-    events = df.select(
+    timed = df.where(F.col(ts).isNotNull())
+    events = timed.select(
         F.to_json(F.struct(*key)).alias("_key"),
         nanos.alias("_t"),
-        period.alias("_period"),
-        _as_column(burst).cast("bigint").alias("_tokens"),
+        *[c.alias(n) for n, c in limits.items() if isinstance(c, Column)],
         *wanted,
     ).withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_nanos)).cast("bigint"))
-    narrow = events.select("_key", "_chunk", "_t", "_period", "_tokens")
-    pieces = (
-        narrow.repartition("_key", "_chunk")
-        .sortWithinPartitions("_key", "_chunk", "_t")
-        .mapInArrow(
-            _chunk_maps(chunk_nanos),
-            "_key string, _chunk bigint, high array<bigint>, fixed array<boolean>, "
-            "value array<bigint>",
-        )
+    dealt = events.repartition("_key", "_chunk")
+    # All columns go through, so that both readers of the exchange ask for the same one.
+    pieces = dealt.sortWithinPartitions("_key", "_chunk", "_t").mapInArrow(
+        _chunk_maps(chunk_nanos, fixed),
+        "_key string, _chunk bigint, high array<bigint>, fixed array<boolean>, value array<bigint>",
     )
     starts = (
         pieces.repartition("_key")
         .sortWithinPartitions("_key", "_chunk")
         .mapInArrow(_incoming(chunk_nanos), "_key string, _chunk bigint, _tat bigint")
     )
-    both = events.withColumn("_is_event", F.lit(True)).unionByName(
-        starts.withColumn("_is_event", F.lit(False)).withColumn("_t", F.lit(0).cast("bigint")),
-        allowMissingColumns=True,
-    )
     out = T.StructType(
         [*[df.schema[c] for c in wanted], T.StructField("allowed", T.BooleanType())]
     )
-    return (
-        both.repartition("_key", "_chunk")
-        .sortWithinPartitions("_key", "_chunk", "_is_event", "_t", id)
-        .mapInArrow(_decide_chunks(wanted), out)
+    # One start for each chunk of events; an outer join adds no filter to the events' side, so
+    # that both readers ask for the same exchange. It was asked for by name, so Spark never
+    # splits one of its partitions, and a chunk stays in one task.
+    judged = (
+        dealt.join(starts, ["_key", "_chunk"], "left")
+        .sortWithinPartitions("_key", "_chunk", "_t", id)
+        .mapInArrow(_decide_chunks(wanted, fixed), out)
     )
+    if not timeless:
+        return judged
+    unknown = df.where(F.col(ts).isNull()).select(*wanted, F.lit(None).cast("boolean").alias("allowed"))
+    return judged.unionByName(unknown)
 
 
 def rate_limit_window(
@@ -287,21 +352,25 @@ def rate_limit_window(
     applied before the shuffle, so a hot second sends ``max_rps`` rows per task. All
     events are then compared with it by a join that may be split on skew. With a
     column as ``rps``, give its upper bound as ``max_rps``. ``unit`` takes another
-    window, such as 'minute'.
+    window, such as 'minute'. Rates must be 1 or more; an event without a time gets a
+    NULL verdict.
     """
     top = rps if max_rps is None else max_rps
     if isinstance(top, Column):
         raise ValueError("max_rps is needed when rps is a column")
+    if top < 1:
+        raise SpecError("rate must be at least 1")
     timed = df.withColumn("_window", F.date_trunc(unit, F.col(ts)))
     place = Window.partitionBy(*key, "_window").orderBy(ts, id)
     last = (
-        timed.select(*key, "_window", F.col(ts), F.col(id), _as_column(rps).alias("_rps"))
+        timed.select(*key, "_window", F.col(ts), F.col(id), _column(_at_least_one(rps, "rate")).alias("_rps"))
         .withColumn("_place", F.row_number().over(place))
         .where(F.col("_place") <= top)
         .where(F.col("_place") == F.col("_rps"))
         .select(*key, "_window", F.struct(F.col(ts), F.col(id)).alias("_last"))
     )
-    allowed = F.col("_last").isNull() | (F.struct(F.col(ts), F.col(id)) <= F.col("_last"))
+    in_time = F.col("_last").isNull() | (F.struct(F.col(ts), F.col(id)) <= F.col("_last"))
+    allowed = F.when(F.col(ts).isNotNull(), in_time)
     return (
         timed.join(last, [*key, "_window"], "left")
         .withColumn("allowed", allowed)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from weirflow.functions.ids import point_id
 from weirflow.functions.variants import as_string, at_path, let, schema_kind, strict_json
 from weirflow.operators.enrich import META_PREFIX, add_metadata_fields
-from weirflow.operators.flatten import MAX_DEPTH, flatten_json
+from weirflow.operators.flatten import FLAT, with_flat
 from weirflow.operators.once import fence
 from weirflow.operators.project import ERRORS, error_list
 from weirflow.specs import CollectionSpec
@@ -76,20 +76,18 @@ def to_points(
     spec: CollectionSpec,
     payload: str = "payload",
     keep: tuple[str, ...] = (),
-    max_depth: int = MAX_DEPTH,
-    on_deeper: str = "fail",
     prefix: str = META_PREFIX,
 ) -> DataFrame:
     """Messages -> points ``id, vector, payload_fields`` plus ``_errors``.
 
     ``payload_fields`` is the flat payload, with message metadata if the collection
-    asks for it. All of it is one projection: no shuffle.
+    asks for it. There is no shuffle; payloads nested deeper than the native levels pass
+    through Arrow batches.
     """
     parsed = check_dimension(parse_vector_message(df, payload), spec.dimension)
-    flat = F.when(F.size(ERRORS) == 0, flatten_json(F.col("msg_payload"), max_depth, on_deeper))
-    points = parsed.withColumn("payload_fields", F.coalesce(flat, F.create_map().cast(
-        "map<string,variant>"
-    )))
+    good = parsed.withColumn("msg_payload", F.when(F.size(ERRORS) == 0, F.col("msg_payload")))
+    flat = with_flat(good, "msg_payload", "payload_fields")
+    points = flat.withColumn("payload_fields", F.coalesce("payload_fields", F.create_map().cast(FLAT)))
     if spec.include_metadata:
         points = add_metadata_fields(points, "payload_fields", prefix)
     return points.select(

@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirflow.functions.variants import as_double, as_string, at_path, schema_kind, strict_json
+from weirflow.functions.variants import as_double, as_string, at_path, is_object, schema_kind, strict_json
 from weirflow.operators.once import fence
 from weirflow.specs import INT_RANGES, FieldMapping, SpecError
 
 ERRORS = "_errors"
 
 _WIDE = "decimal(38,0)"
-_INT_TEXT = r"\A[+-]?[0-9]{1,38}\z"
+_INT_TEXT = r"\A[+-]?0*[0-9]{1,38}\z"
+_PADDING = r"\A([+-]?)0+(?=[0-9])"
 _FLOAT_TEXT = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 _DATE_TEXT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 _TIME_TEXT = (
@@ -53,7 +54,10 @@ def _whole_number(v: Column, kind: Column, low: int, high: int, out: T.DataType)
             kind.startswith("DECIMAL(") & kind.endswith(",0)"), F.try_variant_get(v, "$", _WIDE)
         )
         .when((kind == "DOUBLE") & (real == F.floor(real)), real.try_cast(_WIDE))
-        .when((kind == "STRING") & _matches(as_string(v), _INT_TEXT), as_string(v).try_cast(_WIDE))
+        .when(
+            (kind == "STRING") & _matches(as_string(v), _INT_TEXT),
+            F.regexp_replace(as_string(v), _PADDING, "$1").try_cast(_WIDE),
+        )
     )
     bounds = [F.lit(str(x)).cast(_WIDE) for x in (low, high)]
     return F.when(kind == "BIGINT", in_range).otherwise(
@@ -104,20 +108,26 @@ def project_fields(
     """One typed column per mapping, plus ``_errors ARRAY<STRING>``.
 
     The payload (JSON text, or VARIANT) is parsed once. A missing path and an explicit
-    null both give NULL. A value that does not fit its type, and a NULL in a required
-    column, are named in ``_errors``.
+    null both give NULL. A payload that is no JSON or no object, a value that does not fit
+    its type, and a NULL in a required column are named in ``_errors``.
     """
     if not mappings:
         raise SpecError("Field mappings cannot be empty")
     is_text = isinstance(df.schema[payload].dataType, T.StringType)
     parsed = strict_json(F.col(payload)) if is_text else F.col(payload)
-    found = df.select(*keep, parsed.alias("_v"))
+    # A text that parses is an object if it starts like one: cheaper than its schema.
+    starts = F.ltrim(F.col(payload), F.lit(" \t\r\n")).startswith("{") if is_text else is_object(F.col(payload))
+    found = df.select(*keep, parsed.alias("_v"), F.coalesce(starts, F.lit(False)).alias("_starts"))
+    trouble = F.when(F.col("_v").isNull(), F.lit("message: not JSON")).when(
+        ~F.col("_starts"), F.lit("message: not an object")
+    )
     found = found.select(
-        *keep, *[at_path(F.col("_v"), m.parts).alias(f"_v{i}") for i, m in enumerate(mappings)]
+        *keep, trouble.alias("_trouble"), *[at_path(F.col("_v"), m.parts).alias(f"_v{i}") for i, m in enumerate(mappings)]
     )
     kinds = found.select("*", *[schema_kind(F.col(f"_v{i}")).alias(f"_k{i}") for i in range(len(mappings))])
     typed = kinds.select(
         *keep,
+        "_trouble",
         *[f"_k{i}" for i in range(len(mappings))],
         *[
             typed_value(F.col(f"_v{i}"), F.col(f"_k{i}"), m.data_type).alias(m.column)
@@ -132,7 +142,8 @@ def project_fields(
         if not m.nullable:
             errors.append(F.when(missing, F.lit(f"{m.column}: required")))
     columns = [m.column for m in mappings]
-    judged = typed.select(*keep, *columns, error_list(*errors).alias(ERRORS))
+    found = F.when(F.col("_trouble").isNotNull(), F.array("_trouble")).otherwise(error_list(*errors))
+    judged = typed.select(*keep, *columns, found.alias(ERRORS))
     return fence(judged, [*columns, ERRORS])
 
 

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weirflow.operators.routing import listed_frame
 from weirflow.specs import SpecError, TopicSchema
@@ -48,31 +49,24 @@ def resolve_schema(registry: DataFrame, subject: str, strategy: str | dict = "la
     return resolve_schemas(registry.where(F.col("subject") == subject), strategy)
 
 
-def register_schemas(registry: DataFrame, offered: DataFrame) -> DataFrame:
+def register_schemas(registry: DataFrame, offered: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """New registry rows for offered ``subject, schema_type, schema_json``.
 
-    A subject whose newest text is the same gets none; else the next version. Append
-    the result to the stored registry.
+    Each distinct offer of a subject becomes the next version, in the order of ``order_by``
+    (columns of ``offered``), then of type and text. An offer that equals the newest
+    version is none. Append the result to the stored registry.
     """
+    text = ["schema_type", "schema_json"]
     newest = resolve_schemas(registry).select(
         "subject", "version", F.col("schema_json").alias("known"), F.col("schema_type").alias("kt")
     )
-    text = F.min(F.struct("schema_type", "schema_json")).alias("s")
-    return (
-        offered.groupBy("subject")
-        .agg(text)
-        .select("subject", "s.*")
-        .join(newest, "subject", "left")
-        .where(
-            ~F.col("schema_json").eqNullSafe(F.col("known"))
-            | ~F.col("schema_type").eqNullSafe(F.col("kt"))
-        )
-        .select(
-            "subject",
-            (F.coalesce("version", F.lit(0)) + 1).cast("int").alias("version"),
-            "schema_type",
-            "schema_json",
-        )
+    distinct = offered.groupBy("subject", *text).agg(F.min(F.struct(*order_by, *text)).alias("_order"))
+    fresh = distinct.join(newest, "subject", "left").where(
+        ~F.col("schema_json").eqNullSafe(F.col("known")) | ~F.col("schema_type").eqNullSafe(F.col("kt"))
+    )
+    place = F.row_number().over(Window.partitionBy("subject").orderBy("_order"))
+    return fresh.select(
+        "subject", (F.coalesce("version", F.lit(0)) + place).cast("int").alias("version"), *text
     )
 
 

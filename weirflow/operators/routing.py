@@ -40,6 +40,19 @@ def routes_frame(spark: SparkSession, routes: Sequence[Route]) -> DataFrame:
     )
 
 
+def _one_per_source(routes: DataFrame, duplicates: str) -> DataFrame:
+    """``source, to`` of a route table with one row for each source."""
+    if duplicates not in ("reject", "first", "last"):
+        raise SpecError(f"unknown duplicates mode {duplicates!r}")
+    order = F.col("idx") if "idx" in routes.columns else F.col("to")
+    pick = F.max_by("to", order) if duplicates == "last" else F.min_by("to", order)
+    found = routes.groupBy("source").agg(pick.alias("to"), F.count(F.lit(1)).alias("_n"))
+    if duplicates == "reject":
+        stop = F.raise_error(F.concat(F.lit("Duplicate route source: "), "source")).cast("string")
+        found = found.withColumn("to", F.when(F.col("_n") > 1, stop).otherwise(F.col("to")))
+    return found.select("source", "to")
+
+
 def route_exact(
     df: DataFrame,
     routes: Sequence[Route] | DataFrame,
@@ -50,9 +63,11 @@ def route_exact(
 
     A list is broadcast while it is short. A route table is joined without a hint:
     Spark broadcasts it below its size threshold, else shuffles with skew splitting.
+    ``duplicates`` says what happens to a repeated source: 'reject' (in a table, the query
+    stops), or the 'first' or 'last' by ``idx`` counts.
     """
     if isinstance(routes, DataFrame):
-        table = routes.select(F.col("source").alias(col), "to")
+        table = _one_per_source(routes, duplicates).withColumnRenamed("source", col)
     else:
         kept = check_routes(routes, duplicates)
         table = routes_frame(df.sparkSession, kept).select(F.col("source").alias(col), "to")

@@ -1,14 +1,19 @@
 """Exact similarity search over a stored collection.
 
-The collection is scanned where it lies and never broadcast or collected. One query
-vector becomes a literal of a score expression. Many query vectors are scored a
-block at a time against each Arrow batch, and only the k best per query leave a
-partition, so the volume shuffled is (partitions x queries x k), not all pairs.
+The collection is scanned where it lies and never broadcast, collected or shuffled. One
+query vector becomes a literal of a score expression. Many query vectors come in blocks of
+bounded bytes, each broadcast to one scan; only the k best per query leave a partition, so
+the volume shuffled is (partitions x queries x k), not all pairs.
+
+Points of another length than the query are not comparable and never a hit. Points without
+a score (a zero vector under cosine) rank last, with a NULL score.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,17 +24,17 @@ from pyspark.sql.window import Window
 
 from weirflow.functions.variants import as_string, schema_kind
 from weirflow.functions.vectors import dot, higher_is_better, norm, similarity
+from weirflow.session import checkpoint_root
 
-# Query vectors shipped with the task closure; a larger set takes the grid join.
-MAX_SHIPPED_QUERIES = 2_000
+# Bytes of query vectors that one scan of the collection takes along.
+BLOCK_BYTES = 8 << 20
 
-# Points scored at once, and points per grid cell: both bound a task's memory.
-_SLICE = 2_048
-_CELL_POINTS = 50_000
+# Scores held at once: bounds a task's memory.
+_SCORES = 4 << 20
 
 
 def _best_first(metric: str) -> Column:
-    return F.desc("score") if higher_is_better(metric) else F.asc("score")
+    return F.desc_nulls_last("score") if higher_is_better(metric) else F.asc_nulls_last("score")
 
 
 def knn(
@@ -53,14 +58,11 @@ def knn(
     else:
         score = similarity(metric, F.col(vector), target)
     best = F.col("score").desc_nulls_last() if higher_is_better(metric) else F.col("score").asc_nulls_last()
-    # Points without a score come last and are cut after the limit: a filter before it
-    # would be pushed down and score every point twice.
     return (
         collection.where(F.size(vector) == len(query))
         .withColumn("score", F.round(score, digits))
         .orderBy(best, F.asc(id))
         .limit(k)
-        .where(F.col("score").isNotNull())
     )
 
 
@@ -90,8 +92,9 @@ class _BestK:
         self.best = pd.DataFrame({"row": [], "cost": [], "id": []})
 
     def add(self, ids: np.ndarray, points: np.ndarray) -> None:
-        for start in range(0, len(ids), _SLICE):
-            self._add(ids[start : start + _SLICE], points[start : start + _SLICE])
+        step = max(1, _SCORES // max(1, len(self.qids)))
+        for start in range(0, len(ids), step):
+            self._add(ids[start : start + step], points[start : start + step])
 
     def _add(self, ids: np.ndarray, points: np.ndarray) -> None:
         cost = self.sign * np.round(_scores(self.metric, self.queries, points), self.digits)
@@ -99,7 +102,7 @@ class _BestK:
         bound = self.bound
         if cost.shape[1] >= self.k:
             bound = np.minimum(bound, np.partition(cost, self.k - 1, axis=1)[:, self.k - 1])
-        rows, cols = np.nonzero((cost <= bound[:, None]) & np.isfinite(cost))
+        rows, cols = np.nonzero(cost <= bound[:, None])
         if len(rows) == 0:
             return
         fresh = pd.DataFrame({"row": rows, "cost": cost[rows, cols], "id": ids[cols]})
@@ -111,11 +114,12 @@ class _BestK:
         self.bound[last["row"].to_numpy(dtype="int64")] = last["cost"].to_numpy()
 
     def rows(self) -> pd.DataFrame:
+        cost = self.best["cost"].to_numpy(dtype="float64")
         return pd.DataFrame(
             {
                 "query_id": self.qids[self.best["row"].to_numpy(dtype="int64")],
                 "id": self.best["id"].to_numpy(),
-                "score": self.sign * self.best["cost"].to_numpy(dtype="float64"),
+                "score": np.where(np.isfinite(cost), self.sign * cost, None),
             }
         )
 
@@ -144,16 +148,17 @@ def knn_many(
     query_id: str = "query_id",
     query_vector: str = "vector",
     digits: int = 6,
-    max_shipped: int = MAX_SHIPPED_QUERIES,
-    shards: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The k most similar points for every query: ``query_id, rank, id, score``.
 
-    Up to ``max_shipped`` queries are fetched (one row more is asked for, so the check
-    costs no count) and travel with the closure; above that both sides are laid out
-    on a grid of (query block, collection shard) and each cell is scored on its own.
-    Either way no pair of query and point ever becomes a row.
+    Queries are fetched partition by partition and gathered in blocks of ``block_bytes``,
+    so that the driver holds one block. A single block gives a lazy plan. Of more, each is
+    broadcast to one scan of the collection, whose hits are stored in the shared folder
+    before the next one is fetched. No pair of query and point ever becomes a row, and
+    points never move.
     """
+    spark = collection.sparkSession
     points = collection.select(F.col(id).alias("id"), F.col(vector).alias("v"))
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("q"))
     out = T.StructType(
@@ -163,16 +168,35 @@ def knn_many(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    few = asked.limit(max_shipped + 1).toPandas()
-    if len(few) > max_shipped:
-        candidates = _grid(points, asked, k, metric, digits, max_shipped, shards, out)
-    elif len(few) == 0:
-        return collection.sparkSession.createDataFrame([], out).selectExpr(
-            "query_id", "cast(0 as int) as rank", "id", "score"
-        )
-    else:
-        candidates = points.mapInPandas(_scan_with(few, k, metric, digits), out)
-    return _keep_best(candidates, k, metric)
+
+    def hits(block: list) -> DataFrame:
+        shared = spark.sparkContext.broadcast(pd.DataFrame(block, columns=["query_id", "q"]))
+        return _keep_best(points.mapInPandas(_scan_with(shared, k, metric, digits), out), k, metric)
+
+    blocks = _blocks(asked, block_bytes)
+    first, more = next(blocks, None), next(blocks, None)
+    if first is None:
+        return spark.createDataFrame([], out).selectExpr("query_id", "cast(0 as int) as rank", "id", "score")
+    if more is None:
+        return hits(first)
+    path = f"{checkpoint_root(spark)}/weirflow/knn-{uuid.uuid4().hex}"
+    for block in chain([first, more], blocks):
+        hits(block).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _blocks(asked: DataFrame, block_bytes: int) -> Iterator[list]:
+    """Queries in lists of at most ``block_bytes``, or of a single longer one."""
+    block, held = [], 0
+    for row in asked.where(F.col("q").isNotNull()).toLocalIterator():
+        size = 8 * len(row.q) + 64
+        if block and held + size > block_bytes:
+            yield block
+            block, held = [], 0
+        block.append((row.query_id, row.q))
+        held += size
+    if block:
+        yield block
 
 
 def _by_length(frame: pd.DataFrame, column: str) -> Iterator[tuple[int, pd.DataFrame]]:
@@ -180,13 +204,14 @@ def _by_length(frame: pd.DataFrame, column: str) -> Iterator[tuple[int, pd.DataF
     yield from usable.groupby(usable[column].map(len))
 
 
-def _scan_with(few: pd.DataFrame, k: int, metric: str, digits: int) -> Callable:
-    blocks = {
-        n: (part["query_id"].to_numpy(), _matrix(part["q"])) for n, part in _by_length(few, "q")
-    }
+def _scan_with(shared, k: int, metric: str, digits: int) -> Callable:
+    """A scan that keeps the k best points for each query of a broadcast block."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = {n: _BestK(ids, m, k, metric, digits) for n, (ids, m) in blocks.items()}
+        best = {
+            n: _BestK(part["query_id"].to_numpy(), _matrix(part["q"]), k, metric, digits)
+            for n, part in _by_length(shared.value, "q")
+        }
         for batch in batches:
             for n, part in _by_length(batch, "v"):
                 if n in best:
@@ -197,43 +222,6 @@ def _scan_with(few: pd.DataFrame, k: int, metric: str, digits: int) -> Callable:
     return scan
 
 
-def _grid(
-    points: DataFrame,
-    asked: DataFrame,
-    k: int,
-    metric: str,
-    digits: int,
-    block: int,
-    shards: int | None,
-    out: T.StructType,
-) -> DataFrame:
-    """Score every query block against every collection shard, a cell per task group."""
-    shards = shards or max(1, -(-points.count() // _CELL_POINTS))
-    blocks = -(-asked.count() // block)
-    left = points.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    right = asked.withColumn(
-        "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-
-    def cell(pts: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        by_length = {n: part for n, part in _by_length(pts, "v")} if len(pts) else {}
-        for n, part in _by_length(qs, "q") if len(qs) else ():
-            if n in by_length:
-                best = _BestK(part["query_id"].to_numpy(), _matrix(part["q"]), k, metric, digits)
-                best.add(by_length[n]["id"].to_numpy(), _matrix(by_length[n]["v"]))
-                found.append(best.rows())
-        if not found:
-            return pd.DataFrame({"query_id": [], "id": [], "score": []})
-        return pd.concat(found)
-
-    return left.groupBy("block", "shard").cogroup(right.groupBy("block", "shard")).applyInPandas(
-        cell, out
-    )
-
-
 def format_hits(
     hits: DataFrame,
     fields: Sequence[str],

@@ -84,13 +84,23 @@ def _has_type(v: Column, kind: Column, name: str) -> Column:
     raise SpecError(f"unknown type {name!r} in schema")
 
 
+def _compared(v: Column, kind: Column, bound: int | float, test: Callable[[Column, Column], Column]) -> Column:
+    """A number against a bound; whole ones as integers, for doubles round above 2**53."""
+    real = test(as_double(v), F.lit(float(bound)))
+    if bound != int(bound) or abs(bound) >= 10**38:
+        return real
+    whole = (kind == "BIGINT") | (kind.startswith("DECIMAL(") & kind.endswith(",0)"))
+    exact = test(F.try_variant_get(v, "$", "decimal(38,0)"), F.lit(str(int(bound))).cast("decimal(38,0)"))
+    return F.when(whole, exact).otherwise(real)
+
+
 def _equals(v: Column, kind: Column, wanted) -> Column:
     if isinstance(wanted, bool):
         return (kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == F.lit(wanted))
     if wanted is None:
         return kind == "VOID"
     if isinstance(wanted, (int, float)):
-        return is_number_kind(kind) & (as_double(v) == F.lit(float(wanted)))
+        return is_number_kind(kind) & _compared(v, kind, wanted, lambda a, b: a == b)
     if isinstance(wanted, str):
         return (kind == "STRING") & (as_string(v) == F.lit(wanted))
     text = json.dumps(wanted, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
@@ -135,11 +145,11 @@ def _kind_checks(schema: dict, v: Column, kind: Column, where: str, assert_forma
         miss = ~F.rlike(as_string(v), F.lit(_end_strictly(schema["pattern"])))
         yield fail((kind == "STRING") & miss, "does not match the pattern")
     if "minimum" in schema:
-        low = F.lit(float(schema["minimum"]))
-        yield fail(is_number_kind(kind) & (as_double(v) < low), "below the minimum")
+        below = _compared(v, kind, schema["minimum"], lambda a, b: a < b)
+        yield fail(is_number_kind(kind) & below, "below the minimum")
     if "maximum" in schema:
-        high = F.lit(float(schema["maximum"]))
-        yield fail(is_number_kind(kind) & (as_double(v) > high), "above the maximum")
+        above = _compared(v, kind, schema["maximum"], lambda a, b: a > b)
+        yield fail(is_number_kind(kind) & above, "above the maximum")
     if assert_format and "format" in schema:
         ok = _format_ok(as_string(v), schema["format"])
         if ok is not None:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from weirflow.functions.headers import client_ip, normalize_headers
 from weirflow.functions.ids import point_id, record_id
 from weirflow.functions.topics import effective_reliable, valid_topic
-from weirflow.functions.variants import as_string, at_path, child, json_path, strict_json
+from weirflow.functions.variants import as_double, as_string, at_path, child, json_path, strict_json
 from weirflow.operators import (
     admit,
     decode,
@@ -383,6 +383,19 @@ def typed_projection(spark, sf):
     return typed.select("event_id", "device", "floor", "value", "battery", at, _joined().alias("errors"))
 
 
+@query(
+    """SELECT event_id, CASE WHEN event_id % 10 IN (0, 5) THEN NULL ELSE regexp_extract(props, '[0-9]+')::BIGINT END AS k,
+    CASE event_id % 10 WHEN 0 THEN 'message: not JSON' WHEN 5 THEN 'message: not an object' ELSE '' END AS errors FROM events"""
+)
+def typed_projection_bad(spark, sf):
+    """Payloads of which every tenth is no JSON, and every tenth no object."""
+    kind = F.col("event_id") % 10
+    payload = F.when(kind == 0, F.concat("props", F.lit("}"))).when(kind == 5, F.lit(" [1]")).otherwise(F.col("props"))
+    rows = _events(spark, sf).select("event_id", payload.alias("payload"))
+    typed = project.project_fields(rows, [FieldMapping("k", "k", "Int64")], keep=["event_id"])
+    return typed.select("event_id", "k", _joined().alias("errors"))
+
+
 @query(
     f"""SELECT errors = 'kind_number: not Int32' AS only_kind, count(*)::BIGINT AS n,
     round(sum(value), 2) AS total FROM ({_PROJECTED}) GROUP BY 1"""
@@ -396,19 +409,38 @@ def required_split(spark, sf):
 
 
 @query(
-    f"""SELECT event_id, name, value FROM (SELECT event_id,
-    unnest(['device.id', 'device.place.floor', 'kind', 'value', 'battery', 'marks', 'at']) AS name,
-    unnest(['"dev-' || user_id || '"', (event_id % 5)::VARCHAR, '"' || event_type || '"',
-        CASE WHEN event_id % 6 <> 0 THEN 'number' END, (event_id % 130)::VARCHAR,
-        '[' || (event_id % 4) || ']', '"' || {_SECONDS} || '"']) AS value FROM events)
-    WHERE value IS NOT NULL"""
+    f"""SELECT event_id, name, value, number FROM (SELECT event_id,
+    unnest(['device.id', 'device.place.floor', 'kind', 'battery', 'marks', 'at']) AS name,
+    unnest(['"dev-' || user_id || '"', (event_id % 5)::VARCHAR, '"' || event_type || '"', (event_id % 130)::VARCHAR,
+        '[' || (event_id % 4) || ']', '"' || {_SECONDS} || '"']) AS value, NULL::DOUBLE AS number FROM events)
+    UNION ALL SELECT event_id, 'value', NULL, round(value, 6) FROM events WHERE event_id % 6 <> 0"""
 )
 def flatten_payload(spark, sf):
     parsed = _rich(spark, sf).select("event_id", strict_json(F.col("payload")).alias("v"))
-    flat = with_once(parsed, m=flatten.flatten_json(F.col("v")))
-    rows = flat.select("event_id", F.explode("m").alias("name", "v"))
-    value = F.when(F.col("name") == "value", "number").otherwise(F.to_json("v"))
-    return rows.select("event_id", "name", value.alias("value"))
+    rows = flatten.with_flat(parsed, "v", "m").select("event_id", F.explode("m").alias("name", "v"))
+    is_number = F.col("name") == "value"
+    return rows.select(
+        "event_id",
+        "name",
+        F.when(~is_number, F.to_json("v")).alias("value"),
+        F.when(is_number, F.round(as_double(F.col("v")), 6)).alias("number"),
+    )
+
+
+@query(
+    """SELECT event_id, 'top' || repeat('.a', (event_id % 100)::INTEGER) AS name, event_id::VARCHAR AS value FROM events
+    UNION ALL SELECT event_id, 'list', '[1,"x"]' FROM events"""
+)
+def flatten_deep(spark, sf):
+    """Objects nested 1 to 100 levels deep, the deeper ones finished outside the native levels."""
+    depth = (F.col("event_id") % 100).cast("int")
+    text = F.concat(
+        F.lit('{"list":[1,{"q":1},"x",[2]],"none":null,"top":'), F.repeat(F.lit('{"a":'), depth),
+        F.col("event_id").cast("string"), F.repeat(F.lit("}"), depth), F.lit("}"),
+    )
+    parsed = _events(spark, sf).select("event_id", strict_json(text).alias("v"))
+    rows = flatten.with_flat(parsed, "v", "m").select("event_id", F.explode("m").alias("name", "v"))
+    return rows.select("event_id", "name", F.to_json("v").alias("value"))
 
 
 # -- metadata, ids, documents, points ------------------------------------------
@@ -467,7 +499,7 @@ def timeseries_timestamp(spark, sf):
 def metadata_fields(spark, sf):
     messages = inputs.messages(_events(spark, sf))
     parsed = messages.withColumn("v", strict_json(F.col("payload")))
-    flat = parsed.withColumn("payload_fields", flatten.flatten_json(F.col("v")))
+    flat = flatten.with_flat(parsed, "v", "payload_fields")
     full = fence(enrich.add_metadata_fields(flat), ["payload_fields"])
     rows = full.select("event_id", F.explode("payload_fields").alias("name", "v"))
     return rows.select("event_id", "name", F.to_json("v").alias("value"))
@@ -602,14 +634,27 @@ def validate_pattern(spark, sf):
 
 
 @query(
-    """SELECT event_id, concat_ws('; ', 'kind: not a valid ipv4', 'at: not a valid date-time',
-    'device.id: not a valid email') AS errors FROM events"""
+    f"""SELECT event_id, concat_ws('; ', CASE WHEN event_id % 2 = 0 THEN 'ip: not a valid ipv4' END,
+    CASE WHEN event_id % 3 = 0 THEN 'at: not a valid date-time' END,
+    CASE WHEN event_id % 5 = 0 THEN 'mail: not a valid email' END) AS errors FROM events"""
 )
 def validate_format(spark, sf):
+    """Good and bad values of each format."""
+
     def form(name):
         return {"type": "string", "format": name}
 
-    return _checked(spark, sf, _object(kind=form("ipv4"), at=form("date-time"), device=_object(id=form("email"))))
+    n = F.col("event_id").cast("string")
+    octet = F.when(F.col("event_id") % 2 == 0, F.col("event_id") % 100 + 256).otherwise(F.col("event_id") % 256)
+    body = F.struct(
+        F.concat(F.lit("10.1.2."), octet.cast("string")).alias("ip"),
+        F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("at"),
+        F.concat(F.lit("u"), n, F.when(F.col("event_id") % 5 == 0, "").otherwise("@example.org")).alias("mail"),
+    )
+    rows = _events(spark, sf).select("event_id", F.to_json(body).alias("payload"))
+    checked = validate.check_schema(rows, _object(ip=form("ipv4"), at=form("date-time"), mail=form("email")))
+    return checked.select("event_id", _joined().alias("errors"))
 
 
 @query(
@@ -622,11 +667,29 @@ def validate_extra_keys(spark, sf):
 
 
 @query(
-    """SELECT event_id, concat_ws('; ', 'marks: fewer than 3 items', 'marks: an item is not integer')
-    AS errors FROM events"""
+    """SELECT event_id, concat_ws('; ', CASE WHEN event_id % 4 < 2 THEN 'marks: fewer than 3 items' END,
+    CASE WHEN event_id % 3 = 0 THEN 'marks: an item is not integer' END) AS errors FROM events"""
 )
 def validate_items(spark, sf):
-    return _checked(spark, sf, _object(marks={"type": "array", "items": {"type": "integer"}, "minItems": 3}))
+    """Lists of 1 to 4 items, some with an item that is no integer."""
+    last = F.when(F.col("event_id") % 3 == 0, "1.5").otherwise("7")
+    items = F.concat(F.repeat(F.lit("2,"), (F.col("event_id") % 4).cast("int")), last)
+    rows = _events(spark, sf).select("event_id", F.concat(F.lit('{"marks":['), items, F.lit("]}")).alias("payload"))
+    schema = _object(marks={"type": "array", "items": {"type": "integer"}, "minItems": 3})
+    return validate.check_schema(rows, schema).select("event_id", _joined().alias("errors"))
+
+
+@query(
+    """SELECT event_id, CASE WHEN event_id % 3 = 1 THEN '' WHEN event_id % 3 = 0 THEN 'message: not the constant value; message: below the minimum'
+    ELSE 'message: not the constant value; message: above the maximum' END AS errors FROM events"""
+)
+def validate_large_numbers(spark, sf):
+    """Whole numbers that are one double, but not one number."""
+    number = (F.lit(9007199254740992) + F.col("event_id") % 3).cast("string")
+    rows = _events(spark, sf).select("event_id", number.alias("payload"))
+    wanted = 9007199254740993
+    checked = validate.check_schema(rows, {"const": wanted, "minimum": wanted, "maximum": wanted})
+    return checked.select("event_id", _joined().alias("errors"))
 
 
 @query(
@@ -654,17 +717,37 @@ def validate_split_counts(spark, sf):
 
 
 @query(
-    """SELECT event_id, true AS is_string, false AS is_number, true AS is_bytes FROM events"""
+    """SELECT event_id, event_id % 4 <> 3 AS is_string, event_id % 4 = 1 AS is_number, true AS is_bytes FROM events"""
 )
 def validate_primitives(spark, sf):
-    df = inputs.device_publishes(_events(spark, sf)).select("event_id", "payload")
-    for kind in ("string", "number", "bytes"):
-        df = validate.validate_primitive(df, kind, errors=f"_{kind}")
+    """Bytes that are an object, a number, plain text, or no UTF-8."""
+    kind = F.col("event_id") % 4
+    text = F.when(kind == 1, F.col("event_id").cast("string")).when(kind == 2, "plain").otherwise(F.col("props"))
+    raw = F.when(kind == 3, F.unhex(F.lit("ff31"))).otherwise(F.encode(text, "utf-8"))
+    df = _events(spark, sf).select("event_id", raw.alias("payload"))
+    for name in ("string", "number", "bytes"):
+        df = validate.validate_primitive(df, name, errors=f"_{name}")
     return df.select(
         "event_id", *[(F.size(f"_{k}") == 0).alias(f"is_{k}") for k in ("string", "number", "bytes")]
     )
 
 
+@query(
+    """SELECT subject, version, schema_json FROM (SELECT event_type AS subject, 'v' || k AS schema_json,
+    (1 + row_number() OVER (PARTITION BY event_type ORDER BY first_id))::INTEGER AS version FROM (
+        SELECT event_type, event_id % 3 AS k, min(event_id) AS first_id FROM events WHERE event_id % 3 <> 2 GROUP BY ALL))"""
+)
+def schema_offers(spark, sf):
+    """Several texts offered for one subject: each becomes a version, the known one none."""
+    events = _events(spark, sf)
+    offered = events.select(
+        "event_id", F.col("event_type").alias("subject"), F.lit("json_schema").alias("schema_type"),
+        F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string")).alias("schema_json"),
+    )
+    known = offered.where("schema_json = 'v2'").select("subject", F.lit(1).alias("version"), "schema_type", "schema_json").distinct()
+    return registry.register_schemas(known, offered, ["event_id"]).select("subject", "version", "schema_json")
+
+
 # -- schema registry -----------------------------------------------------------
 
 
@@ -806,10 +889,41 @@ def admission_window(spark, sf):
     return judged.select("request_id", "status", "error")
 
 
-@query()
+def _bucket_cte(name: str, rows: str, key: str, period_us: int, burst: int) -> str:
+    """``rows`` (with event_id and t) judged by a bucket per key, one step per event."""
+    room = (burst - 1) * period_us
+    return f"""{name}_o AS MATERIALIZED (SELECT {key} AS key, event_id, t,
+        row_number() OVER (PARTITION BY {key} ORDER BY t, event_id) AS n FROM {rows}),
+    {name} AS (
+        SELECT key, event_id, n, true AS allowed, t + {period_us} AS tat FROM {name}_o WHERE n = 1
+        UNION ALL
+        SELECT o.key, o.event_id, o.n, r.tat - o.t <= {room},
+            CASE WHEN r.tat - o.t <= {room} THEN greatest(r.tat, o.t) + {period_us} ELSE r.tat END
+        FROM {name} r JOIN {name}_o o ON o.key = r.key AND o.n = r.n + 1)"""
+
+
+# Time runs 20,000 times faster, so that a second holds many requests.
+_FASTER = 20_000
+_ADDRESS = "CASE WHEN user_id % 2 = 0 OR user_id % 3 <> 0 THEN '10.0.' || (user_id % 200) || '.7' END"
+_CHAIN = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT *, {_US} // {_FASTER} AS t, {_ADDRESS} AS address FROM events),
+    {_bucket_cte("first", "(SELECT * FROM e WHERE event_type <> 'signup' AND event_id % 11 <> 0 AND event_id % 13 <> 0)",
+                 "event_type", 100_000, 4)},
+    {_bucket_cte("second", "(SELECT e.* FROM e JOIN first f USING (event_id) WHERE f.allowed AND address IS NOT NULL)",
+                 "address", 500_000, 4)}"""
+
+
+@query(
+    f"""{_CHAIN} SELECT event_id AS request_id, {_ADMIT.format(over="NOT coalesce(f.allowed, true) OR NOT coalesce(s.allowed, true)")}
+    AS status, CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 AND NOT s.allowed
+    THEN 'Rate limit exceeded for IP: ' || address ELSE {_ADMIT_ERROR.format(over="NOT coalesce(f.allowed, true)")} END AS error
+    FROM e LEFT JOIN first f USING (event_id) LEFT JOIN second s USING (event_id)"""
+)
 def admission_bucket(spark, sf):
+    """A bucket for each endpoint, then one for each address over all endpoints."""
     requests = inputs.http_requests(_events(spark, sf))
-    spec = _admission("bucket", RateLimit(1, 2, per_ip=True))
+    faster = F.floor(F.unix_micros(F.col("received_at").cast("timestamp")) / _FASTER).cast("bigint")
+    requests = requests.withColumn("received_at", F.timestamp_micros(faster))
+    spec = _admission("bucket", RateLimit(10, 4, per_ip=True, per_ip_rps=2))
     return admit.admit_requests(requests, spec).select("request_id", "status", "error")
 
 
@@ -933,16 +1047,20 @@ def insert_keep_last(spark, sf):
 def fan_out_tables(spark, sf):
     root = _store(spark, "fan_out")
     names = {"/events/click": "web", "/events/view": "web", "/events/purchase": "sales"}
-    routes = [Route(topic, f"{root}/{name}{topic}") for topic, name in names.items()]
+    # Clicks and views feed one table.
+    routes = [Route(topic, f"{root}/{name}") for topic, name in names.items()]
     mapping = [FieldMapping("k", "k", "Int64", False)]
+    declared = project.declared_schema(mapping).add("topic", "string")
 
     def shape(route, rows):
         return project.good_rows(project.project_fields(rows, mapping, keep=["topic"]))
 
     messages = inputs.messages(_events(spark, sf)).select("topic", "payload")
-    fan_out(messages, routes, table_writer(shape, 0), 0, "drop")
+    # The batch is stored twice, as a replay would.
+    for _ in range(2):
+        fan_out(messages, routes, table_writer(shape, 0, declared=declared), 0, "drop")
     stored = union_envelopes(
-        *[spark.read.parquet(r.to).withColumn("target", F.lit(names[r.source])) for r in routes]
+        *[spark.read.parquet(f"{root}/{name}").withColumn("target", F.lit(name)) for name in ("web", "sales")]
     )
     return stored.groupBy("target").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
 
@@ -1028,7 +1146,15 @@ def append_and_overwrite(spark, sf):
 def rate_limit_streamed(spark, sf):
     """The bucket per event type with the events read as a stream."""
     path = _store(spark, "limited")
-    judged = rate_limit_stream(_event_stream(spark, sf), ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
+    # The table arrives as four files in the order of time, a micro-batch each.
+    events = _events(spark, sf).select("event_id", "event_type", "ts")
+    span = events.agg(F.min("ts"), F.max("ts")).first()
+    edges = [span[0] + (span[1] - span[0]) * k / 4 for k in range(1, 4)]
+    part = sum(((F.col("ts") >= F.lit(e)).cast("int") for e in edges), F.lit(0))
+    for k in range(4):
+        events.where(part == k).coalesce(1).write.mode("append").parquet(f"{path}/landed")
+    landed = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
+    judged = rate_limit_stream(landed, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
     run_stream(
         judged,
         lambda rows, batch: write_batch(rows, f"{path}/table", batch),
@@ -1197,24 +1323,26 @@ def knn_manhattan(spark, sf):
 
 _MANY = f"""SELECT query_id, rank, id, score FROM (
     SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank
-    FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {_score_sql("cosine")[0]} AS score
-    FROM embeddings e, embeddings q)) WHERE rank <= 3"""
+    FROM (SELECT q.label AS query_id, e.vec_id AS id, {_score_sql("cosine")[0]} AS score
+    FROM embeddings e, (SELECT label, arg_min(embedding, vec_id) AS embedding FROM embeddings GROUP BY label) q)) WHERE rank <= 30"""
+
+
+def _label_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """One vector for each label, found in the whole table."""
+    vectors = inputs.table(spark, sf, "embeddings")
+    return vectors.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("vector"))
 
 
 @query(_MANY)
 def knn_many(spark, sf):
-    """The three nearest points of every stored vector."""
-    collection = _collection(spark, sf)
-    asked = collection.withColumnRenamed("id", "query_id")
-    return search.knn_many(collection, asked, 3, "cosine")
+    """The nearest points of one vector for each label."""
+    return search.knn_many(_collection(spark, sf), _label_queries(spark, sf), 30, "cosine")
 
 
 @query(_MANY)
 def knn_many_grid(spark, sf):
-    """The same, with the query side taken as too large to ship."""
-    collection = _collection(spark, sf)
-    asked = collection.withColumnRenamed("id", "query_id")
-    return search.knn_many(collection, asked, 3, "cosine", max_shipped=200)
+    """The same, with so little room for queries that they come in several blocks."""
+    return search.knn_many(_collection(spark, sf), _label_queries(spark, sf), 30, "cosine", block_bytes=2000)
 
 
 @query(

@@ -6,7 +6,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from weirflow.specs import SpecError
 
 # Settings that change results, not speed: all of them are runtime-settable.
 _REQUIRED = {
@@ -17,7 +19,8 @@ _REQUIRED = {
 }
 
 # Measured: generated methods above 8000 bytes of code are never compiled by the JVM.
-# Wide checking and typing projections run faster when Spark cuts them up instead.
+# Wide checking and typing projections run faster when Spark cuts them up instead. These
+# settings concern speed only, so a session gets them when it asks for them.
 _SPEED = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
@@ -38,10 +41,13 @@ def ship_package(spark: SparkSession) -> None:
     context._weirflow_shipped = True
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators need to an existing session, and ship the package."""
+def configure(spark: SparkSession, speed: bool = False) -> SparkSession:
+    """Apply the settings the operators need to an existing session, and ship the package.
+
+    ``speed`` also sets what only makes wide projections faster, for the whole session.
+    """
     ship_package(spark)
-    for key, value in (_REQUIRED | _SPEED).items():
+    for key, value in (_REQUIRED | (_SPEED if speed else {})).items():
         spark.conf.set(key, value)
     return spark
 
@@ -58,27 +64,20 @@ def new_session(master: str = "local[*]", app: str = "weirflow", **conf: str) ->
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return configure(builder.getOrCreate())
+    return configure(builder.getOrCreate(), speed=True)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for streaming checkpoints and cut lineage.
+    """The shared folder for streaming checkpoints and stored intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset, as
-    in tests, a temporary folder is made and remembered for the session.
+    A cluster names it in ``spark.checkpoint.dir``. On a local master a temporary folder
+    will do; elsewhere driver and executors would each see their own, so it must be set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "weirflow.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("weirflow.checkpoint.dir", None)
     if root is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise SpecError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="weirflow-ckpt-")
         spark.conf.set("weirflow.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows stored once in the shared folder, for results that are read several times."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()

@@ -10,10 +10,12 @@ from weirflow.sinks.tables import (
     new_documents,
     read_latest,
     storage_conf,
+    storage_root,
     upsert_by_key,
     write_append,
     write_batch,
     write_overwrite,
+    without_key,
 )
 
 __all__ = [
@@ -26,7 +28,9 @@ __all__ = [
     "new_documents",
     "read_latest",
     "storage_conf",
+    "storage_root",
     "upsert_by_key",
+    "without_key",
     "write_append",
     "write_batch",
     "write_overwrite",

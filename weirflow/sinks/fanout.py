@@ -10,11 +10,13 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.util import inheritable_thread_target
 
 from weirflow.operators.routing import route_exact
 from weirflow.operators.stats import BATCH_LOG
 from weirflow.sinks.tables import write_append, write_batch
+from weirflow.sources.envelope import union_envelopes
 from weirflow.specs import Route, SpecError, check_routes
 
 
@@ -26,24 +28,32 @@ class FanOutError(RuntimeError):
         self.log = log
 
 
+#: Stores the rows of all routes that share a target, once: (target, [(route, rows), ...]).
+TargetWriter = Callable[[str, list[tuple[Route, DataFrame]]], None]
+
+
 def fan_out(
     df: DataFrame,
     routes: Sequence[Route],
-    write: Callable[[Route, DataFrame], None],
+    write: TargetWriter,
     batch_id: int = 0,
     on_unrouted: str = "fail",
     quarantine: Callable[[DataFrame], None] | None = None,
     duplicates: str = "reject",
     parallel: int = 4,
     log_path: str | None = None,
+    empty_targets: bool = True,
 ) -> DataFrame:
-    """Group a batch by topic, find each topic's route and write every group.
-
-    ``write(route, rows)`` shapes and stores one group; make it idempotent per batch
-    (see write_batch), because a failed batch is run again as a whole. The batch is
-    held once (memory, then disk) and read per route. Unrouted messages stop the batch
-    before anything is written ('fail'), are left out ('drop'), or are handed to
-    ``quarantine``. Returns the batch log, one row per route that had rows.
+    """Group a batch by topic, find each topic's route and write every target once.
+
+    ``write(target, parts)`` stores what several topics bring to one table in one write;
+    make it idempotent per batch (see write_batch), because a failed batch is run again as
+    a whole. With ``empty_targets`` it is also called for targets without rows, so that a
+    repeat that brings nothing replaces what the first attempt stored. The batch is held
+    once (memory, then disk) and read per target. Unrouted messages stop the batch before
+    anything is written ('fail'), are left out ('drop'), or are handed to ``quarantine``.
+    Returns the batch log, one row per route that had rows; the routes of a target share
+    its time and error.
     """
     kept = check_routes(routes, duplicates)
     if on_unrouted not in ("fail", "drop", "quarantine"):
@@ -51,7 +61,6 @@ def fan_out(
     spark = df.sparkSession
     routed = route_exact(df, kept).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Grouped by source as well: two topics may feed the same table.
         label = F.when(F.col("to").isNotNull(), F.col("topic"))
         # One row per route at most, plus one for all that is unrouted.
         counts = {
@@ -64,20 +73,28 @@ def fan_out(
             if quarantine is None:
                 raise SpecError("on_unrouted='quarantine' needs a quarantine writer")
             quarantine(routed.where(F.col("to").isNull()).drop("to"))
+        targets: dict[str, list[Route]] = {}
+        for route in kept:
+            targets.setdefault(route.to, []).append(route)
 
-        def run(route: Route) -> tuple:
+        def run(target: str) -> list[tuple]:
             started, clock = datetime.now(timezone.utc), time.monotonic()
             error = None
+            parts = [(r, routed.where(F.col("topic") == r.source).drop("to")) for r in targets[target]]
             try:
-                write(route, routed.where(F.col("topic") == route.source).drop("to"))
-            except Exception as e:  # noqa: BLE001 - every route is tried, then all is raised
-                error = f"{type(e).__name__}: {str(e)[:500]}"
+                write(target, parts)
+            except Exception as e:  # noqa: BLE001 - every target is tried, then all is raised
+                error = f"{type(e).__name__}: {e}"
             took = int((time.monotonic() - clock) * 1000)
-            return (batch_id, route.source, route.to, counts[route.source], started, took, error)
+            return [
+                (batch_id, r.source, target, counts.get(r.source, 0), started, took, error)
+                for r in targets[target]
+                if counts.get(r.source) or error
+            ]
 
-        todo = [r for r in kept if counts.get(r.source)]
+        todo = [t for t, own in targets.items() if empty_targets or any(counts.get(r.source) for r in own)]
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            rows = list(pool.map(inheritable_thread_target(spark)(run), todo))
+            rows = [x for found in pool.map(inheritable_thread_target(spark)(run), todo) for x in found]
     finally:
         routed.unpersist()
     log = spark.createDataFrame(rows, BATCH_LOG)
@@ -114,10 +131,19 @@ def write_partitioned(
     )
 
 
-def table_writer(shape: Callable[[Route, DataFrame], DataFrame], batch_id: int, fmt: str = "parquet"):
-    """A ``write`` for fan_out: shape the rows, store them under ``route.to`` once."""
+def table_writer(
+    shape: Callable[[Route, DataFrame], DataFrame],
+    batch_id: int,
+    fmt: str = "parquet",
+    declared: T.StructType | None = None,
+) -> TargetWriter:
+    """A ``write`` for fan_out: shape the rows of each route, store a target's rows once.
+
+    ``declared`` is the schema of the tables, which are made and checked with it.
+    """
 
-    def write(route: Route, rows: DataFrame) -> None:
-        write_batch(shape(route, rows), route.to, batch_id, fmt, app_id=route.to)
+    def write(target: str, parts: list[tuple[Route, DataFrame]]) -> None:
+        rows = union_envelopes(*[shape(route, part) for route, part in parts])
+        write_batch(rows, target, batch_id, fmt, target, declared)
 
     return write

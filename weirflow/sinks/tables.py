@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 from weirflow.specs import CollectionSpec, SpecError, check_storage
 
 BATCH = "batch_id"
+#: The batch of a table that was made before anything was stored in it; it has no rows.
+EMPTY_BATCH = -1
 
 
 def write_append(
@@ -40,60 +42,81 @@ def write_batch(
     batch_id: int,
     fmt: str = "parquet",
     app_id: str = "weirflow",
+    declared: T.StructType | None = None,
     **options,
 ) -> None:
     """Store a micro-batch so that storing it again changes nothing.
 
-    File formats keep it in its own ``batch_id`` partition, which a repeat replaces.
+    File formats keep it in its own ``batch_id`` partition, which a repeat replaces, also
+    by nothing. With ``declared`` the table is made with these columns when it is missing,
+    and must have them when it is there; so must the batch.
     """
+    if declared is not None:
+        _same_columns("batch", df.schema, declared)
+        ensure_table(df.sparkSession, path, declared, fmt, None if fmt == "delta" else EMPTY_BATCH)
     if fmt == "delta":
         write_append(df, path, fmt, txnAppId=app_id, txnVersion=str(batch_id), **options)
         return
-    (
-        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.format(fmt)
-        .options(**options)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .mode("overwrite")
-        .save(path)
-    )
+    df.write.format(fmt).options(**options).mode("overwrite").save(f"{path}/{BATCH}={int(batch_id)}")
 
 
 # Error conditions that say there is no table yet; any other failure is passed on.
 _NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_MISSING_DELTA_TABLE"}
 
 
+def _same_columns(what: str, found: T.StructType, declared: T.StructType) -> None:
+    have = {f.name: f.dataType for f in found.fields}
+    for field in declared.fields:
+        if have.get(field.name) != field.dataType:
+            raise SpecError(
+                f"{what}: column {field.name} is {have.get(field.name, 'missing')}, declared {field.dataType}"
+            )
+
+
 def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", batch_id: int | None = None
 ) -> DataFrame:
     """Open the table at ``path``, or make it empty with the declared schema.
 
-    An existing table must have the declared column names and types.
+    An existing table must have the declared column names and types. ``batch_id`` names the
+    partition of a table of batches that is made empty.
     """
     try:
         found = spark.read.format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() not in _NO_TABLE:
             raise
-        spark.createDataFrame([], schema).write.format(fmt).mode("append").save(path)
+        place = path if batch_id is None else f"{path}/{BATCH}={batch_id}"
+        spark.createDataFrame([], schema).write.format(fmt).mode("append").save(place)
         return spark.read.format(fmt).schema(schema).load(path)
-    have = {f.name: f.dataType for f in found.schema.fields}
-    for field in schema.fields:
-        if have.get(field.name) != field.dataType:
-            raise SpecError(
-                f"table {path}: column {field.name} is "
-                f"{have.get(field.name, 'missing')}, declared {field.dataType}"
-            )
+    _same_columns(f"table {path}", found.schema, schema)
     return found
 
 
+def _named(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows; one without a key stops the query instead of replacing another."""
+    checked = {
+        k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"row without {k}")).cast(df.schema[k].dataType)).otherwise(F.col(k))
+        for k in key
+    }
+    return df.withColumns(checked)
+
+
+def without_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows with a NULL in the key, to be set aside before an upsert."""
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(k).isNull()
+    return df.where(missing)
+
+
 def latest_by_key(df: DataFrame, key: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
     """The last row per key. Earlier ones are cut before the shuffle, so a hot key is
-    one row per task by the time it moves."""
+    one row per task by the time it moves. A NULL key stops the query."""
     last_first = [F.col(c).desc() if isinstance(c, str) else c for c in order_by]
     place = Window.partitionBy(*key).orderBy(*last_first)
-    return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
+    numbered = _named(df, key).withColumn("_place", F.row_number().over(place))
+    return numbered.where("_place = 1").drop("_place")
 
 
 def upsert_by_key(
@@ -213,6 +236,18 @@ def ensure_collection(catalog: DataFrame, spec: CollectionSpec) -> DataFrame:
     return catalog.unionByName(catalog_frame(catalog.sparkSession, [spec]))
 
 
+def _azure_host(options: dict) -> str:
+    return f"{options['account']}.dfs.core.windows.net"
+
+
+def storage_root(backend: str, **options) -> str:
+    """The URI that paths of a backend start with."""
+    check_storage(backend, options)
+    if backend == "azure":
+        return f"abfss://{options['container']}@{_azure_host(options)}"
+    return f"{'s3a' if backend == 's3' else 'gs'}://{options['bucket']}" if options.get("bucket") else ""
+
+
 def storage_conf(backend: str, **options) -> dict[str, str]:
     """Hadoop settings of a storage backend, for ``spark.hadoop.*`` or read/write options.
 
@@ -229,9 +264,7 @@ def storage_conf(backend: str, **options) -> dict[str, str]:
         if options.get("allow_http"):
             conf["fs.s3a.connection.ssl.enabled"] = "false"
     elif backend == "azure":
-        host = f"{options['account']}.dfs.core.windows.net"
-        conf[f"fs.azure.account.auth.type.{host}"] = options.get("auth_type", "SharedKey")
-        conf["fs.defaultFS"] = f"abfss://{options['container']}@{host}"
+        conf[f"fs.azure.account.auth.type.{_azure_host(options)}"] = options.get("auth_type", "SharedKey")
     else:
         conf["fs.gs.project.id"] = options["project"]
     return conf
