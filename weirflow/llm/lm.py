@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from weirflow.llm.common import id_and_text, stored
 
-BLOCK_WORDS = 1_500_000
+BLOCK_WORDS = 1_000_000
 PART_KEYS = 1_000_000
 _END = np.uint64(xxhash.xxh64_intdigest(b" end"))
 _START = np.uint64(xxhash.xxh64_intdigest(b" start"))
@@ -296,44 +296,41 @@ class Automaton:
         self.state_seen = [None] + [totals[k] > 0 for k in range(1, model.order + 1)]
         self.base = np.log10(chance[1][:-1])
 
-    def _steps(self) -> list:
-        """For each order and token: the arc's weight (None if there is no arc), and the failure weight."""
-        g = self.grams
-        arcs, fails = [None], [None]
-        for k in range(1, self.order + 1):
-            at = g.at[k]
-            weight = self.weight[k][at].tolist()
-            if k > 1:
-                there = (at >= 0) & self.seen[k][at]
-                weight = [w if t else None for w, t in zip(weight, there.tolist(), strict=True)]
-            arcs.append(weight)
-            fails.append(self.fail[k][at].tolist())
-        return arcs, fails
+    def _arcs(self, k: int, a: int, b: int) -> list[float]:
+        """Weights of the arcs of order k that tokens a to b would take; NaN where there is none."""
+        at = self.grams.at[k][a:b]
+        weight = self.weight[k][at]
+        if k > 1:
+            weight = np.where((at >= 0) & self.seen[k][at], weight, np.nan)
+        return weight.tolist()
 
     def traverse(self) -> np.ndarray:
         """log10 probability of each text, each read once from left to right."""
-        arcs, fails = self._steps()
-        start_fail = float(self.fail[1][-1]) if self.state_seen[1][-1] else 0.0
-        start_state = 1 if self.state_seen[1][-1] else 0
-        known = [None] + [self.state_seen[k][self.grams.at[k]].tolist() for k in range(1, self.order + 1)]
+        orders = range(1, self.order + 1)
+        start_seen = bool(self.state_seen[1][-1])
+        start_fail = float(self.fail[1][-1]) if start_seen else 0.0
         order, longest = self.order, self.order - 1
-        out, i = np.zeros(len(self.grams.lengths)), 0
+        out, end = np.zeros(len(self.grams.lengths)), 0
         for d, n in enumerate(self.grams.lengths.tolist()):
+            begin, end = end, end + n
+            at = [None] + [self.grams.at[k][begin:end] for k in orders]
+            arcs = [None] + [self._arcs(k, begin, end) for k in orders]
+            fails = [None] + [self.fail[k][at[k]].tolist() for k in orders]
+            known = [None] + [self.state_seen[k][at[k]].tolist() for k in orders]
             total = 0.0
             # The state is the history before token i: its number of words (a start mark counts).
-            state = min(start_state, longest)
-            for at in range(i, i + n):
+            state = min(int(start_seen), longest)
+            for i in range(n):
                 k = state + 1
-                while k > 1 and (weight := arcs[k][at]) is None:
-                    total += start_fail if at == i else fails[k - 1][at - 1]
+                while k > 1 and (weight := arcs[k][i]) != weight:  # NaN: no such arc
+                    total += fails[k - 1][i - 1] if i else start_fail
                     k -= 1
-                total += arcs[1][at] if k == 1 else weight
+                total += arcs[k][i]
                 # The next history is the longest known one that ends here, of order - 1 at most.
                 state = k if k < order else longest
-                while state and not known[state][at]:
+                while state and not known[state][i]:
                     state -= 1
             out[d] = total
-            i += n
         return out
 
 
