@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import scratch, shuffle_parts
+from weirflow.llm.common import release, scratch, shuffle_parts
 from weirflow.llm.lm import pack, pack_sorted, unpack, unpack_sorted
 
 BLOCK_BYTES = 4 << 20
@@ -74,6 +74,7 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 held.append(batch.slice(start))
         if held:
             yield block()
+        release()
 
     spark = docs.sparkSession
     name = f"weirflow_blocks_{uuid.uuid4().hex}"
@@ -145,6 +146,7 @@ def answered(sent: DataFrame, parts: int, answer: Callable[[list[tuple]], list[t
                 rows.append((b.as_py(), *(x.as_py() for x in told)))
         if rows:
             yield close()
+        release()
 
     owned = sent.repartition(parts, "part").sortWithinPartitions("part", "block")
     return owned.mapInArrow(run, ANSWERED)
@@ -171,6 +173,7 @@ def each_block(blocks: DataFrame, work: Callable[[dict], Iterator[pa.RecordBatch
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from work(batch.slice(i, 1).to_pylist()[0])
+        release()
 
     return blocks.mapInArrow(run, schema)
 

@@ -31,10 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weirflow.llm.common import id_and_text, stored
+from weirflow.llm.common import id_and_text, release, stored
 
 END_ID = 0
-_REMEMBERED = 1 << 21
+#: Words a worker remembers, some 180 MB; workers live on between stages.
+_REMEMBERED = 3 << 18
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -121,6 +122,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int) -> D
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"],
             )
+        release()
 
     return id_and_text(docs).mapInArrow(run, PIECES)
 

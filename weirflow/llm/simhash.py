@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import id_and_text, stored
+from weirflow.llm.common import id_and_text, release, stored
 from weirflow.llm.graph import components
 
 SEED = 42
@@ -375,6 +375,7 @@ def near_copies(
             values = np.array([sketch(t, words_per_shingle) for t in texts], np.uint64).reshape(len(texts), len(names))
             columns = [pa.array(values[:, k].copy().view(np.int64)) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_row"), *columns], ["_id", "_row", *names])
+        release()
 
     # Rows are numbered once, in a stored table: numbers then stay what they are.
     rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
