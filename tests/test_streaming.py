@@ -17,6 +17,8 @@ from weirflow.sinks import fan_out, read_latest, write_batch
 from weirflow.sinks.fanout import table_writer
 from weirflow.sources import from_device_publishes, read_table
 from weirflow.streaming import (
+    counters,
+    observed,
     partition_by_key,
     rate_limit_stream,
     read_stream,
@@ -104,6 +106,16 @@ def test_fan_out_stream(spark, landed, tmp_path):
     assert log.select("batch_id").distinct().count() == 2
 
 
+def test_counters_of_a_stream(spark, landed, tmp_path):
+    path, schema = landed
+    events = observed(read_stream(spark, path, schema, max_files=1), "rows", F.col("event_id") % 10 == 0)
+    query = run_stream(events, lambda df, i: df.write.format("noop").mode("append").save(), "seen", checkpoint=str(tmp_path / "c"))
+    query.awaitTermination()
+    table = spark.read.parquet(path)
+    want = {"processed": table.count(), "failed": table.where("event_id % 10 = 0").count()}
+    assert counters(query, "rows") == want
+
+
 def test_upsert_stream(spark, landed, tmp_path):
     path, schema = landed
     out = str(tmp_path / "t")

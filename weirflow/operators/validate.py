@@ -277,10 +277,24 @@ def validate_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected with ``_errors``).
 
-    Both are filters over one plan. Persist the checked frame, or write it once
-    partitioned by validity, when both sides are stored.
+    Both are filters over one plan. To store both sides use store_split, which checks
+    every row once.
     """
     checked = check_schema(df, schema, payload, assert_format)
     if on_error == "quarantine":
         return good_rows(checked), bad_rows(checked)
     return enforce(checked, on_error), bad_rows(checked).limit(0)
+
+
+def store_split(
+    df: DataFrame,
+    schema: dict | str,
+    path: str,
+    payload: str = "payload",
+    assert_format: bool = True,
+    fmt: str = "parquet",
+) -> None:
+    """All rows with ``_errors``, written in one pass as partitions ``valid=true`` and ``valid=false``."""
+    checked = check_schema(df, schema, payload, assert_format)
+    flagged = checked.withColumn("valid", F.size(ERRORS) == 0)
+    flagged.write.format(fmt).partitionBy("valid").mode("overwrite").save(path)

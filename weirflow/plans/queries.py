@@ -41,7 +41,9 @@ from weirflow.sinks import (
     ensure_table,
     fan_out,
     insert_documents,
+    new_documents,
     read_latest,
+    store_collection,
     upsert_by_key,
     write_append,
     write_batch,
@@ -65,6 +67,7 @@ from weirflow.specs import (
     Route,
 )
 from weirflow.streaming import rate_limit_stream, read_stream, run_stream
+from weirflow.streaming.run import partition_by_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -707,12 +710,10 @@ def validate_nested(spark, sf):
 )
 def validate_split_counts(spark, sf):
     rich = inputs.rich_payload(_events(spark, sf)).select("event_type", "payload")
-    good, bad = validate.validate_split(rich, _object(required=("value",)))
-    sides = good.select("event_type", F.lit(True).alias("ok")).unionByName(
-        bad.select("event_type", F.lit(False).alias("ok"))
-    )
-    return sides.groupBy("event_type").agg(
-        F.count_if("ok").alias("valid"), F.count_if(~F.col("ok")).alias("rejected")
+    path = _store(spark, "split")
+    validate.store_split(rich, _object(required=("value",)), path)
+    return spark.read.parquet(path).groupBy("event_type").agg(
+        F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected")
     )
 
 
@@ -1382,6 +1383,67 @@ def embed_text(spark, sf):
 # -- end to end ----------------------------------------------------------------
 
 
+@query(
+    f"""SELECT {_POINT_ID} AS id, label::VARCHAR AS label, 64 AS dimension,
+    (SELECT count(*) FROM embeddings WHERE label % 2 <> 0)::BIGINT AS rejected FROM embeddings WHERE label % 2 = 0"""
+)
+def points_to_collection(spark, sf):
+    """Vector messages routed, shaped and upserted; wrong dimensions set aside; the catalog stored."""
+    root = _store(spark, "collection")
+    spec = CollectionSpec("embeddings", 64)
+    for _ in range(2):
+        catalog = store_collection(spark, f"{root}/catalog", spec)
+    cut = F.when(F.col("label") % 2 == 0, F.col("embedding")).otherwise(F.slice("embedding", 1, 60))
+    vectors = inputs.table(spark, sf, "embeddings").withColumn("embedding", cut)
+    routed = routing.route_exact(inputs.vector_messages(vectors), [Route("/vectors/embeddings", "embeddings")])
+    made = points.to_points(routing.on_unrouted_rows(routed, "topic", "fail"), spec)
+    label = as_string(F.col("payload_fields")["label"]).alias("label")
+    # The second batch repeats the first.
+    for batch in range(2):
+        write_batch(project.good_rows(made).select("id", "vector", label), f"{root}/points", batch)
+    write_batch(project.bad_rows(made).select(_joined().alias("errors")), f"{root}/rejected", 0)
+    rejected = spark.read.parquet(f"{root}/rejected").groupBy(F.lit(spec.name).alias("name")).agg(
+        F.count(F.lit(1)).alias("rejected")
+    )
+    about = catalog.join(rejected, "name", "left")
+    current = read_latest(spark, f"{root}/points", ["id"]).withColumn("name", F.lit(spec.name))
+    return current.join(about, "name").select("id", "label", "dimension", F.coalesce("rejected", F.lit(0)).alias("rejected"))
+
+
+@query(
+    """SELECT 'events:u' || user_id AS id, min(event_id) AS event_id FROM events
+    WHERE event_id % 4 = 0 AND event_type IN ('click', 'view') GROUP BY user_id"""
+)
+def documents_to_table(spark, sf):
+    """Messages routed, made documents and inserted; a document that is there stays."""
+    path = _store(spark, "documents")
+    messages = routing.route_exact(
+        inputs.messages(_events(spark, sf)), [Route("/events/click", path), Route("/events/view", path)]
+    )
+    routed = routing.on_unrouted_rows(messages, "topic", "drop")
+    batch = to_documents(routed, "events", keep=("event_id",)).where("id IS NOT NULL")
+    target = ensure_table(spark, path, batch.schema)
+    for _ in range(2):
+        write_append(new_documents(target, batch, "events", ["event_id"]), path)
+        target = spark.read.parquet(path)
+    return target.select("id", "event_id")
+
+
+@query("SELECT DISTINCT 'labels-' || label AS name FROM embeddings")
+def collection_names(spark, sf):
+    labels = inputs.table(spark, sf, "embeddings").select(
+        F.concat(F.lit("labels-"), F.col("label").cast("string")).alias("name"), F.lit(64).alias("dimension")
+    )
+    return stats.list_collections(labels)
+
+
+@query("SELECT user_id, 1::BIGINT AS partitions, count(*)::BIGINT AS n FROM events GROUP BY 1")
+def partitions_by_key(spark, sf):
+    """Equal keys stay together."""
+    dealt = partition_by_key(_events(spark, sf), 5, "user_id").withColumn("p", F.spark_partition_id())
+    return dealt.groupBy("user_id").agg(F.count_distinct("p").alias("partitions"), F.count(F.lit(1)).alias("n"))
+
+
 @query(
     """SELECT topic, event_type, count(*)::BIGINT AS n, sum(k)::BIGINT AS total_k FROM (
     SELECT CASE WHEN user_id % 3 = 1 THEN '/iot/zone1' ELSE '/iot/rest' END AS topic, event_type,

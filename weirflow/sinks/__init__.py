@@ -11,6 +11,7 @@ from weirflow.sinks.tables import (
     read_latest,
     storage_conf,
     storage_root,
+    store_collection,
     upsert_by_key,
     write_append,
     write_batch,
@@ -29,6 +30,7 @@ __all__ = [
     "read_latest",
     "storage_conf",
     "storage_root",
+    "store_collection",
     "upsert_by_key",
     "without_key",
     "write_append",

@@ -236,6 +236,16 @@ def ensure_collection(catalog: DataFrame, spec: CollectionSpec) -> DataFrame:
     return catalog.unionByName(catalog_frame(catalog.sparkSession, [spec]))
 
 
+def store_collection(spark: SparkSession, path: str, spec: CollectionSpec, fmt: str = "parquet") -> DataFrame:
+    """The stored catalog with the collection in it; the catalog is made when it is missing."""
+    schema = spark.createDataFrame([], CATALOG).schema
+    catalog = ensure_table(spark, path, schema, fmt)
+    grown = ensure_collection(catalog, spec)
+    if grown is not catalog:
+        write_append(catalog_frame(spark, [spec]), path, fmt)
+    return spark.read.format(fmt).schema(schema).load(path)
+
+
 def _azure_host(options: dict) -> str:
     return f"{options['account']}.dfs.core.windows.net"
 

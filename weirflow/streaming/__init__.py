@@ -1,9 +1,11 @@
 """Running the operators over streams."""
 
 from weirflow.streaming.limiter import rate_limit_stream
-from weirflow.streaming.run import partition_by_key, read_stream, run_stream, run_with_retries
+from weirflow.streaming.run import counters, observed, partition_by_key, read_stream, run_stream, run_with_retries
 
 __all__ = [
+    "counters",
+    "observed",
     "partition_by_key",
     "rate_limit_stream",
     "read_stream",

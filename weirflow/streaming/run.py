@@ -11,7 +11,8 @@ import time
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,6 +54,25 @@ def run_stream(
     return writer.trigger(availableNow=True).start()
 
 
+def observed(df: DataFrame, name: str, bad: Column) -> DataFrame:
+    """The rows, counted as they pass: ``processed`` and ``failed`` of each micro-batch.
+
+    The counts are in the query's progress (``observedMetrics``) and cost no further pass.
+    """
+    failed = F.count_if(F.coalesce(bad, F.lit(True)))
+    return df.observe(name, F.count(F.lit(1)).alias("processed"), failed.alias("failed"))
+
+
+def counters(query: StreamingQuery, name: str) -> dict[str, int]:
+    """Sums of what :func:`observed` counted in the micro-batches that the query still reports."""
+    total = {"processed": 0, "failed": 0}
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(name)
+        for key in total if row else ():
+            total[key] += row[key]
+    return total
+
+
 # Error texts of a batch that would fail the same way again.
 _FATAL = ("USER_RAISED_EXCEPTION", "SpecError", "AnalysisException")
 
