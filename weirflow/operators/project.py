@@ -112,7 +112,7 @@ def project_fields(
     its type, and a NULL in a required column are named in ``_errors``.
     """
     if not mappings:
-        raise SpecError("Field mappings cannot be empty")
+        raise SpecError("no field mappings given")
     is_text = isinstance(df.schema[payload].dataType, T.StringType)
     parsed = strict_json(F.col(payload)) if is_text else F.col(payload)
     # A text that parses is an object if it starts like one: cheaper than its schema.

@@ -48,7 +48,7 @@ def _one_per_source(routes: DataFrame, duplicates: str) -> DataFrame:
     pick = F.max_by("to", order) if duplicates == "last" else F.min_by("to", order)
     found = routes.groupBy("source").agg(pick.alias("to"), F.count(F.lit(1)).alias("_n"))
     if duplicates == "reject":
-        stop = F.raise_error(F.concat(F.lit("Duplicate route source: "), "source")).cast("string")
+        stop = F.raise_error(F.concat(F.lit("source named by two routes: "), "source")).cast("string")
         found = found.withColumn("to", F.when(F.col("_n") > 1, stop).otherwise(F.col("to")))
     return found.select("source", "to")
 
@@ -81,7 +81,7 @@ def first_match(topic: Column, routes: Sequence[Route], hash_matches_parent: boo
         hit = topic_matches(topic, route.source, hash_matches_parent)
         result = F.when(hit, route.to) if result is None else result.when(hit, route.to)
     if result is None:
-        raise SpecError("At least one route is required")
+        raise SpecError("no routes given")
     return result
 
 

@@ -94,9 +94,9 @@ class Route:
     subscription: str = "default"
 
     def __post_init__(self):
-        _need(bool(self.source), "Route 'source' cannot be empty")
-        _need(bool(self.to), "Route 'to' cannot be empty")
-        _need(bool(self.subscription), "Subscription cannot be empty")
+        _need(bool(self.source), "a route needs a source")
+        _need(bool(self.to), "a route needs a target")
+        _need(bool(self.subscription), "a route needs a subscription name")
         _need(self.qos in (0, 1, 2), f"qos must be 0, 1 or 2, not {self.qos}")
         _need(self.partitions >= 0, "partitions cannot be negative")
 
@@ -110,11 +110,11 @@ def check_routes(
 ) -> list[Route]:
     """Routes with a unique ``source``: reject repeats, or keep the first or last."""
     _need(duplicates in ("reject", "first", "last"), f"unknown duplicates mode {duplicates!r}")
-    _need(len(routes) > 0, "At least one route is required")
+    _need(len(routes) > 0, "no routes given")
     kept: dict[str, Route] = {}
     for route in routes:
         if route.source in kept:
-            _need(duplicates != "reject", f"Duplicate route source: {route.source}")
+            _need(duplicates != "reject", f"source named by two routes: {route.source}")
             if duplicates == "first":
                 continue
         kept[route.source] = route
@@ -202,7 +202,7 @@ class Endpoint:
 
     def __post_init__(self):
         _need(self.path.startswith("/"), f"Endpoint path must start with '/': {self.path}")
-        _need(bool(self.to), f"Endpoint 'to' cannot be empty for path: {self.path}")
+        _need(bool(self.to), f"endpoint {self.path} needs a target")
 
 
 @dataclass(frozen=True)
