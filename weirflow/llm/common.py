@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -39,8 +40,11 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def release() -> None:
-    """Give memory that Arrow keeps for later back to the machine, at the end of a task."""
+    """Give memory that Arrow and the C library keep for later back to the machine, at the end of a task."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirflow.llm.common import id_and_text, stored
+from weirflow.llm.common import id_and_text, release, stored
 
 BLOCK_WORDS = 1_000_000
 PART_KEYS = 1_000_000
@@ -137,6 +137,7 @@ def blocks(docs: DataFrame) -> DataFrame:
                     number, docs, hashes, words = number + 1, [], [], 0
         if docs:
             yield batch_of([_make_block(number, docs, hashes)])
+        release()
 
     return id_and_text(docs).mapInArrow(run, BLOCKS)
 
@@ -261,6 +262,7 @@ def totals(held: DataFrame, order: int, parts: int) -> DataFrame:
                 rows.append((b.as_py(), keys.as_py(), counts.as_py()))
         if rows:
             yield answer()
+        release()
 
     sent = held.select(*[c.split()[0] for c in BLOCKS.split(", ")]).mapInArrow(
         send, "block bigint, k int, part int, keys binary, counts binary"
@@ -379,5 +381,6 @@ def score_texts(docs: DataFrame, model: Model = Model()) -> DataFrame:
                     ],
                     [c.split()[0] for c in SCORES.split(", ")],
                 )
+        release()
 
     return held.join(for_block, "block").mapInArrow(score, SCORES)

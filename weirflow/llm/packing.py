@@ -34,8 +34,8 @@ from pyspark.sql.window import Window
 from weirflow.llm.common import id_and_text, release, stored
 
 END_ID = 0
-#: Words a worker remembers, some 180 MB; workers live on between stages.
-_REMEMBERED = 3 << 18
+#: Words a worker remembers, some 120 MB; workers live on between stages.
+_REMEMBERED = 1 << 19
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"

@@ -101,6 +101,7 @@ def fingerprints(
             values = [fingerprint(t.as_py(), words_per_shingle) for t in batch.column("text")]
             prints = pa.array(np.array(values, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], ["doc_id", "print"])
+        release()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, print bigint")
 
@@ -310,6 +311,7 @@ def near_links(nodes: DataFrame, near: Near) -> DataFrame:
             ask()
             yield _edges(found)
         yield _edges(link(np.concatenate([none, *held]), none, near) if held else [])
+        release()
 
     # Points travel in packed rows; a shard's own points come before its queries.
     dealt = nodes.mapInArrow(deal, "shard int, kind int, points binary")
