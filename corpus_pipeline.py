@@ -42,7 +42,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, with their sequence and place there."""
-    return packing.pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Workers live on and serve the other stages as well, so they remember fewer words.
+    return packing.pack_sequences(docs, public_tokenizers.path("word_bpe_49k.json"), remembered=1 << 19)
 
 
 STAGES = [

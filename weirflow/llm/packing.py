@@ -34,8 +34,8 @@ from pyspark.sql.window import Window
 from weirflow.llm.common import id_and_text, release, stored
 
 END_ID = 0
-#: Words a worker remembers, some 120 MB; workers live on between stages.
-_REMEMBERED = 1 << 19
+#: Words a worker remembers, at most: up to 500 MB if a worker meets so many.
+REMEMBERED = 1 << 21
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 PACKED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -70,11 +70,11 @@ class _WordIds:
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
 
-    def texts(self, texts: list[str]) -> list[bytes]:
+    def texts(self, texts: list[str], remembered: int = REMEMBERED) -> list[bytes]:
         """Ids of texts: no pre-token of this kind of vocabulary holds white space."""
         words = [text.encode().split() for text in texts]
         known = self.known
-        if len(known) > _REMEMBERED:
+        if len(known) > remembered:
             known.clear()
         new = list(set().union(*words).difference(known))
         if new:
@@ -97,7 +97,9 @@ def _few(batch: pa.RecordBatch, rows: int = 256) -> list[pa.RecordBatch]:
     return [batch.slice(i, rows) for i in range(0, batch.num_rows, rows)]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int) -> DataFrame:
+def tokenized_pieces(
+    docs: DataFrame, tokenizer_path: str, max_tokens: int, remembered: int = REMEMBERED
+) -> DataFrame:
     """A row for each piece; ``nth`` counts the pieces of its length within its task ``part``."""
     source = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
 
@@ -108,7 +110,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int) -> D
         end = np.array([END_ID], "<u4").tobytes()
         for batch in (part for whole in batches for part in _few(whole)):
             rows: list[tuple] = []
-            found = ids_of.texts(batch.column("text").to_pylist())
+            found = ids_of.texts(batch.column("text").to_pylist(), remembered)
             for doc, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
@@ -178,10 +180,15 @@ def plan_sequences(counts: dict[int, int], capacity: Capacity = Capacity()) -> n
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
-def pack_sequences(docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity()) -> DataFrame:
-    """Every piece of every document with its sequence and its place there."""
+def pack_sequences(
+    docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity(), remembered: int = REMEMBERED
+) -> DataFrame:
+    """Every piece of every document with its sequence and its place there.
+
+    ``remembered`` bounds the words whose ids a worker keeps: more take memory, fewer time.
+    """
     spark = docs.sparkSession
-    pieces = stored(tokenized_pieces(docs, tokenizer_path, capacity.max_tokens), "pieces")
+    pieces = stored(tokenized_pieces(docs, tokenizer_path, capacity.max_tokens, remembered), "pieces")
     # At most max_tokens rows reach the driver, whatever the table's size.
     by_length = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()
     runs = plan_sequences({r.length: r.n for r in by_length}, capacity)
