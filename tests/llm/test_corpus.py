@@ -305,3 +305,37 @@ def test_top_k(spark):
         got = topk.top_k(df, F.col("vec_id") % 20 == 0, 20, block_bytes=block).collect()
         assert sorted(map(tuple, got)) == best_of(rows, 20)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def least_of_groups(texts, ids, close):
+    """The least (id, place) of each connected component of all pairs that are close."""
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and close(texts[i], texts[j]):
+                label = [label[j] if v == label[i] else v for v in label]
+    return {min((ids[i], i) for i in range(len(texts)) if label[i] == v) for v in set(label)}
+
+
+def test_near_copies_added_cut_and_edited(docs_of):
+    """Every pair from 0.8 up is linked, none below, wherever the copy differs."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abdeilnorstu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    notice = " ".join(rng.choice(words) for _ in range(40))  # many texts end alike
+    texts = []
+    for k in range(45):
+        text = [rng.choice(words) for _ in range(rng.randint(60, 300))]
+        n = len(text) - 4
+        share = [1, 0.95, 0.85, 0.8, 0.79][k % 5]
+        added = text + [rng.choice(words) for _ in range(math.floor(n / share - n + 1e-9))]
+        cut = text[: len(text) - math.floor(n * (1 - share) + 1e-9)]
+        edited = list(text)
+        for at in rng.sample(range(0, len(text) - 5, 5), math.floor(n * (1 - share) / (1 + share) / 5)):
+            edited[at] = "edited"
+        texts += [" ".join(t) for t in (text, added, cut, edited)]
+        texts.append(" ".join(rng.choice(words) for _ in range(30)) + " " + notice)
+    rng.shuffle(texts)
+    ids = range(len(texts))
+    expected = least_of_groups(texts, ids, lambda a, b: similarity(a, b) >= 0.8)
+    rows = simhash.near_copies(docs_of(texts).repartition(3)).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(i for i, _ in expected)

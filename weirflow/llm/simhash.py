@@ -38,8 +38,13 @@ SHARD_POINTS = 4_096
 #: For near copies: how many word fingerprints are searched, and 64-bit parts of the shingle sketch.
 WORD_PRINTS = 3
 SKETCH_PARTS = 4
+#: Texts whose shingles tell the frequent ones, and how many of these are known to all tasks.
+OFTEN_TEXTS = 16_384
+OFTEN = 1 << 18
 _CELL = 512
 _SLICE = 65_536
+_MARKS = 1 << 22
+_SHORT_RUN = 16
 _NONE = np.zeros((0, 2), np.uint64)  # no links
 
 
@@ -78,14 +83,18 @@ def _again(hashes: np.ndarray, k: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def sketch(text: str, words_per_shingle: int) -> list[int]:
-    """``WORD_PRINTS`` fingerprints of single words, then a shingle sketch of 64 bits each."""
+def shingle_set(text: str, words_per_shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, in order; none without words."""
+    words = text.encode().lower().split()
+    return np.unique(shingle_hashes(words, words_per_shingle)) if words else np.zeros(0, "<u8")
+
+
+def sketch(text: str, runs: np.ndarray) -> list[int]:
+    """``WORD_PRINTS`` fingerprints of single words, then a sketch of the shingle set, 64 bits each."""
     words = text.encode().lower().split()
     if not words:
         return [0] * (WORD_PRINTS + SKETCH_PARTS)
-    single, runs = shingle_hashes(words, 1) if len(words) > 1 else None, shingle_hashes(words, words_per_shingle)
-    single = runs if single is None else single
-    runs = np.unique(runs)  # a set: repeats do not count in its similarity
+    single = shingle_hashes(words, 1)
     return [majority(_again(single, k)) for k in range(WORD_PRINTS)] + [
         majority(_again(runs, 100 + k)) for k in range(SKETCH_PARTS)
     ]
@@ -344,6 +353,178 @@ def near_duplicates(
     )
 
 
+def _least_common(size, similarity: float):
+    """How many shingles a set of ``size`` has in common with any that is as similar, at least."""
+    return np.ceil(np.asarray(size) * similarity - 1e-9).astype(np.int64)
+
+
+def prefix(runs: np.ndarray, similarity: float, often: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rare ones first: two sets as similar share one of these.
+
+    Any order that is the same for all sets has that property; ``often`` (sorted hashes) and
+    ``times`` only make the shared ones few.
+    """
+    if not len(runs):
+        return runs
+    at = np.minimum(np.searchsorted(often, runs), max(len(often) - 1, 0))
+    count = np.where(often[at] == runs, times[at], 0) if len(often) else np.zeros(len(runs), np.int64)
+    return runs[np.lexsort((runs, count))][: len(runs) - int(_least_common(len(runs), similarity)) + 1]
+
+
+def _frequent(texts: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that several texts of a bounded sample have, sorted, and in how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column("_text"):
+                runs = shingle_set(t.as_py(), words_per_shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64))], ["token"])
+        release()
+
+    every = max(1, texts.count() // OFTEN_TEXTS)
+    some = texts.where(F.pmod(F.xxhash64("_row"), F.lit(every)) == 0).select("_text")
+    counts = some.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    top = counts.orderBy(F.desc("n"), "token").limit(OFTEN).toPandas()
+    tokens = top["token"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], top["n"].to_numpy(np.int64)[order]
+
+
+def _pairs_of_run(rows: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
+    """Pairs of one token's rows (token, node, group, size, place), of different groups, that can be similar."""
+    ends = np.flatnonzero(np.diff(rows[:, 2])) + 1
+    start = 0
+    for end in ends.tolist():
+        for i in range(start, end):
+            for to in range(end, len(rows), _SLICE):
+                part = rows[to : to + _SLICE]
+                yield _possible(np.broadcast_to(rows[i], part.shape), part, similarity)
+        start = end
+
+
+def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs of nodes from rows of a shared token, where its places allow the similarity.
+
+    Common shingles before the token are as many as the lesser place at most, those after
+    it as many as the shorter rest.
+    """
+    most = np.minimum(x[:, 4], y[:, 4]) + np.minimum(x[:, 3] - x[:, 4], y[:, 3] - y[:, 4])
+    asked = (x[:, 3] + y[:, 3]) * (similarity / (1 + similarity)) - 1e-6
+    ok = (x[:, 2] != y[:, 2]) & (most >= asked)
+    a, b = x[ok, 1], y[ok, 1]
+    return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
+
+
+def prefix_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different groups that share a prefix shingle and can be similar.
+
+    ``nodes``: node, group, _size and _prefix. Pairs within a group, as those of a crowd of
+    copies that is linked already, are neither made nor looked at.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, group, size = (batch.column(c).to_numpy() for c in ("node", "group", "_size"))
+            tokens = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column("_prefix")]
+            for at in range(0, len(tokens), _CELL):
+                part = tokens[at : at + _CELL]
+                n = np.fromiter(map(len, part), np.int64, len(part))
+                columns = [np.concatenate(part)]
+                columns += [np.repeat(c[at : at + _CELL], n) for c in (node, group, size)]
+                columns.append(np.concatenate([np.arange(k) for k in n]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "group", "size", "place"])
+        release()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: np.ndarray) -> Iterator[np.ndarray]:
+            """Pairs of whole runs of one token each; short runs all at once, by distance."""
+            starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+            stops = np.append(starts[1:], len(rows))
+            mixed = (rows[starts, 2] != rows[stops - 1, 2])
+            long = mixed & (stops - starts > _SHORT_RUN)
+            short = rows[np.repeat(mixed & ~long, stops - starts)]
+            for d in range(1, _SHORT_RUN):
+                x, y = short[:-d], short[d:]
+                same = x[:, 0] == y[:, 0]
+                if not same.any():
+                    break
+                yield _possible(x[same], y[same], similarity)
+            for a, b in zip(starts[long].tolist(), stops[long].tolist(), strict=True):
+                yield from _pairs_of_run(rows[a:b], similarity)
+
+        def packed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            held, n = [], 0
+            for pairs in found(rows):
+                if len(pairs):
+                    held.append(pairs)
+                    n += len(pairs)
+                if n > _SLICE:
+                    yield _edges([np.concatenate(held).view(np.uint64)])
+                    held, n = [], 0
+            if held:
+                yield _edges([np.concatenate(held).view(np.uint64)])
+
+        waiting: list[np.ndarray] = []
+        for batch in batches:
+            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+            if not len(rows):
+                continue
+            if waiting and waiting[0][0, 0] == rows[-1, 0]:
+                waiting.append(rows)  # one token still: it goes on
+                continue
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
+            whole = [*waiting, rows[:last]]
+            if sum(map(len, whole)):
+                yield from packed(np.concatenate(whole))
+            waiting = [rows[last:]]
+        if waiting:
+            yield from packed(np.concatenate(waiting))
+        release()
+
+    posts = nodes.select("node", "group", "_size", "_prefix").mapInArrow(
+        spread, "token bigint, node bigint, group bigint, size bigint, place bigint"
+    )
+    ready = posts.repartition("token").sortWithinPartitions("token", "group", "node")
+    return ready.mapInArrow(meet, "a bigint, b bigint").distinct()
+
+
+def similar_pairs(texts: DataFrame, pairs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
+    """Those of the ``pairs`` (a, b) whose shingle sets have that Jaccard similarity, exactly.
+
+    ``texts``: _row and _text. Shingles are made again for the texts in question: a bounded
+    table of marks tells most others, the join all.
+    """
+    asked = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
+    mark = F.pmod(F.xxhash64("_row"), F.lit(_MARKS)).cast("int").alias("_mark")
+    marks = np.zeros(_MARKS, bool)
+    marks[asked.select(mark).distinct().toPandas()["_mark"].to_numpy(np.int64)] = True
+    packed = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(packed.value).astype(bool)
+        for batch in batches:
+            batch = batch.filter(pa.array(wanted[batch.column("_mark").to_numpy()]))
+            for row, text in zip(batch.column("_row"), batch.column("_text"), strict=True):
+                runs = shingle_set(text.as_py(), words_per_shingle).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([row.as_py()]), pa.array([runs], pa.binary())], ["row", "runs"])
+        release()
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.zeros(len(batch), bool)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                same = len(np.intersect1d(p, q, assume_unique=True))
+                ok[i] = same * (1 + similarity) >= similarity * (len(p) + len(q)) - 1e-6
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+        release()
+
+    of = stored(texts.select("_row", "_text", mark).mapInArrow(sets, "row bigint, runs binary"), "sets")
+    both = pairs.join(of.select(F.col("row").alias("a"), F.col("runs").alias("x")), "a")
+    both = both.join(of.select(F.col("row").alias("b"), F.col("runs").alias("y")), "b")
+    return stored(both.select("a", "b", "x", "y").mapInArrow(judge, "a bigint, b bigint"), "similar")
+
+
 def near_copies(
     docs: DataFrame,
     words_per_shingle: int = 5,
@@ -355,12 +536,15 @@ def near_copies(
     """One row of each group of near copies, with all columns: that with the least id.
 
     Two texts are near copies if their shingle sets have a Jaccard similarity of
-    ``similarity`` or more. Texts that similar differ in few words, so that fingerprints of
-    single words agree within ``bits`` in at least one of ``WORD_PRINTS`` with high
-    probability: these find the pairs, each with a vantage-point tree. Shingle fingerprints
-    would differ in ten bits or so, where no tree prunes. A pair is linked if also the
-    longer sketches of its shingles are as near as ``similarity`` asks for, by the
-    expected distance and one standard deviation.
+    ``similarity`` or more; groups are the connected components of all such pairs, whatever
+    was added, cut or edited. Pairs are found in two steps, and both check them by the sets:
+
+    Trees find most pairs, so that large groups hang together: they search ``WORD_PRINTS``
+    fingerprints of single words, within ``bits``, and ask for a near sketch of the shingles.
+
+    A prefix filter finds all the others: of two sets as similar, the first fifth (at 0.8) in
+    a common order share a shingle. The order has rare shingles first, by a sample. Pairs
+    inside a group of the first step are left out, as they change nothing.
 
     Rows without an id all stay. Of repeated rows one stays.
     """
@@ -369,32 +553,52 @@ def near_copies(
     n_bits = 64 * SKETCH_PARTS
     near = Near(bits, int(n_bits * apart + np.sqrt(n_bits * apart * (1 - apart))))
     names = [f"_print{k}" for k in range(WORD_PRINTS)] + [f"_part{k}" for k in range(SKETCH_PARTS)]
-    docs = docs.drop("_row", *names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            values = np.array([sketch(t, words_per_shingle) for t in texts], np.uint64).reshape(len(texts), len(names))
-            columns = [pa.array(values[:, k].copy().view(np.int64)) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_row"), *columns], ["_id", "_row", *names])
-        release()
+    longs = [*names, "_set0", "_set1", "_size"]
+    docs = docs.drop("_row", "_prefix", *longs)
 
     # Rows are numbered once, in a stored table: numbers then stay what they are.
     rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     light = rows.select(
         F.col(f"`{id_col}`").cast("long").alias("_id"), "_row", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text")
     )
-    schema = "_id bigint, _row bigint, " + ", ".join(f"{n} bigint" for n in names)
+    often = rows.sparkSession.sparkContext.broadcast(_frequent(light.where("_id IS NOT NULL"), words_per_shingle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, firsts = [], []
+            for t in batch.column("_text").to_pylist():
+                runs = shingle_set(t, words_per_shingle)
+                whole = xxhash.xxh3_128_intdigest(runs.tobytes(), SEED)
+                values.append([*sketch(t, runs), whole >> 64, whole % 2**64, len(runs)])
+                firsts.append(prefix(runs, similarity, *often.value).tobytes())
+            values = np.array(values, np.uint64).reshape(len(firsts), len(longs))
+            columns = [pa.array(values[:, k].copy().view(np.int64)) for k in range(len(longs))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_row"), *columns, pa.array(firsts, pa.binary())],
+                ["_id", "_row", *longs, "_prefix"],
+            )
+        release()
+
+    schema = "_id bigint, _row bigint, " + ", ".join(f"{n} bigint" for n in longs) + ", _prefix binary"
     prints = stored(light.mapInArrow(run, schema), "sketches")
-    nodes = stored(prints.where("_id IS NOT NULL").groupBy(*names).agg(F.min("_id").alias("node")), "nodes")
-    links = None
+    # Equal sets are one node, named by a row: ids can repeat among different texts.
+    named = prints.where("_id IS NOT NULL")
+    sets = named.groupBy("_set0", "_set1").agg(F.min(F.struct("_row", "_id", *longs, "_prefix")).alias("of"))
+    nodes = stored(sets.select(F.col("of._row").alias("node"), "of.*").drop("_row", "_id"), "nodes")
+    found = None
     for k in range(WORD_PRINTS):
         points = nodes.select(F.col(f"_print{k}").alias("print"), "node", *names[WORD_PRINTS:])
-        found = near_links(points, near)
-        links = found if links is None else links.unionByName(found)
-    labels = components(links)
-    grouped = nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    of_row = prints.join(grouped.select(*names, "group"), names).where("_id = group")
-    first = of_row.groupBy("group").agg(F.min("_row").alias("_row")).select("_row")
-    kept = first.unionByName(prints.where("_id IS NULL").select("_row"))
+        links = near_links(points, near)
+        found = links if found is None else found.unionByName(links)
+    first = similar_pairs(light, stored(found.distinct(), "found"), words_per_shingle, similarity)
+
+    def grouped(labels: DataFrame) -> DataFrame:
+        return nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
+
+    more = stored(prefix_pairs(grouped(components(first)), similarity), "prefix-pairs")
+    second = similar_pairs(light, more, words_per_shingle, similarity)
+    of_set = grouped(components(first.unionByName(second))).select("_set0", "_set1", "group")
+    of_row = named.select("_id", "_row", "_set0", "_set1").join(of_set, ["_set0", "_set1"])
+    least = of_row.groupBy("group").agg(F.min(F.struct("_id", "_row")).alias("row")).select("row._row")
+    kept = least.unionByName(prints.where("_id IS NULL").select("_row"))
     return rows.join(kept, "_row", "left_semi").drop("_row")
