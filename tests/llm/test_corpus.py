@@ -283,6 +283,42 @@ def test_crowd_of_one_fingerprint():
     assert len(links) < 1500 * 6
 
 
+def test_crowd_with_overlapping_chains():
+    """Links between points that are no leaders, and between queries and such points."""
+    rng = np.random.default_rng(4)
+
+    def moved(point, bits):
+        flat = np.unpackbits(point.view(np.uint8))
+        flat[rng.choice(256, bits, replace=False)] ^= 1
+        return np.packbits(flat).view(np.uint64)
+
+    sketches = []
+    for length in [1, 2, 3, 5, 40, 200, 700]:
+        for _ in range(max(1, 90 // length)):
+            sketches.append(rng.integers(0, 1 << 63, 4).astype(np.uint64))
+            for _ in range(length - 1):
+                sketches.append(moved(sketches[-1], 40))
+    points = np.zeros((len(sketches), 6), np.uint64)
+    points[:, 2:] = np.array(sketches)[rng.permutation(len(sketches))]
+    points[:, 1] = np.arange(len(points))
+    near = simhash.Near(3, 44)
+
+    def groups(edges):
+        label = np.arange(len(points))
+        for a, b in edges:
+            if label[a] != label[b]:
+                label[label == label[a]] = label[b]
+        return [np.flatnonzero(label == v).min() for v in label]
+
+    expected = groups(np.argwhere(near.close(points, points)))
+    got = np.concatenate(simhash.link(points, points[:0], near)).astype(int)
+    assert groups(got) == expected
+    own, asks = points[:900], points[900:]
+    got = [simhash.link(own, asks, near), simhash.link(asks, asks[:0], near)]
+    assert groups(np.concatenate(got[0] + got[1]).astype(int)) == expected
+    assert all(near.close(points[[a]], points[[b]])[0, 0] for a, b in np.concatenate(got[0]).astype(int))
+
+
 def best_of(rows, k):
     usable = [(i, [math.floor(64 * v) for v in x]) for i, x in rows if i is not None and x is not None and all(v is not None and math.isfinite(v) for v in x)]
     out = []

@@ -210,24 +210,79 @@ def _link_crowd(own: np.ndarray, asks: np.ndarray, near: Near, inner: bool) -> l
     """Links among many points of one fingerprint, which only their sketches tell apart.
 
     Leaders are points linked to no earlier leader; every point is linked to all leaders near
-    it. That is a comparison with each leader, not with each point of the crowd.
+    it. Then points that are in different groups still are compared, unless the triangle
+    inequality rules them out: a member of a leader at distance d has links only to what is
+    within d and the threshold of that leader.
     """
-    leaders = own[:0]
-    for at in range(0, len(own), _CELL):
-        part = own[at : at + _CELL]
-        part = part[~near.close(part, leaders).any(axis=1)] if len(leaders) else part
-        close = near.close(part, part)
-        lead = np.zeros(len(part), bool)
-        for i in range(len(part)):
-            lead[i] = not (close[i, :i] & lead[:i]).any()
-        leaders = np.concatenate([leaders, part[lead]])
-    out = []
-    for points in [asks, own] if inner else [asks]:
+    most, label, out = near.sketch_bits, np.arange(len(own)), []
+    asks = asks[np.bitwise_count(asks[:, 0] ^ own[0, 0]) <= near.bits]
+    home, away = np.full(len(own), -1), np.zeros(len(own), np.int64)
+
+    def apart(points: np.ndarray, pivot: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(points[:, 2:] ^ pivot[2:]).sum(axis=1, dtype=np.int64)
+
+    def join(groups: np.ndarray) -> None:
+        if (groups != groups[0]).any():
+            label[np.isin(label, groups)] = groups.min()
+
+    def links(points: np.ndarray, node: np.uint64) -> None:
+        if len(points):
+            out.append(np.stack([points[:, 1], np.full(len(points), node)], axis=1))
+
+    def met(points: np.ndarray, far: np.ndarray, members: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Those of the points that are near a member, with one such member."""
         for at in range(0, len(points), _CELL):
-            part = points[at : at + _CELL]
-            for to in range(0, len(leaders), _CELL):
-                who, what = np.nonzero(near.close(part, leaders[to : to + _CELL]))
-                out.append(np.stack([part[who, 1], leaders[to : to + _CELL][what, 1]], axis=1))
+            part, open_ = points[at : at + _CELL], np.ones(len(points[at : at + _CELL]), bool)
+            low = far[at : at + _CELL].min() - most
+            able = members[away[members] >= low]
+            for to in range(0, len(able), _CELL):
+                some = np.flatnonzero(open_)
+                if not len(some):
+                    break
+                close = near.close(part[some], own[able[to : to + _CELL]])
+                hit = close.any(axis=1)
+                open_[some[hit]] = False
+                for i, j in zip(some[hit], close[hit].argmax(axis=1), strict=True):
+                    yield at + int(i), int(able[to + j])
+
+    leaders = []
+    while len(rest := np.flatnonzero(home < 0)):
+        lead = int(rest[0])
+        far = apart(own, own[lead])
+        by = far <= most
+        fresh = by & (home < 0)
+        home[fresh], away[fresh] = len(leaders), far[fresh]
+        leaders.append(lead)
+        join(np.unique(label[by]))
+        if inner:
+            links(own[by & (np.arange(len(own)) != lead)], own[lead, 1])
+    order = np.argsort(home, kind="stable")
+    members = np.split(order, np.cumsum(np.bincount(home))[:-1])
+    for lead, mine in zip(leaders, members, strict=True):
+        far = apart(own, own[lead])
+        others = np.flatnonzero((far > most) & (far <= most + away[mine].max()) & (label != label[lead]))
+        for at in range(0, len(others), _CELL):
+            part = others[at : at + _CELL]
+            part = part[label[part] != label[lead]]
+            for i, j in met(own[part], far[part], mine) if len(part) else ():
+                if label[part[i]] != label[j]:
+                    join(label[[part[i], j]])
+                    if inner:
+                        links(own[part[i]][None], own[j, 1])
+    if len(asks):
+        done = np.zeros(0, np.int64)  # (ask, group) pairs that are linked
+        for lead in leaders:
+            by = np.flatnonzero(apart(asks, own[lead]) <= most)
+            links(asks[by], own[lead, 1])
+            done = np.union1d(done, by * len(own) + label[lead])
+        for lead, mine in zip(leaders, members, strict=True):
+            far = apart(asks, own[lead])
+            open_ = np.flatnonzero((far > most) & (far <= most + away[mine].max()))
+            open_ = open_[~np.isin(open_ * len(own) + label[lead], done)]
+            hits = [(open_[i], j) for i, j in met(asks[open_], far[open_], mine)] if len(open_) else []
+            for i, j in hits:
+                links(asks[i][None], own[j, 1])
+            done = np.union1d(done, np.array([i * len(own) + label[lead] for i, _ in hits], np.int64))
     return out
 
 
