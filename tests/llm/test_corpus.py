@@ -265,6 +265,16 @@ def test_near_copies(docs_of, prose):
     assert sorted(r.doc_id or -1 for r in rows) == [-1, -1, 8]
 
 
+def test_near_copies_with_one_id_for_many_texts(docs_of, prose):
+    """A shared id makes no group: the kept texts are those that stay with ids of their own."""
+    texts = [t for t in dict.fromkeys(prose) if len(set(t.split())) > 20]
+    ids = [7 if i % 3 == 0 else i for i in range(len(texts))]
+    expected = least_of_groups(texts, ids, lambda a, b: similarity(a, b) >= 0.8)
+    rows = simhash.near_copies(docs_of(texts, ids).coalesce(1)).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted((i, texts[at]) for i, at in expected)
+    assert sum(r.doc_id == 7 for r in rows) > 15
+
+
 def test_crowd_of_one_fingerprint():
     """Many points that only sketches tell apart: each joins its leader."""
     rng = np.random.default_rng(1)

@@ -601,7 +601,9 @@ def near_copies(
     a common order share a shingle. The order has rare shingles first, by a sample. Pairs
     inside a group of the first step are left out, as they change nothing.
 
-    Rows without an id all stay. Of repeated rows one stays.
+    Rows without an id all stay. Of repeated rows one stays. An id joins nothing: different
+    texts that share one are different rows, and of a group's rows with the least id the
+    first one stays.
     """
     cosine = 2 * similarity / (1 + similarity)
     apart = float(np.arccos(min(1.0, cosine)) / np.pi)
