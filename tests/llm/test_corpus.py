@@ -265,6 +265,17 @@ def test_near_copies(docs_of, prose):
     assert sorted(r.doc_id or -1 for r in rows) == [-1, -1, 8]
 
 
+def test_parities_never_rule_out_similar_sets():
+    rng = np.random.default_rng(8)
+    for n in [1, 2, 5, 40, 63, 64, 65, 128, 300, 1030]:
+        x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        cut, far = x[: math.ceil(0.8 * n)], rng.integers(0, 1 << 63, n).astype(np.uint64)
+        added = np.concatenate([x, far[: n // 4]])
+        for y in (x, cut, added):
+            assert simhash.may_be_similar(simhash.parities(x), simhash.parities(y), n + len(y), 0.8)
+        assert n < 40 or not simhash.may_be_similar(simhash.parities(x), simhash.parities(far), 2 * n, 0.8)
+
+
 def test_near_copies_with_one_id_for_many_texts(docs_of, prose):
     """A shared id makes no group: the kept texts are those that stay with ids of their own."""
     texts = [t for t in dict.fromkeys(prose) if len(set(t.split())) > 20]

@@ -426,6 +426,25 @@ def prefix(runs: np.ndarray, similarity: float, often: np.ndarray, times: np.nda
     return runs[np.lexsort((runs, count))][: len(runs) - int(_least_common(len(runs), similarity)) + 1]
 
 
+def parities(runs: np.ndarray) -> np.ndarray:
+    """A bit for each of about as many parts of the hashes: whether a set has an odd number there.
+
+    Two sets differ in at least as many hashes as their bits differ in.
+    """
+    bits = 1 << max(6, int(len(runs) - 1).bit_length())
+    odd = np.bincount((runs % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little")
+
+
+def may_be_similar(x: np.ndarray, y: np.ndarray, total: int, similarity: float) -> bool:
+    """Whether the parities of two sets with ``total`` hashes together allow the similarity."""
+    while len(x) != len(y):  # the longer one is folded: of two parts together it tells the same
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= total * (1 - similarity) / (1 + similarity) + 1e-6
+
+
 def _frequent(texts: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of shingles that several texts of a bounded sample have, sorted, and in how many."""
 
@@ -543,12 +562,30 @@ def prefix_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
     return ready.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def similar_pairs(texts: DataFrame, pairs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
+def similar_pairs(
+    texts: DataFrame, nodes: DataFrame, pairs: DataFrame, words_per_shingle: int, similarity: float
+) -> DataFrame:
     """Those of the ``pairs`` (a, b) whose shingle sets have that Jaccard similarity, exactly.
 
-    ``texts``: _row and _text. Shingles are made again for the texts in question: a bounded
-    table of marks tells most others, the join all.
+    Parities (``nodes``: node, _size, _odd) rule out most pairs that are not, and no other.
+    Then sets meet. ``texts``: _row and _text. Shingles are made again for the texts in
+    question: a bounded table of marks tells most others, the join all.
     """
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            totals = batch.column("total").to_numpy()
+            ok = np.zeros(len(batch), bool)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
+                bits = (np.frombuffer(b.as_buffer(), np.uint8) for b in (x, y))
+                ok[i] = may_be_similar(*bits, int(totals[i]), similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+        release()
+
+    first = nodes.select(F.col("node").alias("a"), F.col("_odd").alias("x"), F.col("_size").alias("n"))
+    other = nodes.select(F.col("node").alias("b"), F.col("_odd").alias("y"), F.col("_size").alias("m"))
+    light = pairs.join(first, "a").join(other, "b").select("a", "b", "x", "y", (F.col("n") + F.col("m")).alias("total"))
+    pairs = stored(light.mapInArrow(sift, "a bigint, b bigint"), "sifted")
     asked = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
     mark = F.pmod(F.xxhash64("_row"), F.lit(_MARKS)).cast("int").alias("_mark")
     marks = np.zeros(_MARKS, bool)
@@ -611,7 +648,7 @@ def near_copies(
     near = Near(bits, int(n_bits * apart + np.sqrt(n_bits * apart * (1 - apart))))
     names = [f"_print{k}" for k in range(WORD_PRINTS)] + [f"_part{k}" for k in range(SKETCH_PARTS)]
     longs = [*names, "_set0", "_set1", "_size"]
-    docs = docs.drop("_row", "_prefix", *longs)
+    docs = docs.drop("_row", "_prefix", "_odd", *longs)
 
     # Rows are numbered once, in a stored table: numbers then stay what they are.
     rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
@@ -622,38 +659,39 @@ def near_copies(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, firsts = [], []
+            values, firsts, odd = [], [], []
             for t in batch.column("_text").to_pylist():
                 runs = shingle_set(t, words_per_shingle)
                 whole = xxhash.xxh3_128_intdigest(runs.tobytes(), SEED)
                 values.append([*sketch(t, runs), whole >> 64, whole % 2**64, len(runs)])
                 firsts.append(prefix(runs, similarity, *often.value).tobytes())
+                odd.append(parities(runs).tobytes())
             values = np.array(values, np.uint64).reshape(len(firsts), len(longs))
             columns = [pa.array(values[:, k].copy().view(np.int64)) for k in range(len(longs))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_row"), *columns, pa.array(firsts, pa.binary())],
-                ["_id", "_row", *longs, "_prefix"],
+                [batch.column("_id"), batch.column("_row"), *columns, pa.array(firsts, pa.binary()), pa.array(odd, pa.binary())],
+                ["_id", "_row", *longs, "_prefix", "_odd"],
             )
         release()
 
-    schema = "_id bigint, _row bigint, " + ", ".join(f"{n} bigint" for n in longs) + ", _prefix binary"
+    schema = "_id bigint, _row bigint, " + ", ".join(f"{n} bigint" for n in longs) + ", _prefix binary, _odd binary"
     prints = stored(light.mapInArrow(run, schema), "sketches")
     # Equal sets are one node, named by a row: ids can repeat among different texts.
     named = prints.where("_id IS NOT NULL")
-    sets = named.groupBy("_set0", "_set1").agg(F.min(F.struct("_row", "_id", *longs, "_prefix")).alias("of"))
+    sets = named.groupBy("_set0", "_set1").agg(F.min(F.struct("_row", "_id", *longs, "_prefix", "_odd")).alias("of"))
     nodes = stored(sets.select(F.col("of._row").alias("node"), "of.*").drop("_row", "_id"), "nodes")
     found = None
     for k in range(WORD_PRINTS):
         points = nodes.select(F.col(f"_print{k}").alias("print"), "node", *names[WORD_PRINTS:])
         links = near_links(points, near)
         found = links if found is None else found.unionByName(links)
-    first = similar_pairs(light, stored(found.distinct(), "found"), words_per_shingle, similarity)
+    first = similar_pairs(light, nodes, stored(found.distinct(), "found"), words_per_shingle, similarity)
 
     def grouped(labels: DataFrame) -> DataFrame:
         return nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
 
     more = stored(prefix_pairs(grouped(components(first)), similarity), "prefix-pairs")
-    second = similar_pairs(light, more, words_per_shingle, similarity)
+    second = similar_pairs(light, nodes, more, words_per_shingle, similarity)
     of_set = grouped(components(first.unionByName(second))).select("_set0", "_set1", "group")
     of_row = named.select("_id", "_row", "_set0", "_set1").join(of_set, ["_set0", "_set1"])
     least = of_row.groupBy("group").agg(F.min(F.struct("_id", "_row")).alias("row")).select("row._row")
