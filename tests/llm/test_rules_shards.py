@@ -1,9 +1,11 @@
 import re
+import zlib
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from weirflow.llm import queries, sharding
 from weirflow.llm.quality import RULES, Rule, quality_rules
 from weirflow.llm.sharding import row_bytes, shard_rows, write_shards
 
@@ -88,3 +90,15 @@ def test_shard_folders(docs_of, tmp_path, spark):
 def test_bad_arguments(docs_of):
     with pytest.raises(ValueError):
         shard_rows(docs_of(["a"]), 0)
+
+
+def test_query_shards_whole_documents(spark, sf, monkeypatch):
+    seen = []
+    real = sharding.shard_rows
+    monkeypatch.setattr(sharding, "shard_rows", lambda df, *a, **k: seen.append((df.columns, a, k)) or real(df, *a, **k))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = queries.QUERIES["op1_sharding"](spark, sf).collect()
+    columns, args, named = seen[0]
+    assert set(docs.columns) < set(columns) and "bucket_bytes" not in named and len(args) == 2
+    expected = sorted((r.doc_id, len((r.text or "").encode()) + 16, zlib.crc32((r.text or "").encode())) for r in docs.collect())
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows) == expected
