@@ -45,6 +45,26 @@ def test_small_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "tag", ["div class='content has-sidebar'", "article class='post category-social'", "div id='page' class='no-comments'",
+            "div class='layout with-header'", "div class='fixed-header'", "div class='widget'"],
+)
+def test_names_that_only_sound_unlikely(tag):
+    line = "A long line, with commas, that is surely a part of the article."
+    article = f"<{tag}><h1>Title</h1><p>{line}</p><p>{line}</p></{tag.split()[0]}>"
+    rest = "<div class='sidebar'><p>Buy, now.</p></div><div class='comments'><p>Nice, very.</p></div>"
+    assert main_text(f"<body>{article}{rest}</body>") == f"Title\n{line}\n{line}"
+    assert main_text(f"<body><div class='comments'><p>{line}</p></div></body>") == line  # nothing else is there
+
+
+def test_references_stay():
+    line = "A long line, with commas, that is surely a part of the article."
+    entries = "".join(f"<li>Writer {k}, 2001: <a href=x>A work of some length and number {k}</a></li>" for k in "abc")
+    bare = "<ol class='references'><li><a href=1>One work</a></li><li><a href=2>Other work</a></li></ol>"
+    text = main_text(f"<body><article><p>{line}</p><ul>{entries}</ul>{bare}</article></body>")
+    assert "Writer b, 2001: A work of some length and number b" in text and text.endswith("One work\nOther work")
+
+
 def test_long_and_nested_pages():
     assert main_text("<div>" * 50_000 + "deep").strip() == "deep"
     long = "word, " * 50_000

@@ -63,6 +63,10 @@ _UNLIKELY = frozenset(
     "contentinfo outbrain taboola".split()
 )
 _LIKELY = frozenset("article main content body post entry story text page".split())
+#: A name that starts so tells of a page's state or subject, not what the part is.
+_ABOUT = frozenset("has no not with without is category tag".split())
+#: Parts of an article that are mostly links.
+_CITED = frozenset("references reference reflist bibliography citations footnotes endnotes sources".split())
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)"
@@ -77,12 +81,14 @@ _NO_SHOW = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "words", "hidden", "points", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "words", "unlikely", "likely", "hidden", "points", "chars", "link_chars")
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = "") -> None:
         self.tag, self.parent = tag, parent
         self.children: list[Node | str] = []
         self.words: frozenset[str] = frozenset()
+        self.unlikely = False
+        self.likely = tag in ("article", "main", "html", "body")
         self.hidden = False
         self.points = 0.0
         self.chars = self.link_chars = 0
@@ -91,17 +97,21 @@ class Node:
             for name, value in _ATTR.findall(attrs):
                 name, value = name.lower(), value.strip("\"'")
                 if name in ("class", "id", "role"):
-                    words.update(w.lower() for w in _WORDS.findall(value))
+                    for token in value.split():
+                        parts = [w.lower() for w in _WORDS.findall(token)]
+                        words.update(parts)
+                        self.likely |= token.lower() in _LIKELY
+                        self.unlikely |= bool(parts) and parts[0] not in _ABOUT and not _UNLIKELY.isdisjoint(parts)
                 elif name == "hidden" or (name == "style" and _NO_SHOW.search(value)):
                     self.hidden = True
                 elif name == "aria-hidden" and value.lower() == "true":
                     self.hidden = True
             self.words = frozenset(words)
 
-    def left_out(self) -> bool:
+    def left_out(self, by_name: bool = True) -> bool:
         if self.tag in _LEFT_OUT or self.hidden:
             return True
-        return bool(self.words & _UNLIKELY) and self.tag not in ("html", "body", "main")
+        return by_name and self.unlikely and not self.likely
 
 
 def parse(page: str) -> Node:
@@ -173,17 +183,31 @@ def _opened(at: Node, tag: str) -> Node:
     return at
 
 
-def _ordered(root: Node) -> list[Node]:
+def _ordered(root: Node, by_name: bool = True) -> list[Node]:
     """All nodes that may hold article text, parents before children."""
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         out.append(node)
-        node.children = [c for c in node.children if isinstance(c, str) or not c.left_out()]
+        node.children = [c for c in node.children if isinstance(c, str) or not c.left_out(by_name)]
         todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
     return out
 
 
+def _spare_holders(nodes: list[Node]) -> None:
+    """Unlikely names do not count for what holds most of the page's paragraphs and its title or article."""
+    chars: dict[Node, int] = {}
+    marked = set()
+    for node in reversed(nodes):
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str)) if _is_paragraph(node) else 0
+        inner = [c for c in node.children if not isinstance(c, str)]
+        chars[node] = own + sum(chars[c] for c in inner if c.tag != "a")
+        if any(c in marked or c.tag == "h1" or c.likely for c in inner):
+            marked.add(node)
+    for node in nodes:
+        node.likely |= node in marked and 2 * chars[node] > chars[nodes[0]]
+
+
 def _measure(nodes: list[Node]) -> None:
     """Text and link lengths of every node, bottom up."""
     for node in reversed(nodes):
@@ -274,7 +298,12 @@ def _link_list(node: Node) -> bool:
             if not isinstance(c, str):
                 links += c.tag == "a"
                 todo.append(c)
-    return links > 1
+    if links < 2 or node.chars - node.link_chars >= 10 * links:  # entries that say more than their link
+        return False
+    up = node
+    while up is not None and up.words.isdisjoint(_CITED):
+        up = up.parent
+    return up is None
 
 
 def _blocks(root: Node) -> list[str]:
@@ -309,7 +338,15 @@ def main_text(page: str | None) -> str:
     """The article's blocks, joined by line ends; empty if there is no text."""
     if not page:
         return ""
-    nodes = _ordered(parse(page))
+    root = parse(page)
+    every = _ordered(root, by_name=False)
+    _spare_holders(every)
+    named = any(n.left_out() for n in every)
+    text = _read(_ordered(root))
+    return text if text or not named else _read(_ordered(parse(page), by_name=False))
+
+
+def _read(nodes: list[Node]) -> str:
     _measure(nodes)
     _score(nodes)
     return "\n".join(b for node in _chosen(nodes) for b in _blocks(node))
