@@ -2,7 +2,7 @@ import json
 import time
 
 import pytest
-from conftest import column
+from helpers import column
 from pyspark.sql import functions as F
 
 from weirflow.functions.variants import json_path, strict_json

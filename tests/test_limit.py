@@ -2,7 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from weirflow import AdmissionSpec, Endpoint, RateLimit, SpecError

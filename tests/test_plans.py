@@ -1,7 +1,7 @@
 """Plans: what is pruned, pushed down, computed once, and kept off one task."""
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from weirflow import CollectionSpec, FieldMapping, Route

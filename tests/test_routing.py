@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import plan_of
+from helpers import plan_of
 from pyspark.sql import functions as F
 
 from weirflow import Endpoint, Route, SpecError

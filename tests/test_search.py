@@ -3,7 +3,7 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import column, plan_of
+from helpers import column, plan_of
 from pyspark.sql import functions as F
 
 from weirflow import CollectionSpec

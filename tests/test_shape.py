@@ -3,7 +3,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import column, plan_of
+from helpers import column, plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import column, plan_of
+from helpers import column, plan_of
 
 from weirflow import SpecError, TopicSchema
 from weirflow.operators import registry as reg
