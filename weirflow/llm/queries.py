@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, html, lm, packing, quality, recompress, sharding, simhash, suffixes, topk
+from weirflow.llm import bpe, html, lm, packing, quality, recompress, repair, sharding, simhash, suffixes, topk
 from weirflow.llm.common import id_and_text
 from weirflow.session import configure
 
@@ -99,3 +99,10 @@ def op4_recompression(spark, sf):
 def op3_suffixes(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return suffixes.dedup_bytes(docs, size=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query()
+def op11_repair(spark, sf):
+    return repair.repair_conversations(repair.damage(_table(spark, sf, "conversations"))).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
