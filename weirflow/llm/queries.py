@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirflow.llm import bpe, html, lm, packing, quality, recompress, repair, sharding, simhash, suffixes, topk
+from weirflow.llm import bpe, copies, html, lm, packing, quality, ranked, recompress, repair, sharding, simhash, suffixes, topk
 from weirflow.llm.common import id_and_text
 from weirflow.session import configure
 
@@ -106,3 +106,36 @@ def op11_repair(spark, sf):
     return repair.repair_conversations(repair.damage(_table(spark, sf, "conversations"))).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
     )
+
+
+@query(
+    """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+       FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+)
+def op12_copies(spark, sf):
+    return copies.exact_copies(_table(spark, sf, "documents"))
+
+
+def _terms_sql(table: str, id_col: str) -> str:
+    return f"""SELECT {id_col}, term, count(*) AS tf FROM (
+        SELECT row_number() OVER () AS r, {id_col}, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {table}
+    ) GROUP BY r, {id_col}, term"""
+
+
+@query(
+    f"""WITH d AS ({_terms_sql("documents", "doc_id")}), i AS ({_terms_sql("benchmark", "item_id")}),
+    lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM d GROUP BY doc_id),
+    t AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+    w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM d, t GROUP BY term, docs),
+    s AS (
+        SELECT item_id, doc_id, sum(i.tf * w * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+        FROM i JOIN d USING (term) JOIN w USING (term) JOIN lengths USING (doc_id), t GROUP BY item_id, doc_id
+    )
+    SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 10"""
+)
+def op13_ranked(spark, sf):
+    return ranked.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), 10)
