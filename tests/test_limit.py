@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weirflow import AdmissionSpec, Endpoint, RateLimit, SpecError
 from weirflow.functions.headers import canonical_ip, client_ip, is_ip, normalize_headers
 from weirflow.operators.admit import admit_requests, check_body_size, flag_content_type
-from weirflow.operators.limit import BucketMap, decide, rate_limit, rate_limit_window
+from weirflow.operators.limit import BucketMap, _cut_by_count, decide, rate_limit, rate_limit_window
 from weirflow.sources import from_http_requests
 
 START = datetime(2024, 1, 1)
@@ -306,3 +306,30 @@ def test_attributes_and_flags(spark):
     h = normalize_headers(F.col("headers"))
     assert [r[0] for r in df.select(flag_content_type(h)).collect()] == [True, False]
     assert [r[0] for r in df.select(check_body_size(F.col("body"), 0)).collect()] == [True, True]
+
+
+@pytest.mark.parametrize("chunk_events", [1, 37, 500, 10_000])
+def test_chunks_by_count_equal_one_pass(events, chunk_events):
+    rows, df = events
+    got = rate_limit(df, ["key"], "ts", "id", 5, 3, chunk_events=chunk_events).collect()
+    assert sorted(r.id for r in got) == list(range(len(rows)))
+    assert {r.id for r in got if r.allowed} == one_pass(rows, 200_000, 3)
+
+
+def test_a_hot_key_is_spread(spark):
+    """One key with all events inside 300 seconds: chunks are of about equal size, wherever the events lie."""
+    n = 40_000
+    squeezed = F.timestamp_micros((F.pow(F.col("id") / n, 6) * 299_000_000).cast("bigint") + 1_700_000_000_000_000)
+    df = spark.range(n).select("id", F.lit("hot").alias("key"), squeezed.alias("ts"))
+    events = df.select(F.col("key").alias("_key"), (F.unix_micros("ts") * 1000).alias("_t"), "id")
+    cut = _cut_by_count(events, 500)
+    sizes = sorted(r.n for r in cut.groupBy("_chunk").agg(F.count("*").alias("n")).collect())
+    # Early events share their microseconds, so the first chunks are larger.
+    assert len(sizes) > 60 and sizes[len(sizes) // 2] < 700
+    spread = df.withColumn("ts", F.timestamp_micros(F.col("id") * 7000 + 1_700_000_000_000_000))
+    events = spread.select(F.col("key").alias("_key"), (F.unix_micros("ts") * 1000).alias("_t"), "id")
+    tasks = [r.n for r in _cut_by_count(events, 100).repartition(8, "_key", "_chunk").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(tasks) == 8 and max(tasks) < 3 * sorted(tasks)[4]
+    quick = rate_limit(df, ["key"], "ts", "id", 50, 20, chunk_events=500)
+    slow = rate_limit(df, ["key"], "ts", "id", 50, 20, chunk_events=10**9)
+    assert quick.exceptAll(slow).count() == 0 and 0 < quick.where("allowed").count() < n

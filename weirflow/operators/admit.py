@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirflow.functions.headers import canonical_ip, client_ip, header, normalize_headers
-from weirflow.operators.limit import rate_limit, rate_limit_window
+from weirflow.operators.keyed_limit import limit_stream, period_column
+from weirflow.operators.limit import NANOS, rate_limit, rate_limit_window
 from weirflow.operators.routing import listed_frame
 from weirflow.specs import AdmissionSpec
 
@@ -75,7 +76,7 @@ def _address_rates(candidates: DataFrame, spec: AdmissionSpec, request_id: str,
 
 
 def _over_limit(
-    candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts: str, chunk_seconds: int
+    candidates: DataFrame, spec: AdmissionSpec, request_id: str, ts: str, chunk_seconds: int | None
 ) -> DataFrame:
     """Requests over a limit: ``request_id, _over`` where _over is the error text.
 
@@ -111,20 +112,53 @@ def _over_limit(
     return over
 
 
+def _judged_stream(requests: DataFrame, asks: Column, spec: AdmissionSpec, request_id: str, ts: str, late: str | None) -> DataFrame:
+    """The requests of a stream with ``_over``: two keyed states, endpoint then address, in one query.
+
+    All columns go along, as a stream has no other way back to a request; requests that use up no
+    limit are handed on under many keys.
+    """
+
+    def judge(df: DataFrame, key: str, rate: str, skip: Column) -> DataFrame:
+        window = spec.limiter == "window"
+        period = NANOS if window else period_column(F.col(rate), 1)
+        tokens = F.col(rate) if window else F.col("_burst")
+        kind = "window" if window else "bucket"
+        return limit_stream(df, [key], ts, request_id, period, tokens, df.columns, kind, late=late, skip=skip)
+
+    # Message texts.
+    def too_many(what: str, name: str) -> Column:
+        return F.when(~F.col("allowed"), F.concat(F.lit(f"Rate limit exceeded for {what}: "), name))
+
+    address = canonical_ip(client_ip(F.col("_headers"), strict=True))
+    first = judge(requests.withColumn("_asks", asks).withColumn("_ip", address).drop("_headers"), "path", "_rps", ~F.col("_asks"))
+    missing = F.when(F.col("_asks") & F.col(ts).isNull(), F.lit("Request time is missing"))
+    first = first.withColumn("_over", F.coalesce(missing, too_many("endpoint", "path"))).drop("allowed")
+    if any(x.per_ip for e in spec.endpoints if (x := spec.limit_for(e))):
+        done = ~F.col("_asks") | F.col("_over").isNotNull() | F.col("_ip").isNull() | F.col("_ip_rps").isNull()
+        second = judge(first, "_ip", "_ip_rps", done)
+        first = second.withColumn("_over", F.coalesce("_over", too_many("IP", "_ip")))
+    return first.withColumn("_headers", normalize_headers(F.col("headers")))
+
+
 def admit_requests(
     df: DataFrame,
     spec: AdmissionSpec,
     request_id: str = "request_id",
     ts: str = "received_at",
-    chunk_seconds: int = 300,
+    chunk_seconds: int | None = 300,
+    late: str | None = None,
 ) -> DataFrame:
-    """Add ``to, status, error`` to requests ``request_id, path, headers, body, ts``.
+    """Add ``to, status, error`` to requests ``request_id, path, headers, body, ts``, of a table or a stream.
 
     Order of the checks: API key (401, or 500 without a secret), rate limits (429),
     unknown path (404), body size (413), else 200. Only requests with the right key
-    use up a limit, and one without a time is refused as over it. The limits look at narrow columns and join back by request id, so
-    bodies are not moved for them; a stream runs with ``limiter='off'`` here and the
-    streaming limiter as its own stage, or calls this per micro-batch.
+    use up a limit, and one without a time is refused as over it. Over a table the limits look
+    at narrow columns and join back by request id, so bodies are not moved for them; buckets are
+    cut by ``chunk_seconds``, or by count with None, which reads the requests first. Over a
+    stream they are two keyed states, through which the requests pass whole; an address keeps
+    the limit of the endpoint that it used first, and with ``late`` the time column gets that
+    watermark and state goes when it has no effect any more.
     """
     requests = df.join(_endpoint_table(df, spec), "path", "left").withColumn(
         "_headers", normalize_headers(F.col("headers"))
@@ -134,7 +168,12 @@ def admit_requests(
     if spec.auth == "apikey":
         auth_status, auth_error = check_api_key(F.col("_headers"), spec.header, spec.secret)
     over = no_error
-    if spec.limiter != "off" and any(spec.limit_for(e) for e in spec.endpoints):
+    limited = spec.limiter != "off" and any(spec.limit_for(e) for e in spec.endpoints)
+    if limited and df.isStreaming:
+        asks = auth_status.isNull() & F.col("_rps").isNotNull()
+        requests = _judged_stream(requests, asks, spec, request_id, ts, late)
+        over = F.col("_over")
+    elif limited:
         candidates = requests.where(auth_status.isNull() & F.col("_rps").isNotNull()).select(
             request_id,
             ts,

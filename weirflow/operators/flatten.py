@@ -1,19 +1,15 @@
 """Nested JSON to one level of dotted keys.
 
-A few levels are opened by native expressions, one inside the other, so that plans stay
-small and shallow documents pay for their own depth only. What is nested deeper, to any
-depth, is finished in Arrow batches, from a column that is NULL for all other rows.
+A few levels are opened by expressions one inside the other, so that plans stay small and
+shallow documents pay for their own depth only. What is nested deeper, to any depth, is
+opened by a fold that goes on for as many rounds as the document has objects left at most,
+and that opens nothing more once no object is left. All of it runs in the JVM, also in streams.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirflow.functions.variants import (
     as_items,
@@ -28,7 +24,6 @@ from weirflow.operators.once import fence
 NATIVE_LEVELS = 3
 FLAT = "map<string,variant>"
 _LEAVES = "_flat_leaves"
-_PAIRS = "array<struct<key:string,value:string>>"
 
 
 def _entry(key: Column, v: Column) -> Column:
@@ -71,36 +66,18 @@ def _opened(v: Column, levels: int) -> Column:
     return let(F.array(_entry(F.lit(""), v)), lambda e: open_levels(e, levels))
 
 
-def _pairs(value: object) -> Iterator[tuple[str, object]]:
-    """Keys and values below a parsed value, depth first, without recursion."""
-    todo = [("", value)]
-    while todo:
-        key, v = todo.pop()
-        if isinstance(v, dict):
-            inner = [(k if key == "" else f"{key}.{k}", x) for k, x in v.items()]
-            todo.extend(reversed(inner))
-        else:
-            yield key, v
-
-
-def _shallow(value: object) -> object:
-    """A leaf that can be written as JSON at any depth: arrays keep their scalars only."""
-    if isinstance(value, list):
-        return [x for x in value if not isinstance(x, (list, dict))]
-    return value
-
+def _opened_to_the_end(entries: Column) -> Column:
+    """Entries without any object left, whatever their depth.
 
-@F.pandas_udf(T.StringType())
-def _finish(texts: pd.Series) -> pd.Series:
-    """Flat pairs of deep documents as JSON text; NULL stays NULL."""
+    A value has no more levels than opening braces, which bounds the rounds.
+    """
+    braces = F.transform(F.filter(entries, _is_open), lambda e: _braces(F.to_json(e["v"])))
+    rounds = F.sequence(F.lit(1), F.array_max(braces))
+    return F.aggregate(rounds, entries, lambda done, _: F.when(F.exists(done, _is_open), _expand(done)).otherwise(done))
 
-    def flat(text: str | None) -> str | None:
-        if text is None:
-            return None
-        pairs = [{"key": k, "value": json.dumps(_shallow(v))} for k, v in _pairs(json.loads(text))]
-        return json.dumps(pairs)
 
-    return texts.map(flat, na_action="ignore")
+def _braces(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, "{", ""))
 
 
 def _leaf_value(e: Column) -> Column:
@@ -128,14 +105,7 @@ def with_flat(df: DataFrame, source: str, out: str, levels: int = NATIVE_LEVELS)
     depth. ``levels`` only says how many of them native expressions open.
     """
     opened = fence(df.withColumn(_LEAVES, _opened(F.col(source), levels)), [_LEAVES])
-    deep = F.exists(_LEAVES, _is_open)
-    finished = F.transform(
-        F.from_json(_finish(F.when(deep, F.to_json(F.col(source)))), _PAIRS),
-        lambda p: _entry(p["key"], F.try_parse_json(p["value"])),
-    )
-    found = fence(
-        opened.withColumn(_LEAVES, F.when(deep, finished).otherwise(F.col(_LEAVES))), [_LEAVES]
-    )
-    values = F.transform(_LEAVES, lambda e: F.struct(e["key"].alias("key"), _leaf_value(e).alias("value")))
+    whole = F.when(F.exists(_LEAVES, _is_open), _opened_to_the_end(F.col(_LEAVES))).otherwise(F.col(_LEAVES))
+    values = F.transform(whole, lambda e: F.struct(e["key"].alias("key"), _leaf_value(e).alias("value")))
     flat = F.map_from_entries(F.filter(values, lambda p: p["value"].isNotNull()))
-    return found.withColumn(out, flat).drop(_LEAVES)
+    return opened.withColumn(out, flat).drop(_LEAVES)

@@ -3,8 +3,9 @@
 ``rate_limit`` is a token bucket (the generic cell rate algorithm): an event at time
 t is allowed when ``tat - t <= (burst - 1) * period``, and then moves ``tat`` to
 ``max(tat, t) + period``. The bucket of a key is a chain through all its events, so a
-plain group per key would put a hot key into one task. Here time is cut into chunks,
-and the chain is solved in three steps that each spread over the cluster:
+plain group per key would put a hot key into one task. Here the events of a key are cut
+into chunks, by count or by time, and the chain is solved in three steps that each spread
+over the cluster:
 
 1. per (key, chunk), what the chunk does to *any* incoming ``tat``: a function of a
    few linear pieces, one small row;
@@ -17,6 +18,7 @@ sorted Arrow batches and hold one bucket at a time, never a group.
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from weirflow.session import checkpoint_root
 from weirflow.specs import SpecError
 
 NANOS = 1_000_000_000
@@ -51,7 +54,7 @@ class BucketMap:
     """
 
     def __init__(self, start: int, period: int, burst: int):
-        self.period = period
+        self.period, self.burst = period, burst
         self.room = (burst - 1) * period
         self.pieces: list[tuple[int, int, bool, int]] = [(start, start + burst * period, False, 0)]
 
@@ -64,10 +67,7 @@ class BucketMap:
 
     def _feed_fixed(self, times: Sequence[int]) -> None:
         low, high, _, tat = self.pieces[0]
-        for t in times:
-            if tat - t <= self.room:
-                tat = (tat if tat > t else t) + self.period
-        self.pieces = [(low, high, True, tat)]
+        self.pieces = [(low, high, True, decide(tat, times, self.period, self.burst)[0])]
 
     def _step(self, t: int) -> None:
         if len(self.pieces) > _MANY_PIECES:
@@ -170,6 +170,7 @@ _PIECES = pa.schema(
     [
         ("_key", pa.string()),
         ("_chunk", pa.int64()),
+        ("start", pa.int64()),
         ("high", pa.list_(pa.int64())),
         ("fixed", pa.list_(pa.bool_())),
         ("value", pa.list_(pa.int64())),
@@ -187,16 +188,16 @@ def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def _chunk_maps(chunk_nanos: int, fixed: dict[str, int]):
-    """Step 1: sorted events to one row of pieces per (key, chunk)."""
+def _chunk_maps(fixed: dict[str, int]):
+    """Step 1: sorted events to one row of pieces per (key, chunk), for any bucket at its first event."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: tuple[str, int] | None = None
         bucket: BucketMap | None = None
 
         def row() -> dict:
-            _, high, fixed, value = (list(x) for x in zip(*bucket.pieces, strict=True))
-            return dict(_key=now[0], _chunk=now[1], high=high, fixed=fixed, value=value)
+            low, high, fixed, value = (list(x) for x in zip(*bucket.pieces, strict=True))
+            return dict(_key=now[0], _chunk=now[1], start=low[0], high=high, fixed=fixed, value=value)
 
         for batch in batches:
             done = []
@@ -207,7 +208,7 @@ def _chunk_maps(chunk_nanos: int, fixed: dict[str, int]):
                         done.append(row())
                     now = group
                     period, burst = _limits(batch, a, fixed)
-                    bucket = BucketMap(group[1] * chunk_nanos, period, burst)
+                    bucket = BucketMap(int(times[a]), period, burst)
                 bucket.feed(times[a:b].tolist())
             if done:
                 yield _batch(done, _PIECES)
@@ -217,7 +218,7 @@ def _chunk_maps(chunk_nanos: int, fixed: dict[str, int]):
     return run
 
 
-def _incoming(chunk_nanos: int):
+def _incoming():
     """Step 2: pieces in (key, chunk) order to the tat each chunk starts with."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +229,7 @@ def _incoming(chunk_nanos: int):
                 if r["_key"] != now:
                     now, tat = r["_key"], UNUSED
                 rows.append(dict(_key=now, _chunk=r["_chunk"], _tat=tat))
-                tat = max(tat, r["_chunk"] * chunk_nanos)
+                tat = max(tat, r["start"])
                 at = bisect_left(r["high"], tat)
                 tat = r["value"][at] + (0 if r["fixed"][at] else tat)
             if rows:
@@ -269,6 +270,41 @@ def _at_least_one(rate: int | Column, what: str) -> int | Column:
     return F.when(rate < 1, stop).otherwise(rate.cast("bigint"))
 
 
+#: At most so many chunks of one key: what its map of chunks takes in one task.
+MOST_CHUNKS = 4096
+
+
+def _cut_by_count(events: DataFrame, chunk_events: int) -> DataFrame:
+    """Events with ``_chunk``: keys with more than ``chunk_events`` events are cut at quantiles of time.
+
+    The times are found by sketches that tasks merge, and stored: every reader sees the same cuts.
+    Events of the same time stay together.
+    """
+    spark = events.sparkSession
+    place = f"{checkpoint_root(spark)}/weirflow/cuts-{uuid.uuid4().hex}"
+    counts = events.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk_events)
+    counts.write.parquet(f"{place}/hot")
+    hot = spark.read.schema(counts.schema).parquet(f"{place}/hot")
+    most = hot.agg(F.max("_n")).first()[0]
+    if most is None:
+        # No literal, which Spark would move past the exchange for one of its readers only.
+        return events.withColumn("_chunk", F.when(F.col("_key").isNull(), 1).otherwise(0).cast("bigint"))
+    chunks = min(MOST_CHUNKS, -(-most // chunk_events))
+    shares = [i / chunks for i in range(1, chunks)]
+    times = events.join(hot.select("_key"), "_key", "left_semi").groupBy("_key").agg(
+        F.percentile_approx("_t", shares, 10 * max(1000, chunks)).alias("_at")
+    )
+    # A key with fewer events takes every so manieth cut.
+    mine = F.ceil(F.col("_n") / F.lit(chunk_events))
+    wanted = F.filter("_at", lambda _, i: F.floor((i + 1) * mine / chunks) != F.floor(i * mine / chunks))
+    times = times.join(hot, "_key").select("_key", wanted.alias("_cuts"))
+    times.write.parquet(f"{place}/cuts")
+    cuts = spark.read.schema(times.schema).parquet(f"{place}/cuts")
+    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_t")))
+    chunk = F.when(F.col("_cuts").isNull(), 0).otherwise(passed).cast("bigint")
+    return events.join(cuts, "_key", "left").withColumn("_chunk", chunk).drop("_cuts")
+
+
 def rate_limit(
     df: DataFrame,
     key: Sequence[str],
@@ -278,8 +314,9 @@ def rate_limit(
     burst: int | Column,
     per_seconds: int = 1,
     keep: Sequence[str] = (),
-    chunk_seconds: int = 300,
+    chunk_seconds: int | None = None,
     timeless: bool = True,
+    chunk_events: int = 50_000,
 ) -> DataFrame:
     """Token bucket per key over a batch: rows ``id, *keep, allowed``.
 
@@ -287,11 +324,13 @@ def rate_limit(
     per ``per_seconds`` refill a bucket of ``burst``; both may be columns that are
     constant per key, and must be 1 or more. An event without a time has no place in the
     order: its verdict is NULL (``timeless=False`` when there is none). Pass only narrow
-    columns in ``keep`` and join the verdicts back by id. Choose ``chunk_seconds`` so that
-    a hot key's chunk is one task's work. The events are shuffled once, by (key, chunk);
-    both passes over them read that exchange.
+    columns in ``keep`` and join the verdicts back by id. A key with more than ``chunk_events``
+    events is cut into chunks of about as many, wherever in time they lie; the events are
+    counted for that. With ``chunk_seconds`` all keys are cut by time instead, which needs no
+    count. The events are shuffled once, by (key, chunk); both passes over them read that exchange.
     """
-    chunk_nanos = chunk_seconds * NANOS
+    if chunk_events < 1 or (chunk_seconds is not None and chunk_seconds < 1):
+        raise SpecError("chunks must hold something")
     wanted = list(dict.fromkeys([id, *keep]))
     # Constants go with the functions: in a column Spark would move them past the exchange
     # for one of its readers only.
@@ -308,17 +347,21 @@ def rate_limit(
         nanos.alias("_t"),
         *[c.alias(n) for n, c in limits.items() if isinstance(c, Column)],
         *wanted,
-    ).withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_nanos)).cast("bigint"))
+    )
+    if chunk_seconds is None:
+        events = _cut_by_count(events, chunk_events)
+    else:
+        events = events.withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_seconds * NANOS)).cast("bigint"))
     dealt = events.repartition("_key", "_chunk")
     # All columns go through, so that both readers of the exchange ask for the same one.
     pieces = dealt.sortWithinPartitions("_key", "_chunk", "_t").mapInArrow(
-        _chunk_maps(chunk_nanos, fixed),
-        "_key string, _chunk bigint, high array<bigint>, fixed array<boolean>, value array<bigint>",
+        _chunk_maps(fixed),
+        "_key string, _chunk bigint, start bigint, high array<bigint>, fixed array<boolean>, value array<bigint>",
     )
     starts = (
         pieces.repartition("_key")
         .sortWithinPartitions("_key", "_chunk")
-        .mapInArrow(_incoming(chunk_nanos), "_key string, _chunk bigint, _tat bigint")
+        .mapInArrow(_incoming(), "_key string, _chunk bigint, _tat bigint")
     )
     out = T.StructType(
         [*[df.schema[c] for c in wanted], T.StructField("allowed", T.BooleanType())]

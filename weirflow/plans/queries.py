@@ -24,11 +24,13 @@ from weirflow.operators import (
     enrich,
     flatten,
     limit,
+    pivots,
     points,
     project,
     registry,
     routing,
     search,
+    sketches,
     stats,
     validate,
 )
@@ -37,20 +39,29 @@ from weirflow.operators.once import fence, with_once
 from weirflow.plans import inputs
 from weirflow.session import checkpoint_root, configure
 from weirflow.sinks import (
+    KeyedTable,
+    Ledger,
+    Retry,
     catalog_frame,
+    compact_buckets,
     ensure_table,
     fan_out,
     insert_documents,
     new_documents,
+    read_buckets,
     read_latest,
+    read_timed,
     store_collection,
+    upsert_buckets,
     upsert_by_key,
     write_append,
     write_batch,
     write_overwrite,
     write_partitioned,
+    write_timed,
 )
-from weirflow.sinks.fanout import table_writer
+from weirflow.sinks.buckets import current_versions
+from weirflow.sinks.fanout import FanOutError, table_writer
 from weirflow.sources import (
     from_device_publishes,
     from_http_requests,
@@ -66,7 +77,18 @@ from weirflow.specs import (
     RateLimit,
     Route,
 )
-from weirflow.streaming import rate_limit_stream, read_stream, run_stream
+from weirflow.streaming import (
+    Landing,
+    batch_log,
+    counted,
+    counter_totals,
+    rate_limit_stream,
+    read_stream,
+    run_batches,
+    run_stream,
+    run_with_retries,
+    window_limit_stream,
+)
 from weirflow.streaming.run import partition_by_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -308,6 +330,27 @@ def client_ips(spark, sf):
     )
 
 
+@query(
+    f"""SELECT event_id AS request_id, CASE event_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN '300.1.2.3' WHEN 2 THEN {_IP} ELSE NULL END AS forwarded,
+    CASE event_id % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN '300.1.2.3' WHEN 2 THEN {_IP}
+        ELSE CASE WHEN event_id % 3 = 0 THEN '10.1' ELSE '::1' END END AS ip,
+    CASE WHEN event_id % 4 = 2 THEN {_IP} WHEN event_id % 3 <> 0 THEN '::1' END AS strict_ip FROM events"""
+)
+def strict_client_ips(spark, sf):
+    """Addresses that do not parse fall through to the next source, and to NULL, where one is needed."""
+    address = F.concat(F.lit("10.0."), (F.col("user_id") % 200).cast("string"), F.lit(".7"))
+    forwarded = F.get(F.array(F.lit("unknown"), F.lit("300.1.2.3"), address), (F.col("event_id") % 4).cast("int"))
+    real = F.when(F.col("event_id") % 3 == 0, "10.1").otherwise("::1")
+    sent = F.create_map(F.lit("X-Forwarded-For"), F.concat(forwarded, F.lit(", 10.9.9.9")), F.lit("X-Real-IP"), real)
+    headers = normalize_headers(F.map_filter(sent, lambda _, v: v.isNotNull()))
+    return _events(spark, sf).select(
+        F.col("event_id").alias("request_id"),
+        forwarded.alias("forwarded"),
+        client_ip(headers).alias("ip"),
+        client_ip(headers, strict=True).alias("strict_ip"),
+    )
+
+
 @query(
     f"""SELECT topic, count(*)::BIGINT AS n, sum(publish_time_us)::DECIMAL(38,0) AS us FROM (
     SELECT '/all/' || event_type AS topic, {_US} AS publish_time_us FROM events
@@ -913,17 +956,22 @@ _CHAIN = f"""WITH RECURSIVE e AS MATERIALIZED (SELECT *, {_US} // {_FASTER} AS t
                  "address", 500_000, 4)}"""
 
 
-@query(
-    f"""{_CHAIN} SELECT event_id AS request_id, {_ADMIT.format(over="NOT coalesce(f.allowed, true) OR NOT coalesce(s.allowed, true)")}
+_ADMISSION_CHAIN = f"""{_CHAIN} SELECT event_id AS request_id, {_ADMIT.format(over="NOT coalesce(f.allowed, true) OR NOT coalesce(s.allowed, true)")}
     AS status, CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 AND NOT s.allowed
     THEN 'Rate limit exceeded for IP: ' || address ELSE {_ADMIT_ERROR.format(over="NOT coalesce(f.allowed, true)")} END AS error
     FROM e LEFT JOIN first f USING (event_id) LEFT JOIN second s USING (event_id)"""
-)
-def admission_bucket(spark, sf):
-    """A bucket for each endpoint, then one for each address over all endpoints."""
+
+
+def _faster_requests(spark: SparkSession, sf: str) -> DataFrame:
     requests = inputs.http_requests(_events(spark, sf))
     faster = F.floor(F.unix_micros(F.col("received_at").cast("timestamp")) / _FASTER).cast("bigint")
-    requests = requests.withColumn("received_at", F.timestamp_micros(faster))
+    return requests.withColumn("received_at", F.timestamp_micros(faster))
+
+
+@query(_ADMISSION_CHAIN)
+def admission_bucket(spark, sf):
+    """A bucket for each endpoint, then one for each address over all endpoints."""
+    requests = _faster_requests(spark, sf)
     spec = _admission("bucket", RateLimit(10, 4, per_ip=True, per_ip_rps=2))
     return admit.admit_requests(requests, spec).select("request_id", "status", "error")
 
@@ -964,10 +1012,10 @@ def rate_limit_bucket(spark, sf):
 
 @query(_bucket_sql("event_type", 600 * 1_000_000, 5))
 def rate_limit_bucket_hot(spark, sf):
-    """Few keys with many events each: the buckets are cut by time."""
+    """Few keys with many events each: the buckets are cut by count."""
     events = _events(spark, sf).select("event_id", "event_type", "ts")
     return limit.rate_limit(
-        events, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600, chunk_seconds=6 * 3600
+        events, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600, chunk_events=400
     )
 
 
@@ -1090,6 +1138,78 @@ def upsert_on_read(spark, sf):
     return read_latest(spark, path, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
 
 
+_NEWEST = "(event_id % 3, ts, event_id)"
+
+
+@query(
+    f"""SELECT user_id, arg_max(event_id, {_NEWEST}) AS event_id, arg_max(value, {_NEWEST}) AS value
+    FROM events GROUP BY 1"""
+)
+def upsert_in_place(spark, sf):
+    """Three batches into a table in buckets, the last one twice, and compacted."""
+    table = KeyedTable(_store(spark, "buckets"), ["user_id"], ["ts", "event_id"], buckets=16)
+    events = _events(spark, sf).select("user_id", "event_id", "value", "ts")
+    for batch in (0, 1, 2, 2):
+        upsert_buckets(table, events.where(F.col("event_id") % 3 == batch), batch)
+    compact_buckets(spark, table)
+    return read_buckets(spark, table).select("user_id", "event_id", "value")
+
+
+@query(
+    """SELECT (user_id % 64)::INTEGER AS bucket, CASE WHEN user_id % 64 = 5 THEN 1 ELSE 0 END::BIGINT AS version,
+    count(DISTINCT user_id)::BIGINT AS n FROM events GROUP BY 1, 2"""
+)
+def upsert_touched_buckets(spark, sf):
+    """A batch with the keys of one bucket in 64: the version of every bucket, and its rows."""
+    bucket = (F.col("user_id") % 64).cast("int")
+    table = KeyedTable(_store(spark, "touched"), ["user_id"], ["ts", "event_id"], buckets=64, bucket=bucket)
+    events = _events(spark, sf).select("user_id", "event_id", "ts")
+    upsert_buckets(table, events, 0)
+    upsert_buckets(table, events.where(bucket == 5), 1)
+    versions = spark.createDataFrame(list(current_versions(spark, table)[1].items()), "bucket int, version bigint")
+    rows = read_buckets(spark, table).withColumn("bucket", bucket)
+    return rows.join(versions, "bucket").groupBy("bucket", "version").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT CASE WHEN event_type = 'purchase' THEN 'sales' ELSE 'web' END AS target, 'stored' AS state,
+    CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS writes, count(*)::BIGINT AS n
+    FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1, 3"""
+)
+def fan_out_ledger(spark, sf):
+    """A batch one of whose targets fails: the second run writes that target only."""
+    root, writes = _store(spark, "ledger"), []
+    names = {"/events/click": "web", "/events/view": "web", "/events/purchase": "sales"}
+    routes = [Route(topic, f"{root}/{name}") for topic, name in names.items()]
+    ledger = Ledger(f"{root}/entries")
+    inner = table_writer(lambda route, rows: rows.select("topic", "payload"), 0)
+
+    def write(target, parts):
+        writes.append(target)
+        if target.endswith("sales") and writes.count(target) == 1:
+            raise OSError("the store went away")
+        inner(target, parts)
+
+    messages = inputs.messages(_events(spark, sf)).select("topic", "payload")
+    try:
+        fan_out(messages, routes, write, 0, "drop", ledger=ledger, retry=Retry(1))
+    except FanOutError:
+        fan_out(messages, routes, write, 0, "drop", ledger=ledger)
+    tried = spark.createDataFrame([(t, writes.count(t)) for t in sorted(set(writes))], "target string, writes int")
+    rows = union_envelopes(*[spark.read.parquet(f"{root}/{n}").withColumn("target", F.lit(f"{root}/{n}")) for n in ("web", "sales")])
+    counts = rows.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    found = ledger.entries(spark).join(counts, "target").join(tried, "target")
+    return found.select(F.element_at(F.split("target", "/"), -1).alias("target"), "state", "writes", "n")
+
+
+@query("SELECT event_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-09 18:30:00'")
+def time_buckets(spark, sf):
+    """A range of time from a table in buckets of days: Spark reads the days that overlap it."""
+    path = _store(spark, "timed")
+    write_timed(_events(spark, sf).select("event_id", "value", "ts"), path, "ts")
+    return read_timed(spark, path, "ts", "2024-01-05 06:00:00", "2024-01-09 18:30:00").select("event_id", "value")
+
+
 @query(
     """SELECT event_id, '/events/' || event_type AS topic, regexp_extract(props, '[0-9]+')::INTEGER AS k
     FROM events"""
@@ -1143,26 +1263,147 @@ def append_and_overwrite(spark, sf):
     return both.groupBy("kept").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("total"))
 
 
+def _landed(df: DataFrame, path: str, files: int = 4) -> None:
+    """The rows as files in the order of ``received_at`` or ``ts``, which a stream takes one after the other."""
+    at = F.col("received_at" if "received_at" in df.columns else "ts")
+    span = df.agg(F.min(at), F.max(at)).first()
+    edges = [span[0] + (span[1] - span[0]) * k / files for k in range(1, files)]
+    part = sum(((at >= F.lit(e)).cast("int") for e in edges), F.lit(0))
+    for k in range(files):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+
+
+def _streamed(df: DataFrame, path: str, name: str) -> DataFrame:
+    """What a stream stores until its input is read."""
+    run_stream(
+        df, lambda rows, batch: write_batch(rows, f"{path}/table", batch), f"{name}-{uuid.uuid4().hex}", checkpoint=f"{path}/checkpoint"
+    ).awaitTermination()
+    return df.sparkSession.read.parquet(f"{path}/table")
+
+
 @query(_bucket_sql("event_type", 600 * 1_000_000, 5))
 def rate_limit_streamed(spark, sf):
-    """The bucket per event type with the events read as a stream."""
+    """The bucket per event type with the events read as a stream of four micro-batches."""
     path = _store(spark, "limited")
-    # The table arrives as four files in the order of time, a micro-batch each.
     events = _events(spark, sf).select("event_id", "event_type", "ts")
-    span = events.agg(F.min("ts"), F.max("ts")).first()
-    edges = [span[0] + (span[1] - span[0]) * k / 4 for k in range(1, 4)]
-    part = sum(((F.col("ts") >= F.lit(e)).cast("int") for e in edges), F.lit(0))
-    for k in range(4):
-        events.where(part == k).coalesce(1).write.mode("append").parquet(f"{path}/landed")
+    _landed(events, f"{path}/landed")
     landed = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
     judged = rate_limit_stream(landed, ["event_type"], "ts", "event_id", 1, 5, per_seconds=600)
-    run_stream(
-        judged,
-        lambda rows, batch: write_batch(rows, f"{path}/table", batch),
-        f"rate_limit_streamed-{uuid.uuid4().hex}",
-        checkpoint=f"{path}/checkpoint",
-    ).awaitTermination()
-    return spark.read.parquet(f"{path}/table").select("event_id", "allowed")
+    return _streamed(judged, path, "rate_limit_streamed").select("event_id", "allowed")
+
+
+_PERIOD = "(CASE WHEN event_type = 'click' THEN 300 WHEN event_type = 'view' THEN 1200 ELSE 600 END * 1000000)"
+
+
+@query(
+    f"""WITH RECURSIVE o AS MATERIALIZED (
+        SELECT event_type AS key, event_id, {_US} AS t, {_PERIOD} AS period, (length(event_type) - 3) * {_PERIOD} AS room,
+            row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n FROM events),
+    run AS (
+        SELECT key, event_id, n, true AS allowed, t + period AS tat FROM o WHERE n = 1
+        UNION ALL
+        SELECT o.key, o.event_id, o.n, r.tat - o.t <= room, CASE WHEN r.tat - o.t <= room THEN greatest(r.tat, o.t) + period ELSE r.tat END
+        FROM run r JOIN o ON o.key = r.key AND o.n = r.n + 1)
+    SELECT event_id, allowed FROM run"""
+)
+def rate_limit_streamed_rates(spark, sf):
+    """A rate and a burst for each event type, in one stream whose state goes with the watermark."""
+    path = _store(spark, "rates")
+    events = _events(spark, sf).select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    _landed(events, f"{path}/landed")
+    landed = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
+    rate = F.when(F.col("event_type") == "click", 4).when(F.col("event_type") == "view", 1).otherwise(2)
+    judged = rate_limit_stream(
+        landed, ["event_type"], "ts", "event_id", rate, F.length("event_type") - 2, per_seconds=1200, late="1 hour"
+    )
+    return _streamed(judged, path, "rate_limit_streamed_rates").select("event_id", "allowed")
+
+
+@query(
+    """SELECT event_id, row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts)
+    ORDER BY ts, event_id) <= 2 AS allowed FROM events"""
+)
+def window_limit_streamed(spark, sf):
+    path = _store(spark, "windows")
+    events = _events(spark, sf).select("event_id", "event_type", "ts")
+    _landed(events, f"{path}/landed")
+    landed = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
+    judged = window_limit_stream(landed, ["event_type"], "ts", "event_id", 2, seconds=3600)
+    return _streamed(judged, path, "window_limit_streamed").select("event_id", "allowed")
+
+
+@query(_ADMISSION_CHAIN)
+def admission_streamed(spark, sf):
+    """Requests admitted as they arrive: API key, a bucket for each endpoint, one for each address."""
+    path = _store(spark, "admitted")
+    requests = _faster_requests(spark, sf)
+    _landed(requests, f"{path}/landed")
+    landed = read_stream(spark, f"{path}/landed", requests.schema, max_files=1)
+    spec = _admission("bucket", RateLimit(10, 4, per_ip=True, per_ip_rps=2))
+    judged = admit.admit_requests(landed, spec)
+    return _streamed(judged, path, "admission_streamed").select("request_id", "status", "error")
+
+
+@query("SELECT event_id, '/events/' || event_type AS topic FROM events")
+def stream_retried(spark, sf):
+    """A stream whose second batch fails after it was stored, and that is started again."""
+    path, tries = _store(spark, "retried"), []
+    events = _events(spark, sf).select("event_id", "event_type", "ts")
+    _landed(events, f"{path}/landed", 3)
+    messages = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
+    routed = messages.select("event_id", F.concat(F.lit("/events/"), "event_type").alias("topic"))
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        write_batch(rows, f"{path}/table", batch)
+        tries.append(batch)
+        if len(tries) == 2:
+            raise OSError("the store went away")
+
+    name = f"stream_retried-{uuid.uuid4().hex}"
+    run_with_retries(lambda: run_stream(routed, sink, name, checkpoint=f"{path}/checkpoint"), backoff_seconds=0.01)
+    return spark.read.parquet(f"{path}/table").select("event_id", "topic")
+
+
+@query("SELECT 4::BIGINT AS batches, count(*)::BIGINT AS processed, (count(*) FILTER (WHERE event_id % 10 = 0))::BIGINT AS failed FROM events")
+def stream_counters(spark, sf):
+    """Counts of a stream that are stored by batch, with a batch that is run twice."""
+    path, tries = _store(spark, "counted"), []
+    events = _events(spark, sf).select("event_id", "ts")
+    _landed(events, f"{path}/landed")
+    landed = read_stream(spark, f"{path}/landed", events.schema, max_files=1)
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        write_batch(rows, f"{path}/table", batch)
+        tries.append(batch)
+        if len(tries) == 3:
+            raise OSError("the store went away")
+
+    name = f"stream_counters-{uuid.uuid4().hex}"
+    kept = counted(sink, f"{path}/counts", F.col("event_id") % 10 == 0)
+    run_with_retries(lambda: run_stream(landed, kept, name, checkpoint=f"{path}/checkpoint"), backoff_seconds=0.01)
+    return counter_totals(spark, f"{path}/counts")
+
+
+@query(
+    """SELECT i::BIGINT AS batch_id, least(n // 7, n - i * (n // 7))::BIGINT AS rows, n - i * (n // 7) >= n // 7 AS full
+    FROM (SELECT count(*) AS n FROM events), generate_series(0, 7) s(i) WHERE i * (n // 7) < n"""
+)
+def batches_by_rows(spark, sf):
+    """Events that landed in four files, taken in batches of a seventh of them; what is left leaves at the timeout."""
+    path = _store(spark, "batches")
+    events = _events(spark, sf).select("event_id", "ts")
+    _landed(events, f"{path}/landed")
+    landing = Landing(f"{path}/landed", events.schema, f"{path}/state", max(1, events.count() // 7), 3600)
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        write_batch(rows, f"{path}/table", batch)
+
+    run_batches(spark, landing, sink)
+    run_batches(spark, landing, sink, lambda: 4_000_000_000_000)  # long after the timeout
+    stored = spark.read.parquet(f"{path}/table").groupBy("batch_id").agg(F.count_distinct("event_id").alias("rows"))
+    return stored.join(batch_log(spark, landing).select("batch_id", "full"), "batch_id").select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), "rows", "full"
+    )
 
 
 # -- statistics ----------------------------------------------------------------
@@ -1233,6 +1474,21 @@ def batch_profile(spark, sf):
     return stats.batch_profile(_log(spark, sf)).withColumn("avg_rows", F.round("avg_rows", 6))
 
 
+@query(
+    f"""SELECT "to", count(*)::BIGINT AS n, count(DISTINCT batch_id)::BIGINT AS batch_id_distinct, sum(rows)::BIGINT AS rows_sum,
+    min(rows) AS rows_min, max(rows) AS rows_max, quantile_disc(rows, 0.5) AS rows_median, quantile_disc(rows, 0.95) AS rows_p95
+    FROM {_LOG} GROUP BY 1"""
+)
+def sketched_profile(spark, sf):
+    """The batch log in four parts, each read once: figures come from their merged sketches."""
+    path = _store(spark, "sketches")
+    log = _log(spark, sf)
+    for part in (0, 1, 2, 3, 3):
+        sketches.store_sketches(log.where(F.col("batch_id") % 4 == part), path, part, ["to"], ["batch_id"], ["rows"])
+    merged = sketches.read_sketches(spark, path, ["to"])
+    return sketches.figures_of(merged, ["to"], {"median": 0.5, "p95": 0.95})
+
+
 @query(
     """SELECT event_type, count(*)::BIGINT AS processed,
     count(*) FILTER (WHERE event_id % 10 = 0)::BIGINT AS failed FROM events GROUP BY 1"""
@@ -1346,6 +1602,21 @@ def knn_many_grid(spark, sf):
     return search.knn_many(_collection(spark, sf), _label_queries(spark, sf), 30, "cosine", block_bytes=2000)
 
 
+@query(
+    f"""SELECT query_id, rank, id, score FROM (
+    SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, id)::INTEGER AS rank
+    FROM (SELECT q.vec_id AS query_id, e.vec_id AS id, {_score_sql("euclid")[0]} AS score
+    FROM embeddings e, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0) q)) WHERE rank <= 10"""
+)
+def knn_indexed(spark, sf):
+    """The nearest points of every twentieth vector, over a collection stored by its distances to pivots."""
+    path = _store(spark, "pivots")
+    vectors = inputs.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    index = pivots.index_points(vectors, path, 64, pivots=16, slice_points=128)
+    asked = vectors.where(F.col("id") % 20 == 0).select(F.col("id").alias("query_id"), "vector")
+    return pivots.search_points(spark, index, asked, 10)
+
+
 @query(
     f"""SELECT row_number() OVER (ORDER BY s DESC, id)::INTEGER AS rank, round(s, 4) AS score, label,
     'set-1' AS "source.name", 'N/A' AS "text", 4::INTEGER AS metadata FROM (
@@ -1429,6 +1700,15 @@ def documents_to_table(spark, sf):
     return target.select("id", "event_id")
 
 
+@query(
+    """SELECT (column_index - 1)::INTEGER AS position, column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint'
+    WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type
+    FROM duckdb_columns() WHERE table_name = 'lineitem'"""
+)
+def table_columns(spark, sf):
+    return stats.table_columns(inputs.table(spark, sf, "lineitem"))
+
+
 @query("SELECT DISTINCT 'labels-' || label AS name FROM embeddings")
 def collection_names(spark, sf):
     labels = inputs.table(spark, sf, "embeddings").select(

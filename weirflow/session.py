@@ -16,6 +16,8 @@ _REQUIRED = {
     # A later key replaces an earlier one, in maps and in parsed JSON objects.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Keyed state of streams (transformWithState) needs this store.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 # Measured: generated methods above 8000 bytes of code are never compiled by the JVM.

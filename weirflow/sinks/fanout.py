@@ -15,6 +15,7 @@ from pyspark.util import inheritable_thread_target
 
 from weirflow.operators.routing import route_exact
 from weirflow.operators.stats import BATCH_LOG
+from weirflow.sinks.ledger import DEAD, STORED, Ledger, Retry, attempt, is_fatal
 from weirflow.sinks.tables import write_append, write_batch
 from weirflow.sources.envelope import union_envelopes
 from weirflow.specs import Route, SpecError, check_routes
@@ -43,22 +44,37 @@ def fan_out(
     parallel: int = 4,
     log_path: str | None = None,
     empty_targets: bool = True,
+    ledger: Ledger | None = None,
+    retry: Retry = Retry(attempts=1),
+    dead_letter: Callable[[DataFrame, int], None] | None = None,
 ) -> DataFrame:
     """Group a batch by topic, find each topic's route and write every target once.
 
     ``write(target, parts)`` stores what several topics bring to one table in one write;
-    make it idempotent per batch (see write_batch), because a failed batch is run again as
-    a whole. With ``empty_targets`` it is also called for targets without rows, so that a
+    make it idempotent per batch (see write_batch), because a failed batch is run again,
+    without a ``ledger`` as a whole. With ``empty_targets`` it is also called for targets without rows, so that a
     repeat that brings nothing replaces what the first attempt stored. The batch is held
     once (memory, then disk) and read per target. Unrouted messages stop the batch before
     anything is written ('fail'), are left out ('drop'), or are handed to ``quarantine``.
     Returns the batch log, one row per route that had rows; the routes of a target share
     its time and error.
+
+    A target is tried as ``retry`` says. With a ``ledger`` a batch that is run again leaves out
+    the targets that are entered there, so only those that failed are written. Rows that a target
+    refuses for good (bad data or settings) go to ``dead_letter(rows, batch_id)``, with the target
+    and the error as ``_target`` and ``_error``; the target then counts as done.
     """
     kept = check_routes(routes, duplicates)
     if on_unrouted not in ("fail", "drop", "quarantine"):
         raise SpecError(f"unknown on_unrouted {on_unrouted!r}")
     spark = df.sparkSession
+    finished = ledger.done(spark, batch_id) if ledger else set()
+    targets: dict[str, list[Route]] = {}
+    for route in kept:
+        if route.to not in finished:
+            targets.setdefault(route.to, []).append(route)
+    if finished and not targets:
+        return spark.createDataFrame([], BATCH_LOG)
     routed = route_exact(df, kept).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         label = F.when(F.col("to").isNotNull(), F.col("topic"))
@@ -69,22 +85,25 @@ def fan_out(
         }
         if counts.get(None) and on_unrouted == "fail":
             raise SpecError(f"No route for {counts[None]} messages of batch {batch_id}")
-        if counts.get(None) and on_unrouted == "quarantine":
+        if counts.get(None) and on_unrouted == "quarantine" and not finished:
             if quarantine is None:
                 raise SpecError("on_unrouted='quarantine' needs a quarantine writer")
             quarantine(routed.where(F.col("to").isNull()).drop("to"))
-        targets: dict[str, list[Route]] = {}
-        for route in kept:
-            targets.setdefault(route.to, []).append(route)
 
         def run(target: str) -> list[tuple]:
             started, clock = datetime.now(timezone.utc), time.monotonic()
-            error = None
             parts = [(r, routed.where(F.col("topic") == r.source).drop("to")) for r in targets[target]]
-            try:
-                write(target, parts)
-            except Exception as e:  # noqa: BLE001 - every target is tried, then all is raised
-                error = f"{type(e).__name__}: {e}"
+            # Every target is tried, then all errors are raised.
+            tries, failure = attempt(lambda: write(target, parts), retry)
+            error = failure and f"{type(failure).__name__}: {failure}"
+            state = STORED if failure is None else None
+            if failure is not None and dead_letter is not None and is_fatal(failure):
+                refused = union_envelopes(*[rows for _, rows in parts])
+                dead_letter(refused.withColumns({"_target": F.lit(target), "_error": F.lit(error)}), batch_id)
+                state = DEAD
+            if ledger and state:
+                ledger.enter(spark, batch_id, target, state, tries, error)
+            settled[target] = state
             took = int((time.monotonic() - clock) * 1000)
             return [
                 (batch_id, r.source, target, counts.get(r.source, 0), started, took, error)
@@ -92,6 +111,7 @@ def fan_out(
                 if counts.get(r.source) or error
             ]
 
+        settled: dict[str, str | None] = {}
         todo = [t for t, own in targets.items() if empty_targets or any(counts.get(r.source) for r in own)]
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
             rows = [x for found in pool.map(inheritable_thread_target(spark)(run), todo) for x in found]
@@ -100,7 +120,7 @@ def fan_out(
     log = spark.createDataFrame(rows, BATCH_LOG)
     if log_path:
         write_append(log, log_path)
-    failed = [r for r in rows if r[-1]]
+    failed = [r for r in rows if r[-1] and settled[r[2]] is None]
     if failed:
         raise FanOutError("; ".join(f"{r[2]}: {r[-1]}" for r in failed), log)
     return log

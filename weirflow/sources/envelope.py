@@ -95,13 +95,14 @@ def from_http_requests(
     spec: AdmissionSpec,
     request_id: str = "request_id",
     keep: Sequence[str] = (),
+    late: str | None = None,
 ) -> DataFrame:
-    """Landed requests -> messages of the requests that were admitted.
+    """Landed requests, a table or a stream -> messages of the requests that were admitted.
 
     Expects ``request_id, path, headers, body BINARY, received_at``. Rejected requests
     are what ``admit_requests`` gives with another status than 200.
     """
-    admitted = admit_requests(df, spec, request_id=request_id).where("status = 200")
+    admitted = admit_requests(df, spec, request_id=request_id, late=late).where("status = 200")
     return as_envelope(
         admitted,
         topic=F.col("to"),

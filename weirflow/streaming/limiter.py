@@ -1,16 +1,13 @@
-"""The token bucket over a stream, one number of state per key."""
+"""Rate limits over a stream."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame
 
-from weirflow.operators.limit import UNUSED, decide, period_nanos
+from weirflow.operators.keyed_limit import limit_stream, period_column
+from weirflow.operators.limit import NANOS, _at_least_one
 
 
 def rate_limit_stream(
@@ -18,52 +15,38 @@ def rate_limit_stream(
     key: Sequence[str],
     ts: str,
     id: str,
-    rate: int,
-    burst: int,
+    rate: int | Column,
+    burst: int | Column,
     per_seconds: int = 1,
     keep: Sequence[str] = (),
     ttl_seconds: int | None = None,
+    late: str | None = None,
 ) -> DataFrame:
     """Streaming form of rate_limit: rows ``id, *keep, allowed``.
 
-    Inside a micro-batch events are taken in (ts, id) order, so a task holds one key's
-    rows of one micro-batch: bound that with ``max_files``. An event older than what an
-    earlier micro-batch brought is judged against the state as it is. With
-    ``ttl_seconds`` the state of a key not seen for that long is dropped; by then the
-    bucket is full again if that is more than ``burst`` refill periods. Timers make
-    Spark run batches without data, so use a TTL with a processing interval only: a
-    query that should end when its input is read would never do so.
+    ``rate`` and ``burst`` may be columns; a key keeps those of its first event for as long as it
+    has state. Inside a micro-batch events are taken in (ts, id) order; bound a micro-batch by rows
+    (see :mod:`weirflow.streaming.batches`) to bound what a task holds of one key. An event older
+    than what an earlier micro-batch brought is judged against the state as it is. With
+    ``ttl_seconds`` the state of a key not seen for that long is dropped by Spark; by then the
+    bucket is full again if that is more than ``burst`` refill periods. With ``late`` it goes
+    when the watermark has passed the time at which the bucket is full, which changes no verdict.
     """
-    period = period_nanos(rate, per_seconds)
-    wanted = list(dict.fromkeys([id, *keep]))
-    out = T.StructType(
-        [*[df.schema[c] for c in wanted], T.StructField("allowed", T.BooleanType())]
+    return limit_stream(
+        df, key, ts, id, period_column(rate, per_seconds), _at_least_one(burst, "burst"), keep, "bucket", ttl_seconds, late
     )
 
-    def judge(
-        _: tuple, parts: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(parts)).sort_values(["_t", id])
-        tat = state.get[0] if state.exists else UNUSED
-        tat, allowed = decide(tat, rows["_t"].tolist(), period, burst)
-        state.update((tat,))
-        if ttl_seconds is not None:
-            state.setTimeoutDuration(ttl_seconds * 1000)
-        yield rows[wanted].assign(allowed=allowed)
 
-    narrow = df.select(
-        F.to_json(F.struct(*key)).alias("_key"),
-        (F.unix_micros(F.col(ts).cast("timestamp")) * 1000).alias("_t"),
-        *wanted,
-    )
-    timeout = (
-        GroupStateTimeout.NoTimeout
-        if ttl_seconds is None
-        else GroupStateTimeout.ProcessingTimeTimeout
-    )
-    return narrow.groupBy("_key").applyInPandasWithState(
-        judge, out, "tat bigint", "append", timeout
-    )
+def window_limit_stream(
+    df: DataFrame,
+    key: Sequence[str],
+    ts: str,
+    id: str,
+    rps: int | Column,
+    seconds: int = 1,
+    keep: Sequence[str] = (),
+    ttl_seconds: int | None = None,
+    late: str | None = None,
+) -> DataFrame:
+    """Streaming form of rate_limit_window: the first ``rps`` events of each key and window of ``seconds``."""
+    return limit_stream(df, key, ts, id, seconds * NANOS, _at_least_one(rps, "rate"), keep, "window", ttl_seconds, late)

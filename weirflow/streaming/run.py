@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from weirflow.session import checkpoint_root
+from weirflow.sinks.ledger import is_fatal
 
 
 def read_stream(
@@ -48,10 +49,20 @@ def run_stream(
     the cluster names unless given.
     """
     place = checkpoint or f"{checkpoint_root(df.sparkSession)}/{name}"
-    writer = df.writeStream.foreachBatch(sink).queryName(name).option("checkpointLocation", place)
-    if every:
-        return writer.trigger(processingTime=every).start()
-    return writer.trigger(availableNow=True).start()
+    errors: list[Exception] = []
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        try:
+            sink(rows, batch_id)
+        except Exception as error:
+            errors.append(error)
+            raise
+
+    writer = df.writeStream.foreachBatch(run).queryName(name).option("checkpointLocation", place)
+    query = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    # Spark passes on only the text of what a sink raised.
+    query.sink_errors = errors
+    return query
 
 
 def observed(df: DataFrame, name: str, bad: Column) -> DataFrame:
@@ -64,7 +75,10 @@ def observed(df: DataFrame, name: str, bad: Column) -> DataFrame:
 
 
 def counters(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Sums of what :func:`observed` counted in the micro-batches that the query still reports."""
+    """Sums of what :func:`observed` counted in the micro-batches that the query still reports.
+
+    For sums that last, see :mod:`weirflow.streaming.counters`.
+    """
     total = {"processed": 0, "failed": 0}
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(name)
@@ -73,14 +87,6 @@ def counters(query: StreamingQuery, name: str) -> dict[str, int]:
     return total
 
 
-# Error texts of a batch that would fail the same way again.
-_FATAL = ("USER_RAISED_EXCEPTION", "SpecError", "AnalysisException")
-
-
-def is_fatal(error: BaseException) -> bool:
-    return any(mark in str(error) for mark in _FATAL)
-
-
 def run_with_retries(
     start: Callable[[], StreamingQuery],
     max_retries: int = 3,
@@ -90,7 +96,7 @@ def run_with_retries(
     """Run a query to its end and start it again after an error that may pass.
 
     A restart goes on from the checkpoint with the failed batch. The wait doubles each
-    time up to a limit. Settings and data errors are raised at once.
+    time up to a limit. Settings and data errors, told by their conditions, are raised at once.
     """
     wait = backoff_seconds
     for attempt in range(max_retries + 1):
@@ -99,7 +105,8 @@ def run_with_retries(
             query.awaitTermination()
             return query
         except StreamingQueryException as error:
-            if is_fatal(error) or attempt == max_retries:
+            raised = getattr(query, "sink_errors", [])
+            if is_fatal(raised[-1] if raised else error) or attempt == max_retries:
                 raise
             time.sleep(wait)
             wait = min(wait * 2, max_backoff_seconds)
