@@ -44,7 +44,12 @@ OFTEN = 1 << 18
 _CELL = 512
 _SLICE = 65_536
 _MARKS = 1 << 22
-_SHORT_RUN = 16
+#: Shingles that more nodes have in their prefix are crowds, whose pairs are not made.
+LONG_RUN = 64
+#: How often a crowd is linked through leaders before what is left apart is compared.
+STARS = 2
+#: Nodes of a crowd that one task compares with as many others.
+CROWD_BLOCK = 4_096
 _NONE = np.zeros((0, 2), np.uint64)  # no links
 
 
@@ -464,18 +469,6 @@ def _frequent(texts: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.
     return tokens[order], top["n"].to_numpy(np.int64)[order]
 
 
-def _pairs_of_run(rows: np.ndarray, similarity: float) -> Iterator[np.ndarray]:
-    """Pairs of one token's rows (token, node, group, size, place), of different groups, that can be similar."""
-    ends = np.flatnonzero(np.diff(rows[:, 2])) + 1
-    start = 0
-    for end in ends.tolist():
-        for i in range(start, end):
-            for to in range(end, len(rows), _SLICE):
-                part = rows[to : to + _SLICE]
-                yield _possible(np.broadcast_to(rows[i], part.shape), part, similarity)
-        start = end
-
-
 def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
     """Pairs of nodes from rows of a shared token, where its places allow the similarity.
 
@@ -489,12 +482,8 @@ def _possible(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
     return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
-def prefix_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of different groups that share a prefix shingle and can be similar.
-
-    ``nodes``: node, group, _size and _prefix. Pairs within a group, as those of a crowd of
-    copies that is linked already, are neither made nor looked at.
-    """
+def _posts(nodes: DataFrame) -> DataFrame:
+    """(token, node, group, size, place): a row for each shingle of a node's prefix."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -509,59 +498,120 @@ def prefix_pairs(nodes: DataFrame, similarity: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "group", "size", "place"])
         release()
 
+    return nodes.select("node", "group", "_size", "_prefix").mapInArrow(
+        spread, "token bigint, node bigint, group bigint, size bigint, place bigint"
+    )
+
+
+def prefix_pairs(posts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different groups that share a token and can be similar.
+
+    For tokens of at most ``LONG_RUN`` posts: a post has a bounded number of partners. Pairs
+    within a group, as those of copies that are linked already, are neither made nor looked at.
+    """
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(rows: np.ndarray) -> Iterator[np.ndarray]:
-            """Pairs of whole runs of one token each; short runs all at once, by distance."""
-            starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
-            stops = np.append(starts[1:], len(rows))
-            mixed = (rows[starts, 2] != rows[stops - 1, 2])
-            long = mixed & (stops - starts > _SHORT_RUN)
-            short = rows[np.repeat(mixed & ~long, stops - starts)]
-            for d in range(1, _SHORT_RUN):
-                x, y = short[:-d], short[d:]
+            """Pairs of whole runs of one token each, all runs at once, by distance."""
+            for d in range(1, LONG_RUN):
+                x, y = rows[:-d], rows[d:]
                 same = x[:, 0] == y[:, 0]
                 if not same.any():
                     break
                 yield _possible(x[same], y[same], similarity)
-            for a, b in zip(starts[long].tolist(), stops[long].tolist(), strict=True):
-                yield from _pairs_of_run(rows[a:b], similarity)
-
-        def packed(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            held, n = [], 0
-            for pairs in found(rows):
-                if len(pairs):
-                    held.append(pairs)
-                    n += len(pairs)
-                if n > _SLICE:
-                    yield _edges([np.concatenate(held).view(np.uint64)])
-                    held, n = [], 0
-            if held:
-                yield _edges([np.concatenate(held).view(np.uint64)])
-
-        waiting: list[np.ndarray] = []
+
+        waiting = np.zeros((0, 5), np.int64)
         for batch in batches:
-            rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            if not len(rows):
-                continue
-            if waiting and waiting[0][0, 0] == rows[-1, 0]:
-                waiting.append(rows)  # one token still: it goes on
-                continue
-            last = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
-            whole = [*waiting, rows[:last]]
-            if sum(map(len, whole)):
-                yield from packed(np.concatenate(whole))
-            waiting = [rows[last:]]
-        if waiting:
-            yield from packed(np.concatenate(waiting))
+            rows = np.concatenate([waiting, np.stack([c.to_numpy() for c in batch.columns], axis=1)])
+            last = int(np.searchsorted(rows[:, 0], rows[-1, 0])) if len(rows) else 0
+            pairs = [p.view(np.uint64) for p in found(rows[:last]) if len(p)]
+            if pairs:
+                yield _edges(pairs)
+            waiting = rows[last:]
+        pairs = [p.view(np.uint64) for p in found(waiting) if len(p)]
+        if pairs:
+            yield _edges(pairs)
         release()
 
-    posts = nodes.select("node", "group", "_size", "_prefix").mapInArrow(
-        spread, "token bigint, node bigint, group bigint, size bigint, place bigint"
-    )
     ready = posts.repartition("token").sortWithinPartitions("token", "group", "node")
     return ready.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
+def _stars(crowd: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each post of a crowd with its token's leader, where their groups differ.
+
+    A leader is the node with the least hash, which is the same one for many of its tokens;
+    leaders change with each ``turn``. A node gets at most one partner for each of its tokens.
+    """
+    lot = F.xxhash64("node", F.lit(turn))
+    leaders = crowd.groupBy("token").agg(F.min_by(F.struct("node", "group"), F.struct(lot, "node")).alias("lead"))
+    met = crowd.join(leaders, "token").where("group != lead.group")
+    return met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+
+
+def _folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Parities of half the width tell the same of two parts together."""
+    while rows.shape[1] > width:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def crowd_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different groups of a crowd that their places and parities allow.
+
+    ``crowd``: posts with ``odd``. Once a crowd is linked through leaders nearly all of it is
+    one group. Only nodes outside their token's largest group ask, and they ask all of its
+    posts; both are dealt in blocks, so a task compares a bounded number of them, and no pair
+    that the parities rule out becomes a row.
+    """
+    of_group = crowd.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n"))
+    runs = of_group.groupBy("token").agg(
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("main")
+    )
+    blocks = runs.where("n > most").select(
+        "token", "main", F.ceil(F.col("n") / CROWD_BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("most")) / CROWD_BLOCK).cast("int").alias("sides"),
+    )
+    open_ = crowd.join(blocks, "token")
+    lot = F.xxhash64("node")
+    columns = ["token", "node", "group", "size", "place", "odd"]
+    every = open_.select(
+        *columns, F.pmod(lot, F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("side")
+    )
+    asking = open_.where("group != main").select(
+        *columns, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(lot, F.col("sides")).cast("int").alias("side")
+    )
+    asking = asking.select(*[F.col(c).alias(c) for c in asking.columns])
+
+    def rows_of(table: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+        return np.stack([table[c].to_numpy() for c in columns[:5]], axis=1), table["odd"].to_pylist()
+
+    def compare(_: tuple, mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        found = [np.zeros((0, 2), np.int64)]
+        if len(mine) and len(theirs):
+            (x, odd_x), (y, odd_y) = rows_of(mine), rows_of(theirs)
+            widths = np.fromiter(map(len, odd_y), np.int64, len(odd_y))
+            classes = {}
+            for width in np.unique(widths):
+                at = np.flatnonzero(widths == width)
+                classes[int(width)] = at, np.frombuffer(b"".join(odd_y[i] for i in at), np.uint64).reshape(len(at), -1)
+            for i, raw in enumerate(odd_x):
+                one = np.frombuffer(raw, np.uint64)[None, :]
+                for at, parity in classes.values():
+                    width = min(one.shape[1], parity.shape[1])
+                    apart = np.bitwise_count(_folded(parity, width) ^ _folded(one, width)).sum(axis=1, dtype=np.int64)
+                    near = apart <= (y[at, 3] + x[i, 3]) * ((1 - similarity) / (1 + similarity)) + 1e-6
+                    if near.any():
+                        some = y[at[near]]
+                        found.append(_possible(np.broadcast_to(x[i], some.shape), some, similarity))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    keys = ["token", "block", "side"]
+    return asking.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def similar_pairs(
     texts: DataFrame, nodes: DataFrame, pairs: DataFrame, words_per_shingle: int, similarity: float
 ) -> DataFrame:
@@ -636,7 +686,9 @@ def near_copies(
 
     A prefix filter finds all the others: of two sets as similar, the first fifth (at 0.8) in
     a common order share a shingle. The order has rare shingles first, by a sample. Pairs
-    inside a group of the first step are left out, as they change nothing.
+    inside a group of the first step are left out, as they change nothing. A shingle that many
+    have in their prefix makes a crowd: its nodes are linked through a leader, in turns, and
+    only those that are in none of the crowd's largest group then are compared with the others.
 
     Rows without an id all stay. Of repeated rows one stays. An id joins nothing: different
     texts that share one are different rows, and of a group's rows with the least id the
@@ -690,9 +742,29 @@ def near_copies(
     def grouped(labels: DataFrame) -> DataFrame:
         return nodes.join(labels, "node", "left").withColumn("group", F.coalesce("component", "node"))
 
-    more = stored(prefix_pairs(grouped(components(first)), similarity), "prefix-pairs")
-    second = similar_pairs(light, nodes, more, words_per_shingle, similarity)
-    of_set = grouped(components(first.unionByName(second))).select("_set0", "_set1", "group")
+    posts = _posts(grouped(components(first)))
+    long = stored(posts.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_RUN).select("token"), "long-runs")
+    crowd = stored(posts.join(long, "token", "left_semi"), "crowds")
+    more = prefix_pairs(posts.join(long, "token", "left_anti"), similarity)
+    links = first
+    if crowd.isEmpty():
+        links = links.unionByName(similar_pairs(light, nodes, stored(more, "prefix-pairs"), words_per_shingle, similarity))
+    else:
+
+        def regrouped() -> DataFrame:
+            groups = grouped(components(links)).select("node", "group")
+            return crowd.drop("group").join(groups, "node").select(*crowd.columns)
+
+        now = crowd
+        for turn in range(STARS):
+            stars = _stars(now, turn)
+            pairs = stars if turn else stars.unionByName(more).distinct()
+            links = links.unionByName(similar_pairs(light, nodes, stored(pairs, f"stars-{turn}"), words_per_shingle, similarity))
+            now = stored(regrouped(), f"crowds-{turn}")
+        odd = nodes.select("node", F.col("_odd").alias("odd"))
+        rest = crowd_pairs(now.join(odd, "node"), similarity)
+        links = links.unionByName(similar_pairs(light, nodes, stored(rest, "crowd-pairs"), words_per_shingle, similarity))
+    of_set = grouped(components(links)).select("_set0", "_set1", "group")
     of_row = named.select("_id", "_row", "_set0", "_set1").join(of_set, ["_set0", "_set1"])
     least = of_row.groupBy("group").agg(F.min(F.struct("_id", "_row")).alias("row")).select("row._row")
     kept = least.unionByName(prints.where("_id IS NULL").select("_row"))
