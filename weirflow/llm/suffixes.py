@@ -55,13 +55,25 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     word = data.astype(np.uint64)
     for width in (1, 2, 4):
         word = word[: len(word) - width] | (word[width:] << np.uint64(8 * width))
-    return _mix(_mix(word[:n] ^ np.uint64(0x8EBC6AF09C88C6E3), word[8 : 8 + n]), word[16 : 16 + n])
+    return _of_words(word[:n], word[8 : 8 + n], word[16 : 16 + n])
+
+
+def _of_words(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return _mix(_mix(first ^ np.uint64(0x8EBC6AF09C88C6E3), second), third)
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """Anchors have the least hashes of their windows, which crowd; mixed again they fill all ranges alike."""
+    return _mix(hashes, np.uint64(0xD6E8FEB86659FD93))
 
 
 class Anchors:
-    """The texts of a block as one byte array, and the anchors of its windows."""
+    """The texts of a block as one byte array, and the anchors of its windows.
+
+    ``at`` are the anchors' places where they are known already.
+    """
 
-    def __init__(self, texts: pa.ChunkedArray, size: int) -> None:
+    def __init__(self, texts: pa.ChunkedArray, size: int, at: np.ndarray | None = None) -> None:
         raw = [b"" if t is None else t.encode() for t in texts.to_pylist()]
         self.lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         self.ends = np.cumsum(self.lengths)
@@ -69,12 +81,14 @@ class Anchors:
         self.data = np.frombuffer(self.raw, np.uint8)
         n_windows = np.maximum(self.lengths - size + 1, 0)
         begin = self.ends - self.lengths
-        self.at = np.zeros(0, np.int64)
-        self.hash = np.zeros(0, np.uint64)
-        if n_windows.sum():
+        if at is None:
             hashes = gram_hashes(self.data)
-            self.at = self._least(hashes, size - GRAM + 1, begin, n_windows)
-            self.hash = hashes[self.at]
+            at = self._least(hashes, size - GRAM + 1, begin, n_windows) if n_windows.sum() else np.zeros(0, np.int64)
+            self.hash = _spread(hashes[at])
+        else:
+            words = _rows_at(self.data, at, GRAM).view("<u8")
+            self.hash = _spread(_of_words(words[:, 0], words[:, 1], words[:, 2]))
+        self.at = at
         self.doc = np.searchsorted(self.ends, self.at, "right")
         self.left = np.minimum(self.at - begin[self.doc], size - GRAM)
         self.right = np.minimum(self.ends[self.doc] - self.at, size)
@@ -95,7 +109,7 @@ class Anchors:
         some = n_windows > 0
         starts[begin[some]] += 1
         stop = (begin + n_windows)[some]
-        np.subtract.at(starts, stop, 1)
+        starts -= np.bincount(stop, minlength=len(starts)).astype(np.int32)
         inside = np.cumsum(starts[:-1]) > 0
         found = np.zeros(len(hashes), bool)
         found[place[inside]] = True
@@ -105,7 +119,7 @@ class Anchors:
 def _rows_at(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """``width`` bytes from each place; zero beyond the array."""
     padded = np.concatenate([data, np.zeros(width, np.uint8)])
-    return np.lib.stride_tricks.sliding_window_view(padded, width)[at]
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, width)[at])
 
 
 class Suffixes:
@@ -211,6 +225,8 @@ def merge_runs(runs: list[Run]) -> tuple[list[int], list[int]]:
     was put out before it. The longer it is, the smaller the head; only equal ones are
     compared, from that length on.
     """
+    if len(runs) == 1:
+        return [0] * len(runs[0].strings), runs[0].lcp
     k = 1 << (max(1, len(runs)) - 1).bit_length()
     heads: list[bytes | None] = [r.strings[0] if r.strings else None for r in runs] + [None] * (k - len(runs))
     known = [0 if h is not None else -1 for h in heads]
@@ -322,7 +338,9 @@ def dedup_bytes(
 
     def anchored(row: dict) -> tuple[pa.Table, Anchors]:
         table = B.unpack_rows(row["rows"])
-        return table, Anchors(table.column(text_col), size)
+        known = row.get("marks")
+        at = None if known is None else np.cumsum(B.unpack(known[0]["answer"], "<u4"), dtype=np.int64)
+        return table, Anchors(table.column(text_col), size, at)
 
     def grams(a: Anchors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct grams, in how many documents (up to 2), and which is each anchor's."""
@@ -331,23 +349,29 @@ def dedup_bytes(
         several[where[a.doc != a.doc[first][where]]] = True
         return keys, 1 + several.astype("u1"), where
 
+    # Each pass over the blocks is stored with what the next ones need of it: the places of the
+    # anchors, then which suffix each is. Neither is found twice.
     def ask_grams(row: dict) -> Iterator[pa.RecordBatch]:
-        keys, counts, _ = grams(anchored(row)[1])
-        yield B.sent_batch(row["block"], keys, counts, parts)
+        a = anchored(row)[1]
+        keys, counts, _ = grams(a)
+        rows = [(row["block"], p, B.pack_sorted(keys[x:y]), B.pack(counts[x:y]), None) for p, x, y in B.split_keys(keys, parts)]
+        rows.append((row["block"], 0, None, None, B.pack(np.diff(a.at, prepend=0).astype("<u4"))))
+        yield B.record_batch(rows, f"{B.SENT}, answer binary")
 
-    shared = stored(B.answered(B.each_block(held, ask_grams, B.SENT), parts, _in_two), "grams")
+    asked = stored(B.each_block(held, ask_grams, f"{B.SENT}, answer binary"), "asked")
+    marks = asked.where("answer IS NOT NULL").select("block", "part", "answer")
+    shared = stored(B.answered(asked.where("answer IS NULL").drop("answer"), parts, _in_two), "grams")
 
-    def suffixes(row: dict) -> tuple[pa.Table, Anchors, Suffixes]:
+    def send_runs(row: dict) -> Iterator[pa.RecordBatch]:
         table, a = anchored(row)
         _, _, where = grams(a)
         use = np.flatnonzero(B.joined(row["grams"], "u1").astype(bool)[where])
-        return table, a, Suffixes(a, use, B.ids_of(table, id_col), size, parts)
-
-    def send_runs(row: dict) -> Iterator[pa.RecordBatch]:
-        _, _, s = suffixes(row)
+        s = Suffixes(a, use, B.ids_of(table, id_col), size, parts)
         cuts = np.searchsorted(s.part, np.arange(parts + 1))
-        rows = [(row["block"], p, front_coded(s, a, b)) for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
-        yield B.record_batch(rows, RUN)
+        rows = [(row["block"], p, front_coded(s, x, y), None) for p, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if x < y]
+        found = [B.pack(np.diff(use, prepend=0).astype("<u4")), B.pack(s.where.astype("<u4")), B.pack(s.first_doc.astype("<u4"))]
+        rows.append((row["block"], 0, None, B.pack_rows(pa.table({"blob": found}))))
+        yield B.record_batch(rows, f"{RUN}, answer binary")
 
     def merged(rows: list[tuple]) -> list[tuple[bytes, int]]:
         runs = [Run(blob, size) for _, blob in rows]
@@ -360,26 +384,30 @@ def dedup_bytes(
         cuts = np.cumsum([len(r.lcp) for r in runs])[:-1]
         return [(B.pack(x), 0) for x in np.split(bits[order], cuts)]
 
-    sent = B.each_block(B.with_answers(held, grams=shared), send_runs, RUN)
-    bits = stored(B.answered(sent, parts, merged), "suffixes")
+    runs = stored(B.each_block(B.with_answers(held, grams=shared, marks=marks), send_runs, f"{RUN}, answer binary"), "runs")
+    places = runs.where("answer IS NOT NULL").select("block", "part", "answer")
+    bits = stored(B.answered(runs.where("answer IS NULL").drop("answer"), parts, merged), "suffixes")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     schema += ", n_bytes bigint, n_removed bigint, n_spans bigint, spans array<string>, kept_sha256 string"
 
     def cut(row: dict) -> Iterator[pa.RecordBatch]:
-        table, a, s = suffixes(row)
-        answer = B.joined(row["bits"], "<u8")
-        anchor_bits = answer[s.where]
+        table, a = anchored(row)
+        gaps, where, first_doc = B.unpack_rows(row["places"][0]["answer"]).column("blob").to_pylist()
+        use, where = np.cumsum(B.unpack(gaps, "<u4"), dtype=np.int64), B.unpack(where, "<u4").astype(np.int64)
+        anchor_bits = B.joined(row["bits"], "<u8")[where]
         # A copy of a suffix of an earlier document in this block: each of its windows is repeated.
         ids = B.ids_of(table, id_col)
-        use = s.use
-        later = ids[a.doc[use]] > s.ids[s.where]
-        change = np.zeros(len(a.data) + 1, np.int32)
+        later = ids[a.doc[use]] > ids[B.unpack(first_doc, "<u4").astype(np.int64)][where]
+        at, left, right = a.at[use], a.left[use], a.right[use]
+        change = np.zeros(len(a.data) + 1, np.int64)
+        some = np.flatnonzero(later | (anchor_bits != 0))
         for o in range(size - GRAM + 1):
-            gone = (anchor_bits & np.uint64(1 << o)) != 0
-            gone |= later & (a.left[use] >= o) & (a.right[use] >= size - o)
-            start = a.at[use][gone] - o
-            np.add.at(change, start, 1)
-            np.add.at(change, start + size, -1)
+            gone = (anchor_bits[some] & np.uint64(1 << o)) != 0
+            gone |= later[some] & (left[some] >= o) & (right[some] >= size - o)
+            start = at[some[gone]] - o
+            # Places of a block's anchors differ, so each place is met once.
+            change[start] += 1
+            change[start + size] -= 1
         removed = np.cumsum(change[:-1]) > 0
         total = np.concatenate([[0], np.cumsum(removed)])
         begins = a.ends - a.lengths
@@ -401,4 +429,4 @@ def dedup_bytes(
             table = table.append_column(name, column)
         yield from table.combine_chunks().to_batches()
 
-    return B.each_block(B.with_answers(held, grams=shared, bits=bits), cut, schema)
+    return B.each_block(B.with_answers(held, marks=marks, places=places, bits=bits), cut, schema)
