@@ -48,7 +48,33 @@ def op1_sharding(spark, sf):
     )
 
 
-@query()
+def _rule_sql(r: quality.Rule) -> str:
+    scale = f"{r.bottom}::DOUBLE" if r.bottom else "1::DOUBLE"
+    bounds = [f"{r.top} {sign} {limit}::DOUBLE * {scale}" for sign, limit in (("<", r.low), (">", r.high)) if limit is not None]
+    return f"(n_words >= {r.min_words} AND ({' OR '.join(bounds)}))"
+
+
+_STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+_BASE = " OR ".join(map(_rule_sql, quality.BASE_RULES))
+_BROKEN = " OR ".join(map(_rule_sql, quality.RULES))
+
+
+@query(
+    f"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[ \\t-\\r]+'), x -> x <> '') AS words,
+        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ \\t-\\r]')) AS lines FROM t),
+    places AS (SELECT r, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w),
+    windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i:i+4]) AS n FROM places),
+    again AS (SELECT r, count(DISTINCT j)::BIGINT AS n_repeat_words
+        FROM (SELECT r, unnest(generate_series(i, i + 4)) AS j FROM windows WHERE n > 1) GROUP BY r),
+    m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '!'))::BIGINT AS n_exclaims,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+        len(list_filter(words, x -> x IN ({_STOPS})))::BIGINT AS n_stop_words, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        FROM w LEFT JOIN again USING (r))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_BASE} AS base_failed,
+        NOT ({_BASE} OR {_BROKEN}) AS kept FROM m"""
+)
 def op10_quality(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text")
     return quality.quality_rules(docs).select(
@@ -71,7 +97,14 @@ def op7_bpe(spark, sf):
     return bpe.bpe_round_trip(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@query()
+@query(
+    """WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS w FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)
+    SELECT query_id, rank, vec_id, score FROM (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score,
+            row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.w, c.w) DESC, c.vec_id)::INTEGER AS rank
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.w) = len(c.w) WHERE q.vec_id % 20 = 0) WHERE rank <= 20"""
+)
 def op8_top_k(spark, sf):
     return topk.top_k(_table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 

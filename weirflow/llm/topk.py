@@ -4,8 +4,14 @@ A vector is cut into segments; with a segment's mean m and deviation s over its
 the inner product over the segment is at most w * (m m' + s s') (Cauchy-Schwarz), which is
 the lower bound on the distance in other words. Each task keeps the k best per query; a
 candidate whose coarse bound is below the query's k-th score is dropped, then the same
-with finer segments, and exact scores are computed for survivors. Scores are integers and
-exact: floats are used only where every sum is below 2**53, else Python integers.
+with finer segments, query by query, and exact scores are computed for survivors. A block of
+queries first meets a bounded sample of the candidates, so that no task starts without a k-th
+score. Scores are integers and exact: floats are used only where every sum is below 2**53,
+else Python integers.
+
+How much is pruned lies in the data: among clusters most pairs are, among independent random
+directions (as in the test tables) hardly any can be by such bounds, and the exact products
+of whole blocks, which then are computed at once, are what the time goes into.
 
 The candidates stay where they are: queries come in blocks of bounded bytes, each block
 broadcast to one scan of the table. Each task returns k rows for each query.
@@ -34,11 +40,24 @@ SCALE = 64
 _LEVELS = (4, 16)
 _STEP = 2048
 _EXACT = 2.0**53
+#: Components beyond this are compared as Python integers and not by bounds.
+_WILD = 1e150
+#: Candidates that a block of queries meets first, at most.
+SAMPLE = 4_096
+#: Where fewer pairs than this part are left, they are looked at query by query.
+_SPARSE = 0.25
 
 
 def _whole(values: np.ndarray) -> np.ndarray:
-    """floor(SCALE * x), as floats: exact, as scaling by 64 only shifts the exponent."""
-    return np.floor(SCALE * values)
+    """floor(SCALE * x), as floats: exact, as scaling by 64 only shifts the exponent. Too large ones become infinite."""
+    with np.errstate(over="ignore"):
+        return np.floor(SCALE * values)
+
+
+def _integers(values: np.ndarray) -> np.ndarray:
+    """floor(SCALE * x) as Python integers, for any finite x."""
+    one = lambda v: int(np.floor(SCALE * v)) if abs(v) < _EXACT else int(v) * SCALE
+    return np.array([[one(v) for v in row] for row in values.tolist()], object).reshape(values.shape)
 
 
 def _features(x: np.ndarray, segments: int) -> np.ndarray:
@@ -52,40 +71,79 @@ def _features(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(parts, axis=1)
 
 
+class _Vectors:
+    """Vectors of one length: as given, scaled, and their features."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x, self.w = x, _whole(x)
+        self.wild = ~(np.abs(self.w) <= _WILD).all(axis=1)
+        tame = np.where(self.wild[:, None], 0.0, self.w)
+        self.features = [_features(tame, n) for n in _LEVELS]
+        self.norm = np.linalg.norm(tame, axis=1)
+
+    def largest(self, rows: np.ndarray) -> float:
+        return np.abs(self.w[rows]).max(initial=0)
+
+
 class _Block:
     """Queries of one length with their best candidates so far."""
 
     def __init__(self, numbers: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> None:
-        self.numbers, self.ids, self.x, self.k = numbers, ids, x, k
-        self.features = [_features(x, n) for n in _LEVELS]
-        self.norm = np.linalg.norm(x, axis=1)
-        self.least = np.full(len(ids), -np.inf)
+        self.numbers, self.ids, self.k = numbers, ids, k
+        self.queries = _Vectors(x)
+        #: Scores below these cannot enter: rounded down, and as they are.
+        self.floor = np.full(len(ids), -np.inf)
+        self.least = np.full(len(ids), None, object)
         self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object))
+        self.computed = 0  # pairs whose exact score was computed
 
-    def _exact(self, q: np.ndarray, c: np.ndarray) -> np.ndarray:
-        bound = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * max(1, q.shape[1])
-        if bound < _EXACT:
-            return q @ c.T
-        whole = lambda a: np.array([[int(v) for v in row] for row in a], object).reshape(a.shape)
+    def _exact(self, rows: np.ndarray, c: _Vectors, cols: np.ndarray) -> np.ndarray:
+        self.computed += len(rows) * len(cols)
+        q = self.queries
+        if q.largest(rows) * c.largest(cols) * max(1, q.w.shape[1]) < _EXACT:
+            return q.w[rows] @ c.w[cols].T
         limit = (1 << 63) - 1
-        return np.clip(whole(q) @ whole(c).T, -limit - 1, limit)
+        return np.clip(_integers(q.x[rows]) @ _integers(c.x[cols]).T, -limit - 1, limit)
+
+    def _bounded(self, alive: np.ndarray, c: _Vectors) -> None:
+        """Drop pairs whose bound is below the query's k-th score, level by level."""
+        q = self.queries
+        wild = q.wild[:, None] | c.wild[None, :]
+        slack = 1e-9 * q.norm[:, None] * c.norm[None, :]
+        for mine, theirs in zip(q.features, c.features, strict=True):
+            if alive.mean() > _SPARSE:
+                alive &= (mine @ theirs.T + slack >= self.floor[:, None]) | wild
+                continue
+            for i in np.flatnonzero(alive.any(axis=1)):
+                at = np.flatnonzero(alive[i])
+                alive[i, at] = (theirs[at] @ mine[i] + slack[i, at] >= self.floor[i]) | wild[i, at]
 
     def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
         """Take one step of candidates."""
-        slack = 1e-9 * self.norm[:, None] * np.linalg.norm(x, axis=1)[None, :]
+        c = _Vectors(x)
         alive = self.ids[:, None] != ids[None, :]
-        for level, segments in zip(self.features, _LEVELS, strict=True):
-            rows, cols = alive.any(axis=1), alive.any(axis=0)
-            if not rows.any():
-                return
-            bound = level[rows] @ _features(x[cols], segments).T + slack[np.ix_(rows, cols)]
-            alive[np.ix_(rows, cols)] &= bound >= self.least[rows][:, None]
-        rows, cols = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
-        if not len(rows):
+        if np.isfinite(self.floor).any():
+            self._bounded(alive, c)
+        if not alive.any():
             return
-        scores = self._exact(self.x[rows], x[cols])
-        q, c = np.nonzero(alive[np.ix_(rows, cols)] & (scores >= self.least[rows][:, None]))
-        self._keep(rows[q], ids[cols[c]], scores[q, c])
+        if alive.mean() > _SPARSE:
+            rows, cols = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+            parts = [(rows, cols, alive[np.ix_(rows, cols)])]
+        else:
+            rows = np.flatnonzero(alive.any(axis=1))
+            parts = [(np.array([i]), at, np.ones((1, len(at)), bool)) for i in rows for at in [np.flatnonzero(alive[i])]]
+        found = [], [], []
+        for rows, cols, wanted in parts:
+            scores = self._exact(rows, c, cols)
+            if scores.dtype == object:
+                least = np.array([-(1 << 64) if v is None else v for v in self.least[rows]], object)
+                enough = (scores >= least[:, None]).astype(bool)
+            else:
+                enough = scores >= self.floor[rows][:, None]
+            i, j = np.nonzero(wanted & enough)
+            for held, more in zip(found, (rows[i], ids[cols[j]], scores[i, j].astype(object)), strict=True):
+                held.append(more)
+        self._keep(*map(np.concatenate, found))
 
     def _keep(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         q = np.concatenate([self.best[0], q])
@@ -104,7 +162,10 @@ class _Block:
         count = np.bincount(q, minlength=len(self.ids))
         last = np.cumsum(count) - 1
         full = np.flatnonzero(count == self.k)
-        self.least[full] = scores[last[full]].astype(float)
+        for i in full:
+            self.least[i] = int(scores[last[i]])
+            near = float(self.least[i])
+            self.floor[i] = near if near <= self.least[i] else np.nextafter(near, -np.inf)
 
 
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -144,6 +205,11 @@ def top_k(
     path = scratch(spark, "top-k")
     schema = "number bigint, query_id bigint, vec_id bigint, score bigint"
     spark.createDataFrame([], schema).write.parquet(path)
+    drawn = usable.limit(SAMPLE).toArrow().combine_chunks()
+    sample = {}
+    if len(drawn):
+        at_hand = drawn.column("vec_id").to_numpy()
+        sample = {n: (at_hand[at], x) for n, (at, x) in _by_length(drawn.column("x").combine_chunks()).items()}
 
     def scan(block: list[tuple[int, int, list[float]]]) -> None:
         of_length = defaultdict(list)
@@ -152,16 +218,23 @@ def top_k(
         matrices = {}
         for n, rows in of_length.items():
             numbers, ids, xs = zip(*rows, strict=True)
-            matrices[n] = np.array(numbers), np.array(ids), _whole(np.array(xs, float).reshape(len(xs), n))
+            matrices[n] = np.array(numbers), np.array(ids), np.array(xs, float).reshape(len(xs), n)
+            if n in sample:
+                # What a sample already has gives each query a k-th score, which no task then starts without.
+                first = _Block(*matrices[n], k)
+                first.offer(*sample[n])
+                matrices[n] += (first.floor, first.least)
         shared = spark.sparkContext.broadcast(matrices)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            blocks = {n: _Block(*m, k) for n, m in shared.value.items()}
+            blocks = {n: _Block(*m[:3], k) for n, m in shared.value.items()}
+            for n, m in shared.value.items():
+                if len(m) > 3:
+                    blocks[n].floor, blocks[n].least = m[3].copy(), m[4].copy()
             for batch in batches:
                 ids = batch.column("vec_id").to_numpy()
                 for n, (at, x) in _by_length(batch.column("x")).items():
                     if n in blocks:
-                        x = _whole(x)
                         for i in range(0, len(at), _STEP):
                             blocks[n].offer(ids[at[i : i + _STEP]], x[i : i + _STEP])
             for b in blocks.values():
