@@ -61,8 +61,8 @@ _BROKEN = " OR ".join(map(_rule_sql, quality.RULES))
 
 @query(
     f"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-    w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[ \\t-\\r]+'), x -> x <> '') AS words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ \\t-\\r]')) AS lines FROM t),
+    w AS (SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[ \\t-\\r]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS lines FROM t),
     places AS (SELECT r, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w),
     windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i:i+4]) AS n FROM places),
     again AS (SELECT r, count(DISTINCT j)::BIGINT AS n_repeat_words
@@ -70,7 +70,7 @@ _BROKEN = " OR ".join(map(_rule_sql, quality.RULES))
     m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(regexp_extract_all(text, '!'))::BIGINT AS n_exclaims,
         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
-        len(list_filter(words, x -> x IN ({_STOPS})))::BIGINT AS n_stop_words, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        len(list_filter(words, lambda x: x IN ({_STOPS})))::BIGINT AS n_stop_words, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
         FROM w LEFT JOIN again USING (r))
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_BASE} AS base_failed,
         NOT ({_BASE} OR {_BROKEN}) AS kept FROM m"""
@@ -98,8 +98,8 @@ def op7_bpe(spark, sf):
 
 
 @query(
-    """WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS w FROM embeddings
-        WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS w FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
     SELECT query_id, rank, vec_id, score FROM (
         SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score,
             row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.w, c.w) DESC, c.vec_id)::INTEGER AS rank
