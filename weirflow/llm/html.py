@@ -2,8 +2,8 @@
 
 The page becomes a tree. Every paragraph gives points for its length and its commas to its
 ancestors, less with each level up; a container's points are discounted by the share of
-its text that is in links. The best container and those siblings that score well, or are
-prose themselves, are kept. Parts that are never article text (scripts, forms, menus, and
+its text that is in links. The best container and its siblings are kept, but for those that
+are mostly links. Parts that are never article text (scripts, forms, menus, and
 containers whose class, id or role says advert, sidebar, comments and so on) are left out
 before scoring, and lists of links after it.
 
@@ -12,14 +12,16 @@ shuffle. Nothing is cut: the work is linear in the page.
 
 Defined results: a null or empty page gives an empty text; broken markup is read the way
 browsers read it (an open paragraph ends at the next block, stray end tags are skipped);
-repeated rows are read alike; an empty table gives no rows; other columns are left out.
+a tag that is cut off at the end of the page is no text; a page without an id keeps its null
+id; repeated rows are read alike; an empty table gives no rows; other columns are left out.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -81,7 +83,9 @@ _NO_SHOW = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "words", "unlikely", "likely", "hidden", "points", "chars", "link_chars")
+    __slots__ = (
+        "tag", "parent", "children", "words", "unlikely", "likely", "hidden", "points", "chars", "link_chars", "commas", "links", "cited"
+    )
 
     def __init__(self, tag: str, parent: Node | None, attrs: str = "") -> None:
         self.tag, self.parent = tag, parent
@@ -91,7 +95,8 @@ class Node:
         self.likely = tag in ("article", "main", "html", "body")
         self.hidden = False
         self.points = 0.0
-        self.chars = self.link_chars = 0
+        self.chars = self.link_chars = self.commas = self.links = 0
+        self.cited = False
         if attrs.strip(" /"):
             words = set()
             for name, value in _ATTR.findall(attrs):
@@ -114,75 +119,93 @@ class Node:
         return by_name and self.unlikely and not self.likely
 
 
+class _Open:
+    """The elements that are open, outermost first, and where those of each name are."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {root.tag: [0]}
+        self.blocks: list[int] = []  # places of blocks other than p
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in _BLOCK and node.tag != "p":
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close everything from a place on; the root stays."""
+        while len(self.nodes) > max(1, place):
+            self.places[self.nodes.pop().tag].pop()
+        while self.blocks and self.blocks[-1] >= len(self.nodes):
+            self.blocks.pop()
+
+    def last(self, tags: Iterable[str]) -> int:
+        """The innermost place of one of the names, or -1."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=-1)
+
+    def block(self) -> int:
+        return self.blocks[-1] if self.blocks else -1
+
+    def closed(self, tag: str) -> None:
+        """An end tag; one that nothing opened, or that would end a block around it, is skipped."""
+        place = self.last((tag,))
+        if place >= 0 and (tag in _BLOCK or self.block() < place):
+            self.cut(place)
+
+    def opened(self, tag: str) -> None:
+        """Close what a new element ends."""
+        if tag in _BLOCK:
+            p = self.last(("p",))
+            if p > max(self.block(), self.last(_P_STOPS)):
+                self.cut(p)
+        ends, stops = _ENDS.get(tag, ((), ()))
+        stop = self.last(stops)
+        outer = [at[i] for t in ends if (at := self.places.get(t)) and (i := bisect_right(at, stop)) < len(at)]
+        if outer:
+            self.cut(min(outer))
+        top = self.nodes[-1].tag
+        if tag[0] == "h" and tag[1:].isdigit() and top[0] == "h" and top[1:].isdigit():
+            self.cut(len(self.nodes) - 1)
+
+
 def parse(page: str) -> Node:
     """The page's tree; raw elements (scripts and the like) are not in it."""
     root = Node("html", None)
-    at = root
-    pos, end = 0, len(page)
+    now = _Open(root)
+    pos, end, last = 0, len(page), page.rfind(">")
     while pos < end:
+        if pos > last and page[pos] == "<" and page[pos + 1 : pos + 2].isalpha():
+            break  # a tag that never closes: the rest is no text
         m = _TOKEN.match(page, pos)
-        if m is None:  # a tag that never closes: the rest is no text
-            break
         pos = m.end()
         if m["text"] is not None:
-            at.children.append(m["text"])
+            # References are read text by text: parts of one may not come from two.
+            now.nodes[-1].children.append(html.unescape(m["text"]))
             continue
         if m["tag"] is None:
             continue
         tag = m["tag"].lower()
         if tag in ("html", "body"):
             if tag == "body" and not m["end"]:
-                while at.tag == "head" or at.parent is not None and at.tag != "body":
-                    at = at.parent or at
+                now.cut(1)
             continue
         if m["end"]:
-            at = _closed(at, tag)
+            now.closed(tag)
             continue
         if tag in _RAW:
             if not m["attrs"].rstrip().endswith("/") or tag not in ("svg", "math"):
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, pos)
                 pos = close.end() if close else end
             continue
-        at = _opened(at, tag)
-        node = Node(tag, at, m["attrs"])
-        at.children.append(node)
+        now.opened(tag)
+        node = Node(tag, now.nodes[-1], m["attrs"])
+        now.nodes[-1].children.append(node)
         if tag not in _VOID:
-            at = node
+            now.push(node)
     return root
 
 
-def _closed(at: Node, tag: str) -> Node:
-    """Where the text goes on after an end tag; one that nothing opened is skipped."""
-    node = at
-    while node is not None and node.tag != tag:
-        if tag not in _BLOCK and node.tag in _BLOCK and node.tag != "p":
-            return at
-        node = node.parent
-    return node.parent or node if node is not None else at
-
-
-def _opened(at: Node, tag: str) -> Node:
-    """Where a new element goes, after those that it ends."""
-    if tag in _BLOCK:
-        node = at
-        while node is not None and node.tag not in _P_STOPS:
-            if node.tag == "p":
-                at = node.parent
-                break
-            if node.tag in _BLOCK:
-                break
-            node = node.parent
-    ends, stops = _ENDS.get(tag, (frozenset(), frozenset()))
-    node = at
-    while ends and node is not None and node.tag not in stops:
-        if node.tag in ends:
-            at = node.parent
-        node = node.parent
-    if tag[0] == "h" and tag[1:].isdigit() and at.tag[0] == "h" and at.tag[1:].isdigit():
-        at = at.parent
-    return at
-
-
 def _ordered(root: Node, by_name: bool = True) -> list[Node]:
     """All nodes that may hold article text, parents before children."""
     out, todo = [], [root]
@@ -209,27 +232,22 @@ def _spare_holders(nodes: list[Node]) -> None:
 
 
 def _measure(nodes: list[Node]) -> None:
-    """Text and link lengths of every node, bottom up."""
+    """Text, commas and links of every node, bottom up; whether it is in a list of sources, top down."""
     for node in reversed(nodes):
-        chars = links = 0
+        chars = links = commas = count = 0
         for c in node.children:
             if isinstance(c, str):
                 chars += len(c.strip())
+                commas += c.count(",") + c.count("，") + c.count("、")
             else:
                 chars += c.chars
                 links += c.link_chars
+                commas += c.commas
+                count += c.links + (c.tag == "a")
         node.chars, node.link_chars = chars, chars if node.tag == "a" else links
-
-
-def _commas(node: Node) -> int:
-    total, todo = 0, [node]
-    while todo:
-        for c in todo.pop().children:
-            if isinstance(c, str):
-                total += c.count(",") + c.count("，") + c.count("、")
-            else:
-                todo.append(c)
-    return total
+        node.commas, node.links = commas, count
+    for node in nodes:
+        node.cited = not node.words.isdisjoint(_CITED) or node.parent is not None and node.parent.cited
 
 
 def _density(node: Node) -> float:
@@ -249,7 +267,7 @@ def _score(nodes: list[Node]) -> None:
     for node in nodes:
         if not _is_paragraph(node) or not node.chars:
             continue
-        points = 1 + _commas(node) + min(node.chars / 100, 3.0)
+        points = 1 + node.commas + min(node.chars / 100, 3.0)
         up, level = node.parent, 0
         if node.tag not in _PARAGRAPH:
             up = node  # its own text makes it a container
@@ -277,33 +295,17 @@ def _chosen(nodes: list[Node]) -> list[Node]:
         best = best.parent
     if best.parent is None:
         return [best]
-    least = max(10.0, best.points * 0.2)
-    kept = []
-    for s in best.parent.children:
-        if isinstance(s, str):
-            continue
-        prose = s.tag == "p" and s.chars > 80 and _density(s) < 0.25
-        if s is best or s.points >= least or prose or (s.tag in ("h1", "h2") and s.chars and _density(s) < 0.5):
-            kept.append(s)
-    return kept
+    # What is no article text by its name, or a list of links, is out by now: the other parts beside
+    # the best one belong to it, however short they are, unless they are mostly links.
+    return [s for s in best.parent.children if not isinstance(s, str) and (s is best or s.chars and _density(s) < 0.5)]
 
 
 def _link_list(node: Node) -> bool:
     """A menu or a list of further reading: mostly links, several of them."""
     if node.tag not in ("ul", "ol", "div", "section", "table", "dl") or _density(node) <= 0.5:
         return False
-    links, todo = 0, [node]
-    while todo:
-        for c in todo.pop().children:
-            if not isinstance(c, str):
-                links += c.tag == "a"
-                todo.append(c)
-    if links < 2 or node.chars - node.link_chars >= 10 * links:  # entries that say more than their link
-        return False
-    up = node
-    while up is not None and up.words.isdisjoint(_CITED):
-        up = up.parent
-    return up is None
+    # Entries that say more than their link are no menu.
+    return node.links >= 2 and node.chars - node.link_chars < 10 * node.links and not node.cited
 
 
 def _blocks(root: Node) -> list[str]:
@@ -312,7 +314,7 @@ def _blocks(root: Node) -> list[str]:
     run: list[str] = []
 
     def flush() -> None:
-        if run and (text := " ".join(html.unescape("".join(run)).split())):
+        if run and (text := " ".join("".join(run).split())):
             out.append(text)
         run.clear()
 
