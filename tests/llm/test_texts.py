@@ -168,4 +168,45 @@ def test_plan_keeps_every_capacity(rule):
     for length, n in counts.items():
         assert sorted(x[2] for p in held.values() for x in p if x[1] == length) == list(range(n))
     with pytest.raises(ValueError):
-        packing.Capacity(100, 7, 9_999)
+        packing.Capacity(100, 7, 0)
+
+
+@pytest.mark.parametrize(
+    "capacity,counts,sequences",
+    [
+        (packing.Capacity(100, 100, 10_000), {50: 4}, 2),  # tokens alone decide
+        (packing.Capacity(100, 1, 10_000), {50: 4}, 4),  # documents refuse
+        (packing.Capacity(100, 100, 4_999), {50: 4}, 4),  # attention refuses: two cost 5,000
+        (packing.Capacity(100, 100, 5_000), {50: 4}, 2),
+        (packing.Capacity(100, 100, 2_600), {100: 2, 50: 2, 10: 2}, 4),  # full pieces stand alone, each 50 takes a 10
+    ],
+)
+def test_each_capacity_refuses(capacity, counts, sequences):
+    runs = packing.plan_sequences(counts, capacity)
+    used = {}
+    for length, _, first, pieces, offset in runs.tolist():
+        for s in range(first, first + pieces):
+            used.setdefault(s, []).append((offset, length))
+    assert len(used) == sequences and sum(len(p) for p in used.values()) == sum(counts.values())
+    for pieces in used.values():
+        lengths = [n for _, n in pieces]
+        assert sum(lengths) <= capacity.max_tokens and len(lengths) <= capacity.max_docs
+        assert len(lengths) == 1 or sum(n * n for n in lengths) <= capacity.max_attention
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+
+
+def test_sequences_with_ids(docs_of, prose, odd, spark, tmp_path):
+    import zlib
+
+    packed = packing.pack_sequences(docs_of([*prose, *odd]), WORDS, packing.Capacity(512, 512, 512**2), with_ids=True)
+    rows = packed.collect()
+    assert all(zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows)
+    packing.write_sequences(packed, str(tmp_path / "s"))
+    whole = {r.sequence_id: r for r in spark.read.parquet(str(tmp_path / "s")).collect()}
+    assert set(whole) == {r.sequence_id for r in rows}
+    for r in rows:
+        assert bytes(whole[r.sequence_id].ids)[4 * r.offset : 4 * (r.offset + r.length)] == bytes(r.ids)
+        assert len(whole[r.sequence_id].ids) <= 4 * 512

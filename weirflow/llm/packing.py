@@ -4,7 +4,8 @@ A sequence has three capacities: tokens, documents and attention cost (the sum o
 piece lengths). Pieces are placed longest first. A piece goes into the open sequence that
 has room in every dimension and, after the placement, the smallest weighted residual norm
 (or the largest weighted dot product of demand and residual); only if none has room a new
-sequence is opened.
+sequence is opened. A limit on attention below that of one full piece keeps long pieces from
+being joined by others: a piece may always stand alone.
 
 Pieces of one length are interchangeable, and so are sequences with the same residuals.
 So the placement of the whole corpus is decided on counts by length, of which there are at
@@ -52,8 +53,8 @@ class Capacity:
     rule: str = "norm"
 
     def __post_init__(self) -> None:
-        if self.max_tokens < 1 or self.max_docs < 1 or self.max_attention < self.max_tokens**2:
-            raise ValueError("a sequence must hold a piece of max_tokens")
+        if min(self.max_tokens, self.max_docs, self.max_attention) < 1:
+            raise ValueError("capacities must be at least 1")
         if self.rule not in ("norm", "dot"):
             raise ValueError("rule: norm or dot")
 
@@ -98,9 +99,12 @@ def _few(batch: pa.RecordBatch, rows: int = 256) -> list[pa.RecordBatch]:
 
 
 def tokenized_pieces(
-    docs: DataFrame, tokenizer_path: str, max_tokens: int, remembered: int = REMEMBERED
+    docs: DataFrame, tokenizer_path: str, max_tokens: int, remembered: int = REMEMBERED, with_ids: bool = False
 ) -> DataFrame:
-    """A row for each piece; ``nth`` counts the pieces of its length within its task ``part``."""
+    """A row for each piece; ``nth`` counts the pieces of its length within its task ``part``.
+
+    ``with_ids`` adds ``ids``, the piece's ids as little-endian unsigned 32-bit numbers.
+    """
     source = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,17 +120,17 @@ def tokenized_pieces(
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     cut = ids[at : at + 4 * max_tokens]
                     n = len(cut) // 4
-                    rows.append((doc, k, at // 4, n, zlib.crc32(cut), part, int(seen[n])))
+                    rows.append((doc, k, at // 4, n, zlib.crc32(cut), part, int(seen[n]), *([cut] if with_ids else [])))
                     seen[n] += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *([pa.binary()] if with_ids else [])]
             columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", *(["ids"] if with_ids else [])],
             )
         release()
 
-    return id_and_text(docs).mapInArrow(run, PIECES)
+    return id_and_text(docs).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
 
 
 def plan_sequences(counts: dict[int, int], capacity: Capacity = Capacity()) -> np.ndarray:
@@ -154,8 +158,8 @@ def plan_sequences(counts: dict[int, int], capacity: Capacity = Capacity()) -> n
                     pick = int(np.argmax((keys[room] * need * weights).sum(axis=1)))
                 key = tuple(int(x) for x in keys[room][pick])
             else:
-                # As many new sequences as these pieces fill; each takes one piece a turn.
-                fit = int((full // need).min())
+                # As many new sequences as these pieces fill; each takes one piece a turn, at any cost.
+                fit = max(1, int((full // need).min()))
                 new = -(-left // fit)
                 key = tuple(int(x) for x in full)
                 classes.setdefault(key, []).append([sequences, new])
@@ -174,21 +178,22 @@ def plan_sequences(counts: dict[int, int], capacity: Capacity = Capacity()) -> n
             if not have:
                 del classes[key]
             rest = tuple(int(x) for x in np.array(key) - need)
-            if rest[0] > 0 and rest[1] > 0:
+            if min(rest) > 0:
                 classes.setdefault(rest, []).extend(took)
             keys = np.array(list(classes), np.int64).reshape(-1, 3)
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
 def pack_sequences(
-    docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity(), remembered: int = REMEMBERED
+    docs: DataFrame, tokenizer_path: str, capacity: Capacity = Capacity(), remembered: int = REMEMBERED, with_ids: bool = False
 ) -> DataFrame:
-    """Every piece of every document with its sequence and its place there.
+    """Every piece of every document with its sequence and its place there, ``with_ids`` also its token ids.
 
     ``remembered`` bounds the words whose ids a worker keeps: more take memory, fewer time.
     """
     spark = docs.sparkSession
-    pieces = stored(tokenized_pieces(docs, tokenizer_path, capacity.max_tokens, remembered), "pieces")
+    pieces = stored(tokenized_pieces(docs, tokenizer_path, capacity.max_tokens, remembered, with_ids), "pieces")
+    carried = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     # At most max_tokens rows reach the driver, whatever the table's size.
     by_length = pieces.groupBy("length").agg(F.count("*").alias("n")).collect()
     runs = plan_sequences({r.length: r.n for r in by_length}, capacity)
@@ -198,7 +203,7 @@ def pack_sequences(
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = tasks.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     ranked = pieces.join(bases, ["length", "part"]).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank")
+        *carried, (F.col("base") + F.col("nth")).alias("rank")
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,10 +215,21 @@ def pack_sequences(
             length = batch.column("length").to_numpy(zero_copy_only=False)
             rank = batch.column("rank").to_numpy(zero_copy_only=False)
             run = runs[np.searchsorted(start, length.astype(float) * 2.0**40 + rank, "right") - 1]
-            kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+            kept = [batch.column(c) for c in carried]
             yield pa.RecordBatch.from_arrays(
                 [*kept, pa.array(run[:, 2] + rank - run[:, 1]), pa.array(run[:, 4])],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+                [*carried, "sequence_id", "offset"],
             )
 
-    return ranked.mapInArrow(place, PACKED)
+    return ranked.mapInArrow(place, PACKED.replace("sequence_id", "ids binary, sequence_id") if with_ids else PACKED)
+
+
+def write_sequences(packed: DataFrame, path: str) -> None:
+    """Store whole sequences: sequence_id, its documents in order, and all token ids as one value.
+
+    ``packed`` comes from :func:`pack_sequences` with ids. A sequence is a bounded number of tokens.
+    """
+    pieces = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))
+    whole = packed.groupBy("sequence_id").agg(pieces.alias("p"))
+    joined = F.aggregate("p", F.lit(b"").cast("binary"), lambda done, x: F.concat(done, x["ids"]))
+    whole.select("sequence_id", F.transform("p", lambda x: F.struct(x["doc_id"], x["piece"], x["offset"], x["length"])).alias("pieces"), joined.alias("ids")).write.parquet(path)
