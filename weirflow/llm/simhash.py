@@ -32,7 +32,7 @@ from weirflow.llm.common import id_and_text, release, stored
 from weirflow.llm.graph import components
 
 SEED = 42
-#: Fingerprints that fit the tree's upper levels, at most; all points are indexed.
+#: Fingerprints that fit the tree's upper levels: about one to two times as many; all points are indexed.
 SAMPLE = 65_536
 SHARD_POINTS = 4_096
 #: For near copies: how many word fingerprints are searched, and 64-bit parts of the shingle sketch.
@@ -329,7 +329,9 @@ def near_links(nodes: DataFrame, near: Near) -> DataFrame:
     width = len(nodes.columns)
     bits, none = near.bits, np.zeros((0, width), np.uint64)
     total = nodes.count()
-    sample = nodes.select("print").orderBy(F.xxhash64("print")).limit(SAMPLE).toPandas()["print"]
+    # About SAMPLE points, drawn by hash where they are: nothing else travels, however many partitions there are.
+    every = max(1, total // SAMPLE)
+    sample = nodes.select("print").where(F.pmod(F.xxhash64("print"), F.lit(every)) == 0).toPandas()["print"]
     shards = min(max(1, -(-total // SHARD_POINTS)), SAMPLE // 4)
     tree = spark.sparkContext.broadcast(fit_tree(sample.to_numpy(np.int64).view(np.uint64), shards))
 
@@ -463,7 +465,16 @@ def _frequent(texts: DataFrame, words_per_shingle: int) -> tuple[np.ndarray, np.
     every = max(1, texts.count() // OFTEN_TEXTS)
     some = texts.where(F.pmod(F.xxhash64("_row"), F.lit(every)) == 0).select("_text")
     counts = some.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    top = counts.orderBy(F.desc("n"), "token").limit(OFTEN).toPandas()
+    counts = stored(counts, "often")
+    # The least count that at most OFTEN tokens reach, from a row for each count.
+    spread = sorted(((r.n, r.m) for r in counts.groupBy("n").agg(F.count("*").alias("m")).collect()), reverse=True)
+    total, least = 0, 2
+    for n, m in spread:
+        total += m
+        if total > OFTEN:
+            least = n + 1
+            break
+    top = counts.where(F.col("n") >= least).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], top["n"].to_numpy(np.int64)[order]
