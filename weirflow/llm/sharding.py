@@ -41,7 +41,11 @@ def shard_rows(
     row_overhead: int = 64,
     seed: int = SEED,
 ) -> DataFrame:
-    """All rows with ``shard`` and ``slot``, in a random order that the seed decides.
+    """All rows with ``shard`` and ``slot``, in a random order.
+
+    The order follows the seed for the same partitions of the input only: the scatter takes a
+    row's place in the scan, and Spark's shuffle draws by partition and arrival. It is fixed
+    where buckets and result are stored. Shards and counts are right for any partitions.
 
     ``size`` names a column with the bytes of a row, ``row_overhead`` what a row takes
     besides. Buckets are made for ``bucket_bytes`` each, and at least one for each
