@@ -99,7 +99,7 @@ def test_leaders_are_few_and_pairs_cross_groups(spark):
         assert 50 <= len(pairs) <= 100 and all(r.a < r.b for r in pairs)
         group = {n: g for _, n, g, _, _ in posts}
         assert all(group[r.a] != group[r.b] for r in pairs)
-    odd = df.withColumn("odd", F.lit(bytes(16)))
-    pairs = {(r.a, r.b) for r in simhash.crowd_pairs(odd, 0.8).collect()}
+    odd = df.select("node").distinct().withColumn("odd", F.lit(bytes(16)))
+    pairs = {(r.a, r.b) for r in simhash.crowd_pairs(df, odd, 0.8).collect()}
     want = {(a, b) for a in range(100) for b in range(a + 1, 100) if group[a] != group[b]}
     assert pairs == want

@@ -19,7 +19,7 @@ component; an empty table gives no rows. Other input columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,8 +48,9 @@ _MARKS = 1 << 22
 LONG_RUN = 64
 #: How often a crowd is linked through leaders before what is left apart is compared.
 STARS = 2
-#: Nodes of a crowd that one task compares with as many others.
+#: Nodes of a crowd that one task compares with as many others, and how fine their parities are.
 CROWD_BLOCK = 4_096
+CROWD_FINER = 8
 _NONE = np.zeros((0, 2), np.uint64)  # no links
 
 
@@ -433,12 +434,13 @@ def prefix(runs: np.ndarray, similarity: float, often: np.ndarray, times: np.nda
     return runs[np.lexsort((runs, count))][: len(runs) - int(_least_common(len(runs), similarity)) + 1]
 
 
-def parities(runs: np.ndarray) -> np.ndarray:
+def parities(runs: np.ndarray, finer: int = 1) -> np.ndarray:
     """A bit for each of about as many parts of the hashes: whether a set has an odd number there.
 
-    Two sets differ in at least as many hashes as their bits differ in.
+    Two sets differ in at least as many hashes as their bits differ in, and hardly in more where
+    the parts are ``finer`` (a power of two).
     """
-    bits = 1 << max(6, int(len(runs) - 1).bit_length())
+    bits = finer << max(6, int(len(runs) - 1).bit_length())
     odd = np.bincount((runs % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little")
 
@@ -548,15 +550,21 @@ def prefix_pairs(posts: DataFrame, similarity: float) -> DataFrame:
     return ready.mapInArrow(meet, "a bigint, b bigint").distinct()
 
 
+def _leaders(crowd: DataFrame, turn: int) -> DataFrame:
+    """(token, lead): the node with the least hash of those that have the token, the same one for many tokens.
+
+    Leaders change with each ``turn``.
+    """
+    lot = F.xxhash64("node", F.lit(turn))
+    return crowd.groupBy("token").agg(F.min_by(F.struct("node", "group"), F.struct(lot, "node")).alias("lead"))
+
+
 def _stars(crowd: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each post of a crowd with its token's leader, where their groups differ.
 
-    A leader is the node with the least hash, which is the same one for many of its tokens;
-    leaders change with each ``turn``. A node gets at most one partner for each of its tokens.
+    A node gets at most one partner for each of its tokens.
     """
-    lot = F.xxhash64("node", F.lit(turn))
-    leaders = crowd.groupBy("token").agg(F.min_by(F.struct("node", "group"), F.struct(lot, "node")).alias("lead"))
-    met = crowd.join(leaders, "token").where("group != lead.group")
+    met = crowd.join(_leaders(crowd, turn), "token").where("group != lead.group")
     return met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
 
 
@@ -568,25 +576,30 @@ def _folded(rows: np.ndarray, width: int) -> np.ndarray:
     return rows
 
 
-def crowd_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (a, b) of different groups of a crowd that their places and parities allow.
+def crowd_pairs(crowd: DataFrame, odd: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of different groups of a crowd that their sizes and parities allow.
 
-    ``crowd``: posts with ``odd``. Once a crowd is linked through leaders nearly all of it is
-    one group. Only nodes outside their token's largest group ask, and they ask all of its
-    posts; both are dealt in blocks, so a task compares a bounded number of them, and no pair
-    that the parities rule out becomes a row.
+    ``crowd``: posts; ``odd``: node and its fine parities. Tokens of one leader are one run, in
+    which a node is once, so pairs that share many tokens meet a few times. Once a crowd is linked
+    through leaders nearly all of a run is one group. Only nodes outside its largest group ask,
+    and they ask all of the run; both are dealt in blocks, so a task compares a bounded number of
+    them, and no pair that the parities rule out becomes a row.
     """
-    of_group = crowd.groupBy("token", "group").agg(F.count(F.lit(1)).alias("n"))
-    runs = of_group.groupBy("token").agg(
+    runs = crowd.join(_leaders(crowd, STARS), "token").select(
+        F.col("lead.node").alias("run"), "node", "group", "size", F.lit(0).cast("bigint").alias("place")
+    )
+    crowd = runs.distinct().join(odd, "node")
+    of_group = crowd.groupBy("run", "group").agg(F.count(F.lit(1)).alias("n"))
+    sizes = of_group.groupBy("run").agg(
         F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("group", F.struct("n", "group")).alias("main")
     )
-    blocks = runs.where("n > most").select(
-        "token", "main", F.ceil(F.col("n") / CROWD_BLOCK).cast("int").alias("blocks"),
+    blocks = sizes.where("n > most").select(
+        "run", "main", F.ceil(F.col("n") / CROWD_BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("n") - F.col("most")) / CROWD_BLOCK).cast("int").alias("sides"),
     )
-    open_ = crowd.join(blocks, "token")
+    open_ = crowd.join(blocks, "run")
     lot = F.xxhash64("node")
-    columns = ["token", "node", "group", "size", "place", "odd"]
+    columns = ["run", "node", "group", "size", "place", "odd"]
     every = open_.select(
         *columns, F.pmod(lot, F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("side")
     )
@@ -619,10 +632,32 @@ def crowd_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    keys = ["token", "block", "side"]
+    keys = ["run", "block", "side"]
     return asking.groupBy(*keys).cogroup(every.groupBy(*keys)).applyInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _of_texts(texts: DataFrame, asked: DataFrame, words_per_shingle: int, make: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """(row, runs): what ``make`` makes of the shingle sets of the texts ``asked`` for (_row), and of a few others.
+
+    A bounded table of marks tells most others; shingles are made again for the rest.
+    """
+    mark = F.pmod(F.xxhash64("_row"), F.lit(_MARKS)).cast("int").alias("_mark")
+    marks = np.zeros(_MARKS, bool)
+    marks[asked.select(mark).distinct().toPandas()["_mark"].to_numpy(np.int64)] = True
+    packed = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(packed.value).astype(bool)
+        for batch in batches:
+            batch = batch.filter(pa.array(wanted[batch.column("_mark").to_numpy()]))
+            for row, text in zip(batch.column("_row"), batch.column("_text"), strict=True):
+                runs = make(shingle_set(text.as_py(), words_per_shingle)).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([row.as_py()]), pa.array([runs], pa.binary())], ["row", "runs"])
+        release()
+
+    return texts.select("_row", "_text", mark).mapInArrow(sets, "row bigint, runs binary")
+
+
 def similar_pairs(
     texts: DataFrame, nodes: DataFrame, pairs: DataFrame, words_per_shingle: int, similarity: float
 ) -> DataFrame:
@@ -648,19 +683,6 @@ def similar_pairs(
     light = pairs.join(first, "a").join(other, "b").select("a", "b", "x", "y", (F.col("n") + F.col("m")).alias("total"))
     pairs = stored(light.mapInArrow(sift, "a bigint, b bigint"), "sifted")
     asked = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
-    mark = F.pmod(F.xxhash64("_row"), F.lit(_MARKS)).cast("int").alias("_mark")
-    marks = np.zeros(_MARKS, bool)
-    marks[asked.select(mark).distinct().toPandas()["_mark"].to_numpy(np.int64)] = True
-    packed = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(packed.value).astype(bool)
-        for batch in batches:
-            batch = batch.filter(pa.array(wanted[batch.column("_mark").to_numpy()]))
-            for row, text in zip(batch.column("_row"), batch.column("_text"), strict=True):
-                runs = shingle_set(text.as_py(), words_per_shingle).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([row.as_py()]), pa.array([runs], pa.binary())], ["row", "runs"])
-        release()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -672,7 +694,7 @@ def similar_pairs(
             yield batch.select(["a", "b"]).filter(pa.array(ok))
         release()
 
-    of = stored(texts.select("_row", "_text", mark).mapInArrow(sets, "row bigint, runs binary"), "sets")
+    of = stored(_of_texts(texts, asked, words_per_shingle, lambda runs: runs), "sets")
     both = pairs.join(of.select(F.col("row").alias("a"), F.col("runs").alias("x")), "a")
     both = both.join(of.select(F.col("row").alias("b"), F.col("runs").alias("y")), "b")
     return stored(both.select("a", "b", "x", "y").mapInArrow(judge, "a bigint, b bigint"), "similar")
@@ -772,8 +794,10 @@ def near_copies(
             pairs = stars if turn else stars.unionByName(more).distinct()
             links = links.unionByName(similar_pairs(light, nodes, stored(pairs, f"stars-{turn}"), words_per_shingle, similarity))
             now = stored(regrouped(), f"crowds-{turn}")
-        odd = nodes.select("node", F.col("_odd").alias("odd"))
-        rest = crowd_pairs(now.join(odd, "node"), similarity)
+        asked = now.select(F.col("node").alias("_row")).distinct()
+        fine = _of_texts(light, asked, words_per_shingle, lambda runs: parities(runs, CROWD_FINER))
+        odd = stored(fine.select(F.col("row").alias("node"), F.col("runs").alias("odd")), "crowd-parities")
+        rest = crowd_pairs(now, odd, similarity)
         links = links.unionByName(similar_pairs(light, nodes, stored(rest, "crowd-pairs"), words_per_shingle, similarity))
     of_set = grouped(components(links)).select("_set0", "_set1", "group")
     of_row = named.select("_id", "_row", "_set0", "_set1").join(of_set, ["_set0", "_set1"])
