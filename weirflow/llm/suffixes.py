@@ -176,6 +176,7 @@ def common_prefix(rows: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 RUN = "block bigint, part int, run binary"
+_PLACES = "block bigint, part int, answer binary"
 
 
 def front_coded(s: Suffixes, a: int, b: int) -> bytes:
@@ -349,18 +350,19 @@ def dedup_bytes(
         several[where[a.doc != a.doc[first][where]]] = True
         return keys, 1 + several.astype("u1"), where
 
-    # Each pass over the blocks is stored with what the next ones need of it: the places of the
-    # anchors, then which suffix each is. Neither is found twice.
+    # What costs most is done once and stored: where the anchors are, then which suffix each is.
+    def find(row: dict) -> Iterator[pa.RecordBatch]:
+        at = anchored(row)[1].at
+        yield B.record_batch([(row["block"], 0, B.pack(np.diff(at, prepend=0).astype("<u4")))], _PLACES)
+
+    marks = stored(B.each_block(held, find, _PLACES), "anchors")
+
     def ask_grams(row: dict) -> Iterator[pa.RecordBatch]:
-        a = anchored(row)[1]
-        keys, counts, _ = grams(a)
-        rows = [(row["block"], p, B.pack_sorted(keys[x:y]), B.pack(counts[x:y]), None) for p, x, y in B.split_keys(keys, parts)]
-        rows.append((row["block"], 0, None, None, B.pack(np.diff(a.at, prepend=0).astype("<u4"))))
-        yield B.record_batch(rows, f"{B.SENT}, answer binary")
-
-    asked = stored(B.each_block(held, ask_grams, f"{B.SENT}, answer binary"), "asked")
-    marks = asked.where("answer IS NOT NULL").select("block", "part", "answer")
-    shared = stored(B.answered(asked.where("answer IS NULL").drop("answer"), parts, _in_two), "grams")
+        keys, counts, _ = grams(anchored(row)[1])
+        yield B.sent_batch(row["block"], keys, counts, parts)
+
+    asked = B.each_block(B.with_answers(held, marks=marks), ask_grams, B.SENT)
+    shared = stored(B.answered(asked, parts, _in_two), "grams")
 
     def send_runs(row: dict) -> Iterator[pa.RecordBatch]:
         table, a = anchored(row)
