@@ -88,7 +88,6 @@ def test_search_scores_once_and_keeps_a_heap(spark, sf):
 def test_points_are_one_pass(spark, sf):
     messages = inputs.vector_messages(inputs.table(spark, sf, "embeddings"))
     plan = physical(good_rows(to_points(messages, CollectionSpec("c", 64), keep=("vec_id",))))
-    # Only payloads nested deeper than the native levels go to Python.
-    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
-    # The payload is parsed once; the other line parses what comes back from Python.
-    assert sum("parseJson(" in line for line in plan.splitlines()) == 2
+    # Payloads of any depth stay in the JVM, and are parsed once.
+    assert "Exchange" not in plan and "Python" not in plan
+    assert sum("parseJson(" in line for line in plan.splitlines()) == 1
