@@ -76,7 +76,7 @@ def test_rows_of_a_crowd_grow_with_its_posts(docs_of, monkeypatch):
 
     monkeypatch.setattr(simhash, "stored", kept)
     made = []
-    for n in (400, 1200):
+    for n in (300, 900):
         texts = []
         for _ in range(n):
             mine = list(hub)

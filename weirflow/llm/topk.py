@@ -43,7 +43,8 @@ _EXACT = 2.0**53
 #: Components beyond this are compared as Python integers and not by bounds.
 _WILD = 1e150
 #: Candidates that a block of queries meets first, at most.
-SAMPLE = 4_096
+SAMPLE = 1_024
+_SEED_STEP = 128
 #: Where fewer pairs than this part are left, they are looked at query by query.
 _SPARSE = 0.25
 
@@ -140,6 +141,10 @@ class _Block:
                 enough = (scores >= least[:, None]).astype(bool)
             else:
                 enough = scores >= self.floor[rows][:, None]
+                if scores.shape[1] > self.k:
+                    # Of one step no more than the k best of a query, and their ties, can enter.
+                    able = np.where(wanted, scores, -np.inf)
+                    enough &= able >= np.partition(able, -self.k, axis=1)[:, -self.k][:, None]
             i, j = np.nonzero(wanted & enough)
             for held, more in zip(found, (rows[i], ids[cols[j]], scores[i, j].astype(object)), strict=True):
                 held.append(more)
@@ -222,7 +227,9 @@ def top_k(
             if n in sample:
                 # What a sample already has gives each query a k-th score, which no task then starts without.
                 first = _Block(*matrices[n], k)
-                first.offer(*sample[n])
+                seen, x = sample[n]
+                for i in range(0, len(seen), _SEED_STEP):  # small steps: this is the driver
+                    first.offer(seen[i : i + _SEED_STEP], x[i : i + _SEED_STEP])
                 matrices[n] += (first.floor, first.least)
         shared = spark.sparkContext.broadcast(matrices)
 
