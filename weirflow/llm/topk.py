@@ -10,8 +10,8 @@ score. Scores are integers and exact: floats are used only where every sum is be
 else Python integers.
 
 How much is pruned lies in the data: among clusters most pairs are, among independent random
-directions (as in the test tables) hardly any can be by such bounds, and the exact products
-of whole blocks, which then are computed at once, are what the time goes into.
+directions hardly any can be by such bounds, and the exact products of whole blocks, which
+then are computed at once, are what the time goes into.
 
 The candidates stay where they are: queries come in blocks of bounded bytes, each block
 broadcast to one scan of the table. Each task returns k rows for each query.
