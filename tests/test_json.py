@@ -108,3 +108,25 @@ def test_flatten_plans_are_small(texts):
     parsed = texts("{}").select(strict_json(F.col("payload")).alias("v"))
     with_flat(parsed, "v", "flat")._jdf.queryExecution().optimizedPlan()
     assert time.monotonic() - start < 3
+
+
+def test_deep_objects_are_read_in_one_pass(texts):
+    """Below the native levels: odd keys, lists with objects, escapes, and a cost that is not the square of the depth."""
+
+    def nest(levels, inner, key="a"):
+        return json.dumps({key: None})[:-5] * levels + json.dumps(inner) + "}" * levels
+
+    odd = {"": {"": 1}, 'q"x': {"b\\c": ["]", "{", '"', "\\", "\n"]}, "x\":{\"y": {"e": {}, "n": None}, "é.f": [[1, {"z": [2]}], []]}
+    whole = {"lists": [{"q": {"r": 1}}, [{"s": [1]}]], "d": -7, "t": True, "big": 1e300, "s": "Infinity-"}
+    many = [nest(n, v, key) for n in (4, 9, 40) for v in (odd, whole, {"f": 5.0, "m": [1, "x"]}) for key in ("a", "", 'k"\\')]
+    assert flat_of(texts(*many)) == [plain_flat(json.loads(t)) for t in many]
+    start = time.monotonic()
+    assert flat_of(texts(*[nest(300, i) for i in range(100)])) == [{".".join("a" * 300): i} for i in range(100)]
+    assert time.monotonic() - start < 20
+
+
+def test_flat_columns_are_computed_once(texts):
+    """The filter below an explode reads the finished column."""
+    parsed = texts("{}").select(strict_json(F.col("payload")).alias("v"))
+    plan = with_flat(parsed, "v", "flat").select(F.explode("flat"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries(") == 1

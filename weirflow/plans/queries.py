@@ -115,6 +115,13 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.table(spark, sf, "events")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores, for queries whose rows cost far more than their bytes: a small file is one task's."""
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a stream. The pattern takes a single file as well as a folder of files."""
     return read_stream(spark, f"{sf}/events.parque[t]", _events(spark, sf).schema)
@@ -484,7 +491,7 @@ def flatten_deep(spark, sf):
         F.lit('{"list":[1,{"q":1},"x",[2]],"none":null,"top":'), F.repeat(F.lit('{"a":'), depth),
         F.col("event_id").cast("string"), F.repeat(F.lit("}"), depth), F.lit("}"),
     )
-    parsed = _events(spark, sf).select("event_id", strict_json(text).alias("v"))
+    parsed = _spread(_events(spark, sf)).select("event_id", strict_json(text).alias("v"))
     rows = flatten.with_flat(parsed, "v", "m").select("event_id", F.explode("m").alias("name", "v"))
     return rows.select("event_id", "name", F.to_json("v").alias("value"))
 
