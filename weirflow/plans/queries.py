@@ -469,7 +469,8 @@ def required_split(spark, sf):
     UNION ALL SELECT event_id, 'value', NULL, round(value, 6) FROM events WHERE event_id % 6 <> 0"""
 )
 def flatten_payload(spark, sf):
-    parsed = _rich(spark, sf).select("event_id", strict_json(F.col("payload")).alias("v"))
+    events = inputs.rich_payload(_spread(_events(spark, sf)))
+    parsed = events.select("event_id", strict_json(F.col("payload")).alias("v"))
     rows = flatten.with_flat(parsed, "v", "m").select("event_id", F.explode("m").alias("name", "v"))
     is_number = F.col("name") == "value"
     return rows.select(
