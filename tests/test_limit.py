@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weirflow import AdmissionSpec, Endpoint, RateLimit, SpecError
 from weirflow.functions.headers import canonical_ip, client_ip, is_ip, normalize_headers
+from weirflow.operators import limit
 from weirflow.operators.admit import admit_requests, check_body_size, flag_content_type
 from weirflow.operators.limit import BucketMap, _cut_by_count, decide, rate_limit, rate_limit_window
 from weirflow.sources import from_http_requests
@@ -333,3 +334,29 @@ def test_a_hot_key_is_spread(spark):
     quick = rate_limit(df, ["key"], "ts", "id", 50, 20, chunk_events=500)
     slow = rate_limit(df, ["key"], "ts", "id", 50, 20, chunk_events=10**9)
     assert quick.exceptAll(slow).count() == 0 and 0 < quick.where("allowed").count() < n
+
+
+def test_cuts_are_found_by_halving(spark):
+    """The chunk of an event is looked up in a few steps, however many cuts its key has."""
+    cuts = sorted([3, 3, 3, 10, 11, 500] + [1_000 + 7 * i for i in range(300)])
+    times = [0, 2, 3, 4, 10, 499, 500, 999, 1_000, 1_006, 1_007, 3_092, 3_093, 3_094, 9_999]
+    df = spark.createDataFrame([(t, cuts[:n]) for t in times for n in (0, 1, 6, 305, 306)], "t bigint, cuts array<bigint>")
+    got = df.select("t", F.size("cuts").alias("n"), limit._passed(F.col("cuts"), F.col("t"), len(cuts) + 1).alias("at")).collect()
+    assert [r["at"] for r in got] == [sum(c <= r["t"] for c in cuts[: r["n"]]) for r in got]
+    events = spark.range(2_000).select(F.lit("a").alias("_key"), F.col("id").alias("_t"))
+    plan = limit._cut_by_count(events, 10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(_cuts" not in plan
+
+
+def test_refused_events_take_no_steps(monkeypatch):
+    """Many events at one time: only the first ones can change what a chunk does."""
+    steps = []
+    real = limit.BucketMap._step
+    monkeypatch.setattr(limit.BucketMap, "_step", lambda self, t: (steps.append(t), real(self, t)))
+    times = [t for t in range(0, 40) for _ in range(60)]
+    period, burst = 100, 5
+    some = limit.BucketMap(0, period, burst)
+    some.feed(times)
+    assert len(steps) < len(times) / 5
+    for tat in range(0, burst * period + 1, 7):
+        assert some.apply(tat) == limit.decide(tat, times, period, burst)[0]

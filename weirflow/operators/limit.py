@@ -59,11 +59,17 @@ class BucketMap:
         self.pieces: list[tuple[int, int, bool, int]] = [(start, start + burst * period, False, 0)]
 
     def feed(self, times: Sequence[int]) -> None:
-        for i, t in enumerate(times):
+        i = 0
+        while i < len(times):
             if len(self.pieces) == 1 and self.pieces[0][2]:
                 self._feed_fixed(times[i:])
                 return
-            self._step(t)
+            self._step(times[i])
+            i += 1
+            # Events that every incoming value refuses change nothing.
+            least = min(value if fixed else low + value for low, _, fixed, value in self.pieces)
+            if i < len(times) and times[i] + self.room < least:
+                i = bisect_left(times, least - self.room, i)
 
     def _feed_fixed(self, times: Sequence[int]) -> None:
         low, high, _, tat = self.pieces[0]
@@ -274,6 +280,15 @@ def _at_least_one(rate: int | Column, what: str) -> int | Column:
 MOST_CHUNKS = 4096
 
 
+def _passed(cuts: Column, t: Column, chunks: int) -> Column:
+    """How many of fewer than ``chunks`` sorted cuts are not after ``t``, found by halving."""
+    strides = F.array(*[F.lit(2**i) for i in reversed(range((chunks - 1).bit_length()))])
+    # A place beyond the last cut is NULL, which is not passed.
+    return F.aggregate(
+        strides, F.lit(0), lambda at, stride: F.when(F.get(cuts, at + stride - 1) <= t, at + stride).otherwise(at)
+    )
+
+
 def _cut_by_count(events: DataFrame, chunk_events: int) -> DataFrame:
     """Events with ``_chunk``: keys with more than ``chunk_events`` events are cut at quantiles of time.
 
@@ -300,8 +315,7 @@ def _cut_by_count(events: DataFrame, chunk_events: int) -> DataFrame:
     times = times.join(hot, "_key").select("_key", wanted.alias("_cuts"))
     times.write.parquet(f"{place}/cuts")
     cuts = spark.read.schema(times.schema).parquet(f"{place}/cuts")
-    passed = F.size(F.filter("_cuts", lambda c: c <= F.col("_t")))
-    chunk = F.when(F.col("_cuts").isNull(), 0).otherwise(passed).cast("bigint")
+    chunk = F.when(F.col("_cuts").isNull(), 0).otherwise(_passed(F.col("_cuts"), F.col("_t"), chunks)).cast("bigint")
     return events.join(cuts, "_key", "left").withColumn("_chunk", chunk).drop("_cuts")
 
 
