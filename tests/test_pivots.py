@@ -97,3 +97,20 @@ def test_many_queries_for_one_slice(spark, tmp_path, monkeypatch):
     collection, asked = frame(spark, points), frame(spark, queries, name="query_id")
     index = index_points(collection, str(tmp_path), 4, pivots=4, slice_points=64)
     assert rows(search_points(spark, index, asked, 6)) == rows(knn_many(collection, asked, 6, "euclid"))
+
+
+def test_queries_travel_by_span(spark, tmp_path, monkeypatch):
+    """What is dealt grows with spans, not with slices; several spans of a cell give the scan's rows."""
+    from weirflow.operators import pivots
+
+    real, dealt = pivots._compared, []
+    monkeypatch.setattr(pivots, "_compared", lambda index, pairs, *rest: (dealt.append(pairs), real(index, pairs, *rest))[1])
+    rng = np.random.default_rng(6)
+    points, queries = rng.normal(size=(900, 16)), rng.normal(size=(20, 16))
+    collection, asked = frame(spark, points), frame(spark, queries, name="query_id")
+    index = index_points(collection, str(tmp_path), 16, pivots=3, slice_points=10)
+    want = rows(knn_many(collection, asked, 5, "euclid"))
+    assert rows(search_points(spark, index, asked, 5)) == want
+    assert dealt[-1].count() <= 3 * len(queries)
+    monkeypatch.setattr(pivots, "SPAN_POINTS", 64)
+    assert rows(search_points(spark, index, asked, 5)) == want

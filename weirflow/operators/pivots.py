@@ -7,7 +7,7 @@ cannot be among the k best. So a query reads the slice that fits it best, which
 best distance, and then just the slices whose range of distances lies within that bound.
 
 Queries are rows of a table and stay that: they are joined with the directory of slices (a few
-numbers each), dealt to the slices they may need, and compared there. Neither they nor points pass
+numbers each), dealt to the spans of slices they may need, and compared there with the slices in reach. Neither they nor points pass
 the driver; it holds the pivots. A query costs the points of its slices, and results equal those
 of a scan, ties included, whatever the pivots are: these, taken from a bounded sample, only
 decide how much is pruned.
@@ -36,8 +36,10 @@ PIVOTS = 64
 SLICE_POINTS = 1_024
 #: Points that the pivots are chosen from, at most.
 SAMPLE = 4_096
-#: Queries that one task compares with one slice.
+#: Queries that one task compares with one slice; with a span of slices four times as many.
 BLOCK = 2_048
+#: Points of a span: slices of a cell that a query is sent to as one.
+SPAN_POINTS = 16_384
 METRICS = ("euclid", "manhattan", "cosine")
 #: Double sums of a distance are off by less than this part of it.
 _SLACK = 1e-9
@@ -212,29 +214,46 @@ def _asked(index: PointIndex, queries: DataFrame, query_id: str, query_vector: s
     return narrow.mapInArrow(run, f"query_id {kind}, q binary, near array<double>")
 
 
-def candidate_slices(
-    spark: SparkSession, index: PointIndex, queries: DataFrame, k: int, query_id: str, query_vector: str, digits: int, path: str
-) -> DataFrame:
-    """(query_id, q, bound, slice, cell): the slices that may hold one of a query's k best points."""
-    asked = _asked(index, queries, query_id, query_vector)
+def _bounded(spark: SparkSession, index: PointIndex, queries: DataFrame, k: int, query_id: str, query_vector: str, digits: int, path: str) -> DataFrame:
+    """(query_id, h, q, near, bound), stored at ``path``: each query once, with a bound of its k-th best cost."""
+    asked = _asked(index, queries, query_id, query_vector).dropDuplicates(["query_id", "q"])
+    asked = asked.withColumn("h", F.unhex(F.sha2("q", 256)))
     directory = _slices(spark, index).select("slice", "cell", "low", "high", "n")
     # The slice that fits a query best, in the cell of its nearest pivot: with k points or as many as there
     # are, and of those the nearest by distance to the pivot.
-    by_cell = asked.select("*", F.posexplode("near").alias("cell", "d")).drop("near")
-    gap = F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high"), F.lit(0.0))
     nearest = asked.withColumn("d", F.array_min("near")).withColumn("cell", F.array_position("near", F.col("d")).cast("int") - 1)
-    fits = nearest.join(directory, "cell").withColumn("fit", F.struct(-F.least("n", F.lit(k)), gap, "slice"))
-    best = fits.groupBy("query_id", "q").agg(F.min_by(F.struct("slice", "cell"), "fit").alias("best"))
-    alone = best.select("query_id", "q", F.lit(float("inf")).alias("bound"), "best.slice", "best.cell")
+    fits = nearest.drop("near").join(directory, "cell").withColumn("fit", F.struct(-F.least("n", F.lit(k)), _gap(), "slice"))
+    best = fits.groupBy("query_id", "h").agg(F.min_by(F.struct("q", "d", "slice", "cell"), "fit").alias("best"))
+    alone = best.select("query_id", "h", "best.q", "best.d", F.lit(float("inf")).alias("bound"), "best.cell", F.col("best.slice").alias("unit"))
     # As k-th best costs, ties at that place are as good as one point.
-    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy("cost"))
-    first = _compared(spark, index, alone, k, digits).withColumn("rank", rank).where(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy("query_id", "h").orderBy("cost"))
+    units = _slices(spark, index).withColumn("unit", F.col("slice"))
+    first = _compared(index, alone, units, k, digits, BLOCK).withColumn("rank", rank).where(F.col("rank") <= k)
     last = F.when(F.count(F.lit(1)) >= k, F.max("cost")).otherwise(F.lit(float("inf")))
-    bounds = first.groupBy("query_id", "q").agg(last.alias("bound"))
-    asked_again = by_cell.join(bounds, ["query_id", "q"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-    # Queries are few numbers a cell; slices whose range of distances is out of reach are left out.
+    bounds = first.groupBy("query_id", "h").agg(last.alias("bound"))
+    known = asked.join(bounds, ["query_id", "h"], "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    known.select("query_id", "h", "q", "near", "bound").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _gap():
+    """How far a distance ``d`` to the pivot lies outside the range of a slice or span."""
+    return F.greatest(F.col("low") - F.col("d"), F.col("d") - F.col("high"), F.lit(0.0))
+
+
+def _within(index: PointIndex, known: DataFrame, directory: DataFrame, digits: int) -> DataFrame:
+    """Each query with the parts of the directory whose range of distances is within its reach."""
+    by_cell = known.select("*", F.posexplode("near").alias("cell", "d")).drop("near")
     reach = _reach(index.metric, F.col("bound"), digits, F.sqrt) + _SLACK * (1 + F.col("d"))
-    found = asked_again.distinct().join(directory, "cell").where(gap <= reach)
+    return by_cell.join(directory, "cell").where(_gap() <= reach)
+
+
+def candidate_slices(
+    spark: SparkSession, index: PointIndex, queries: DataFrame, k: int, query_id: str, query_vector: str, digits: int, path: str
+) -> DataFrame:
+    """(query_id, q, bound, slice, cell): the slices that may hold one of a query's k best points."""
+    known = _bounded(spark, index, queries, k, query_id, query_vector, digits, f"{path}-queries")
+    found = _within(index, known, _slices(spark, index).select("slice", "cell", "low", "high", "n"), digits)
     found.select("query_id", "q", "bound", "slice", "cell").write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -246,15 +265,17 @@ def _reach(metric: str, cost, digits: int, sqrt):
     return wide * (1 + _SLACK) + _SLACK
 
 
-def _compared(spark: SparkSession, index: PointIndex, pairs: DataFrame, k: int, digits: int) -> DataFrame:
-    """(query_id, q, id, cost): for each pair of query and slice the k nearest points of the slice, within the bound."""
-    slices = _slices(spark, index).select("slice", "ids", "vectors", "cell")
-    # A slice that many queries need is compared in several tasks.
-    counts = pairs.groupBy("slice", "cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    copies = slices.join(counts, ["slice", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = pairs.join(counts, ["slice", "cell"]).withColumn("block", F.pmod(F.xxhash64("query_id", "q"), F.col("blocks")).cast("int"))
+def _compared(index: PointIndex, pairs: DataFrame, stored: DataFrame, k: int, digits: int, block: int) -> DataFrame:
+    """(query_id, h, id, cost): for each pair of query and unit the k nearest points of the unit, within the bound.
+
+    A unit is a slice, or a span of slices of one cell; of these a query is compared with those in its reach.
+    """
+    # A unit that many queries need is compared in several tasks.
+    counts = pairs.groupBy("cell", "unit").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    copies = stored.join(counts, ["cell", "unit"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = pairs.join(counts, ["cell", "unit"]).withColumn("block", F.pmod(F.xxhash64("query_id", "h"), F.col("blocks")).cast("int"))
     metric, dimension = index.metric, index.dimension
-    schema = T.StructType([*[pairs.schema[c] for c in ("query_id", "q")], T.StructField("id", slices.schema["ids"].dataType.elementType), T.StructField("cost", T.DoubleType())])
+    schema = T.StructType([*[pairs.schema[c] for c in ("query_id", "h")], T.StructField("id", stored.schema["ids"].dataType.elementType), T.StructField("cost", T.DoubleType())])
 
     def compare(key: tuple, asked: pa.Table, stored: pa.Table) -> pa.Table:
         ids = stored["ids"].combine_chunks().flatten() if len(stored) else None
@@ -262,30 +283,43 @@ def _compared(spark: SparkSession, index: PointIndex, pairs: DataFrame, k: int,
         if ids is not None and len(asked):
             rows = np.frombuffer(b"".join(stored["vectors"].to_pylist()), float).reshape(-1, dimension)
             bounds = _reach(metric, asked["bound"].to_numpy(), digits, np.sqrt)
+            low, high, n = (stored[c].to_numpy() for c in ("low", "high", "n"))
+            far = asked["d"].to_numpy()
             for i, raw in enumerate(asked["q"].to_pylist()):
-                cost = _distances(metric, np.frombuffer(raw, float)[None, :], rows)[0]
+                gap = np.maximum(low - far[i], far[i] - high)
+                near = gap <= bounds[i] + _SLACK * (1 + far[i])
+                some = np.arange(len(rows)) if near.all() else np.flatnonzero(np.repeat(near, n))
+                cost = _distances(metric, np.frombuffer(raw, float)[None, :], rows if near.all() else rows[some])[0]
                 keep = np.flatnonzero(cost <= bounds[i])
                 if len(keep) > k:
                     # What may tie with the k-th place stays: ids decide later.
                     least = np.partition(cost[keep], k - 1)[k - 1]
                     keep = keep[cost[keep] <= _reach(metric, least, digits, np.sqrt)]
                 take_q.append(np.full(len(keep), i))
-                take_p.append(keep)
+                take_p.append(some[keep])
                 costs.append(cost[keep])
         at = pa.array(np.concatenate([*take_q, np.zeros(0, int)]).astype(np.int64))
         where = pa.array(np.concatenate([*take_p, np.zeros(0, int)]).astype(np.int64))
         some = ids.take(where) if ids is not None else pa.array([], stored.schema.field("ids").type.value_type)
         return pa.Table.from_arrays(
-            [asked["query_id"].combine_chunks().take(at), asked["q"].combine_chunks().take(at), some, pa.array(np.concatenate([*costs, np.zeros(0)]))],
-            ["query_id", "q", "id", "cost"],
+            [asked["query_id"].combine_chunks().take(at), asked["h"].combine_chunks().take(at), some, pa.array(np.concatenate([*costs, np.zeros(0)]))],
+            ["query_id", "h", "id", "cost"],
         )
 
     # Both sides know the counts; under names of its own a side's keys are its own.
-    copies = copies.select(*[F.col(c).alias(c) for c in ("slice", "cell", "block", "ids", "vectors")])
-    keys = ["slice", "cell", "block"]
+    copies = copies.select(*[F.col(c).alias(c) for c in ("cell", "unit", "block", "low", "high", "n", "ids", "vectors")])
+    dealt = dealt.select("cell", "unit", "block", "query_id", "h", "q", "d", "bound")
+    keys = ["cell", "unit", "block"]
     return dealt.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(compare, schema)
 
 
+def _spans(spark: SparkSession, index: PointIndex) -> DataFrame:
+    """(slice, cell, unit, low, high): a cell's slices in the order of their distances, in spans of some SPAN_POINTS."""
+    before = F.sum("n").over(Window.partitionBy("cell").orderBy("low", "high", "slice").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    directory = _slices(spark, index).select("slice", "cell", "low", "high", "n")
+    return directory.withColumn("unit", F.floor(before / SPAN_POINTS).cast("bigint"))
+
+
 def search_points(
     spark: SparkSession,
     index: PointIndex,
@@ -300,16 +334,21 @@ def search_points(
 
     Scores are rounded to ``digits`` before they are ranked, ties by id; rows of queries that are
     equal are answered once. ``work`` is a folder for
-    the pairs of queries and slices, by default below the session's checkpoint folder.
+    the queries with their bounds, by default below the session's checkpoint folder.
     """
     if k < 1:
         raise SpecError("k must be at least 1")
-    place = work or f"{checkpoint_root(spark)}/weirflow/pairs-{uuid.uuid4().hex}"
-    pairs = candidate_slices(spark, index, queries, k, query_id, query_vector, digits, place)
-    found = _compared(spark, index, pairs, k, digits)
+    place = work or f"{checkpoint_root(spark)}/weirflow/bounds-{uuid.uuid4().hex}"
+    known = _bounded(spark, index, queries, k, query_id, query_vector, digits, place)
+    # A vector travels once for each span, not for each slice, and results carry its digest only.
+    spans = _spans(spark, index)
+    directory = spans.groupBy("cell", "unit").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    pairs = _within(index, known, directory, digits).select("query_id", "h", "q", "d", "bound", "cell", "unit")
+    stored = _slices(spark, index).join(spans.select("slice", "cell", "unit"), ["cell", "slice"])
+    found = _compared(index, pairs, stored, k, digits, 4 * BLOCK)
     score = F.lit(1.0) - F.col("cost") * F.col("cost") / 2 if index.metric == "cosine" else F.col("cost")
     scored = found.withColumn("score", F.round(score, digits))
     best = F.desc("score") if index.metric == "cosine" else F.asc("score")
-    order = Window.partitionBy("query_id", "q").orderBy(best, F.asc("id"))
+    order = Window.partitionBy("query_id", "h").orderBy(best, F.asc("id"))
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "id", "score")
